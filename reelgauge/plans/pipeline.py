@@ -1,0 +1,29 @@
+"""The batch job: landed JSON to bronze to silver."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from reelgauge import schemas
+from reelgauge.plans.bronze import bronze_channels, bronze_videos
+from reelgauge.plans.silver import silver_videos
+from reelgauge.sources.harvest import one_landing
+from reelgauge.sources.readers import read_json, read_parquet
+from reelgauge.sources.sinks import save, save_table
+
+
+def run_channels(spark: SparkSession, raw: str, bronze: str, array_files: bool = False) -> bool:
+    return save(bronze_channels(read_json(spark, raw, schemas.RAW_CHANNEL, array_files)), bronze)
+
+
+def run_videos(
+    spark: SparkSession, raw: str, bronze: str, silver: str, array_files: bool = False
+) -> DataFrame:
+    """Build both video layers; returns the silver table as read from disk.
+
+    Of a video landed on several dates the newest row counts.
+    """
+    rows = read_json(spark, raw, schemas.RAW_VIDEO, array_files)
+    save(one_landing(bronze_videos(rows), keep="last"), bronze)
+    save_table(silver_videos(read_parquet(spark, bronze, schemas.BRONZE_VIDEO)), silver, ["ano"])
+    return read_parquet(spark, silver, schemas.SILVER_VIDEO)
