@@ -19,7 +19,7 @@ from reelgauge.sources.sinks import save_table
 CUTS = {"EUROPE": 3600}
 YEARS = [1998, 1999, 2000]
 
-_SILVER: dict[tuple[str, str], str] = {}
+_BUILT: dict[tuple[str, str], tuple[str, str]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -150,17 +150,23 @@ def landings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The silver table, built once per application and folder."""
+def _built(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Paths of silver and bridge, written once per application and folder."""
     key = (spark.conf.get("spark.app.id", ""), sf_dir)
-    if key not in _SILVER:
-        path = fresh_path(spark, "silver")
-        save_table(silver_videos(videos(spark, sf_dir)), path, ["ano"])
-        _SILVER[key] = path
     configure(spark)
-    return read_parquet(spark, _SILVER[key], schemas.SILVER_VIDEO)
+    if key not in _BUILT:
+        paths = fresh_path(spark, "silver"), fresh_path(spark, "bridge")
+        save_table(silver_videos(videos(spark, sf_dir)), paths[0], ["ano"])
+        bridge(spark, sf_dir).write.parquet(paths[1])
+        _BUILT[key] = paths
+    return _BUILT[key]
+
+
+def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_parquet(spark, _built(spark, sf_dir)[0], schemas.SILVER_VIDEO)
 
 
 def view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every analysis takes: silver with niche and length class."""
-    return niche_view(silver(spark, sf_dir), bridge(spark, sf_dir), CUTS)
+    members = read_parquet(spark, _built(spark, sf_dir)[1], schemas.NICHE_BRIDGE)
+    return niche_view(silver(spark, sf_dir), members, CUTS)

@@ -13,7 +13,7 @@ _DURATION = (
     rf"^([+-]?)P(?=\d|T\d)(?:({_NUMBER})W)?(?:({_NUMBER})D)?"
     rf"(?:T(?=\d)(?:({_NUMBER})H)?(?:({_NUMBER})M)?(?:({_NUMBER})S)?)?$"
 )
-_PARTS = "$2;$3;$4;$5;$6"
+_PARTS = "0$2;0$3;0$4;0$5;0$6"  # the zero keeps absent parts readable
 _PART_SECONDS = [604800.0, 86400.0, 3600.0, 60.0, 1.0]
 
 
@@ -28,16 +28,16 @@ def instant(text: Column) -> Column:
 
 def duration_seconds(text: Column) -> Column:
     """ISO-8601 duration to seconds; NULL when malformed."""
-    parts = F.split(F.translate(F.regexp_replace(text, _DURATION, _PARTS), ",", "."), ";")
-    seconds = F.aggregate(
-        F.zip_with(
-            parts,
-            F.array(*[F.lit(unit) for unit in _PART_SECONDS]),
-            lambda part, unit: F.coalesce(part.try_cast("double"), F.lit(0.0)) * unit,
-        ),
-        F.lit(0.0),
-        lambda total, part: total + part,
-    )
+    split = F.split(F.translate(F.regexp_replace(text, _DURATION, _PARTS), ",", "."), ";")
+
+    def added(parts: Column) -> Column:
+        total = F.lit(0.0)
+        for number, unit in enumerate(_PART_SECONDS):
+            total = total + F.get(parts, F.lit(number)).try_cast("double") * unit
+        return total
+
+    # The transform evaluates the split once for all five parts.
+    seconds = F.get(F.transform(F.array(split), added), F.lit(0))
     signed = F.when(text.startswith("-"), -seconds).otherwise(seconds)
     return F.when(text.rlike(_DURATION), signed)
 

@@ -10,6 +10,7 @@ from reelgauge.functions.columns import log10_views
 from reelgauge.operators.grouped import NICHE, By, join_groups
 from reelgauge.operators.quantiles import quantiles
 from reelgauge.operators.significance import sample, with_welch
+from reelgauge.session import settle
 
 CLASSES = ["long", "short"]
 COMPARED = {
@@ -91,7 +92,7 @@ def _box(videos: DataFrame, by: By) -> tuple[DataFrame, DataFrame]:
     keys = [*by, "length_class"]
     views = F.col("view_count")
     quarters = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
-    summary = quantiles(timed, keys, {name: (views, p) for name, p in quarters.items()}, "box")
+    summary = settle(quantiles(timed, keys, {name: (views, p) for name, p in quarters.items()}), "box")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     limits = summary.withColumns({"low_limit": F.col("q1") - reach, "high_limit": F.col("q3") + reach})
     return join_groups(timed, limits, keys), limits

@@ -10,6 +10,7 @@ from reelgauge.functions.columns import correlation_label
 from reelgauge.operators.grouped import NICHE, By, join_groups
 from reelgauge.operators.quantiles import quantiles
 from reelgauge.operators.significance import pairs, pearson
+from reelgauge.session import settle
 
 LINE_POINTS = 100
 
@@ -41,22 +42,17 @@ def view_quantiles(videos: DataFrame, by: By = NICHE) -> DataFrame:
             "long_views_limit": (F.when(is_long, F.col("view_count")), fixed.TRIM_QUANTILE),
             "long_minutes_limit": (F.when(is_long, F.col("duration") / 60), fixed.TRIM_QUANTILE),
         },
-        "view-quantiles",
     )
 
 
 def scatter(videos: DataFrame, by: By = NICHE, quantile: float = fixed.TRIM_QUANTILE) -> DataFrame:
     """Long videos below the limit in minutes and in views at once."""
     long = _long(videos)
-    limits = quantiles(
-        long,
-        by,
-        {
-            "minutes_limit": (F.col("duration_minutes"), quantile),
-            "views_limit": (F.col("view_count"), quantile),
-        },
-        "scatter",
-    )
+    wanted = {
+        "minutes_limit": (F.col("duration_minutes"), quantile),
+        "views_limit": (F.col("view_count"), quantile),
+    }
+    limits = settle(quantiles(long, by, wanted), "scatter")
     return (
         join_groups(long, limits, by)
         .filter(

@@ -34,7 +34,7 @@ def quantiles(
 
     An entry maps a name to a value expression and a probability in 0..1. A
     value expression that is NULL leaves the row out. Values between two ranks
-    are interpolated linearly. The result is a settled table.
+    are interpolated linearly. Settle the result before joining it to a table.
     """
     keys = list(by)
     group_keys = ["metric", *keys]
@@ -85,19 +85,12 @@ def quantiles(
         )
         .select(*group_keys, "target.*", "value")
     )
-    low = F.max(F.when(~F.col("upper"), F.col("value")))
-    high = F.max(F.when(F.col("upper"), F.col("value")))
-    points = found.groupBy(*group_keys, "probability").agg(
-        (low + F.coalesce((high - low) * F.max("share"), F.lit(0.0))).alias("quantile")
-    )
     numbers = {name: number for number, name in enumerate(metrics)}
-    picked = [
-        F.max(
-            F.when(
-                (F.col("metric") == numbers[str(column)]) & (F.col("probability") == float(p)),
-                F.col("quantile"),
-            )
-        ).alias(name)
-        for name, (column, p) in wanted.items()
-    ]
-    return settle(points.groupBy(*keys).agg(*picked), label)
+
+    def picked(column: Column, probability: float) -> Column:
+        mine = (F.col("metric") == numbers[str(column)]) & (F.col("probability") == float(probability))
+        low = F.max(F.when(mine & ~F.col("upper"), F.col("value")))
+        high = F.max(F.when(mine & F.col("upper"), F.col("value")))
+        return low + F.coalesce((high - low) * F.max(F.when(mine, F.col("share"))), F.lit(0.0))
+
+    return found.groupBy(*keys).agg(*[picked(*entry).alias(name) for name, entry in wanted.items()])

@@ -75,7 +75,7 @@ def length_correlation(videos: DataFrame, by: By = NICHE) -> DataFrame:
 
 def popular(videos: DataFrame, by: By = NICHE, quantile: float = fixed.POPULAR_QUANTILE) -> DataFrame:
     """Videos at or above the views quantile of their group."""
-    limits = quantiles(videos, by, {"view_threshold": (F.col("view_count"), quantile)}, "popular")
+    limits = settle(quantiles(videos, by, {"view_threshold": (F.col("view_count"), quantile)}), "popular")
     return join_groups(videos, limits, by).filter(F.col("view_count") >= F.col("view_threshold"))
 
 
@@ -122,8 +122,13 @@ def keyword_impact(videos: DataFrame, by: By = NICHE, limit: int = fixed.TOP_WOR
         .agg(F.sort_array(F.collect_list(F.struct("rank", "word"))).alias("keywords")),
         "keywords",
     )
-    title = F.lower("title")
-    held = F.filter("keywords", lambda keyword: F.contains(title, keyword["word"]))
+    # The outer transform lower-cases a title once instead of once per keyword.
+    held = F.flatten(
+        F.transform(
+            F.array(F.lower("title")),
+            lambda title: F.filter("keywords", lambda keyword: F.contains(title, keyword["word"])),
+        )
+    )
     hits = join_groups(
         videos.select(*by, "title", "view_count", "like_count", "engagement_rate"), keywords, by
     ).select(
