@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 _PAIRS = 80  # the fraction settles in fewer than 60 for 1 to 1e12 degrees of freedom
 _TINY = 1e-300
+# Above this the distribution is its own limit to nine places, while the
+# fraction would subtract nearly equal numbers.
+_MOST_FREEDOM = 1e10
 _SHIFT = 8
 
 
@@ -76,7 +79,7 @@ def _log_of(x: Column, y: Column) -> Column:
 
 def t_two_sided(t: Column, df: Column) -> Column:
     """Chance of a |t| at least this large."""
-    t, df = t.cast("double"), df.cast("double")
+    t, df = t.cast("double"), F.least(df.cast("double"), F.lit(_MOST_FREEDOM))
     whole = df + t * t
     p = _beta_tail(df / 2, F.lit(0.5), df / whole, t * t / whole)
     return F.when(t.isNotNull() & (df > 0), p)
@@ -84,7 +87,8 @@ def t_two_sided(t: Column, df: Column) -> Column:
 
 def f_upper(f: Column, df1: Column, df2: Column) -> Column:
     """Chance of an F at least this large."""
-    f, df1, df2 = f.cast("double"), df1.cast("double"), df2.cast("double")
+    f, df1 = f.cast("double"), df1.cast("double")
+    df2 = F.least(df2.cast("double"), F.lit(_MOST_FREEDOM))
     whole = df2 + df1 * f
     p = _beta_tail(df2 / 2, df1 / 2, df2 / whole, df1 * f / whole)
     return F.when((f >= 0) & (df1 > 0) & (df2 > 0), p)

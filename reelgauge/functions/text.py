@@ -31,9 +31,18 @@ def words(title: Column) -> Column:
     return F.filter(found, lambda word: ~F.array_contains(stop, word))
 
 
-def has_keyword(title: Column, keyword: Column) -> Column:
-    """Substring match, not whole word: "art" is found in "party"."""
-    return F.contains(F.lower(title), F.lower(keyword))
+def held_keywords(title: Column, keywords: Column) -> Column:
+    """Those of the lower-case ``keywords`` (structs with ``word``) a title holds.
+
+    Substring match, not whole word: "art" is found in "party". The outer
+    transform lower-cases a title once instead of once per keyword.
+    """
+    return F.flatten(
+        F.transform(
+            F.array(F.lower(title)),
+            lambda text: F.filter(keywords, lambda keyword: F.contains(text, keyword["word"])),
+        )
+    )
 
 
 def title_length(title: Column) -> Column:
@@ -42,10 +51,10 @@ def title_length(title: Column) -> Column:
 
 def length_bin(length: Column) -> Column:
     """1-based class of a title length; NULL outside all classes."""
-    chain = F
-    for number, (low, high, _) in enumerate(fixed.TITLE_LENGTH_BINS, 1):
-        chain = chain.when((length > low) & (length <= high), number)
-    return chain
+    return F.coalesce(*[
+        F.when((length > low) & (length <= high), number)
+        for number, (low, high, _) in enumerate(fixed.TITLE_LENGTH_BINS, 1)
+    ])
 
 
 def length_bins() -> Column:

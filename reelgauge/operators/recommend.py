@@ -31,4 +31,5 @@ def recommendations(videos: DataFrame, by: By = NICHE) -> DataFrame:
     if not by:
         parts = [part.withColumn("all", F.lit(1)) for part in parts]
     keys = list(by) or ["all"]
-    return reduce(lambda left, right: left.join(right, keys, "left"), parts)
+    advice = reduce(lambda left, right: left.join(right, keys, "left"), parts)
+    return advice if by else advice.drop("all")

@@ -33,7 +33,8 @@ def length_performance(videos: DataFrame, by: By = NICHE) -> DataFrame:
         .groupBy(*by, "bin_no")
         .agg(*_averages(), F.count("video_id").alias("count"))
     )
-    frame = found.select(*by).distinct().select(*by, F.inline(X.length_bins()))
+    groups = found.groupBy(*by).agg(F.count(F.lit(1)).alias("n_bins"))
+    frame = groups.select(*by, F.inline(X.length_bins()))
     return frame.join(found, [*by, "bin_no"], "left").fillna(0, ["count"])
 
 
@@ -110,34 +111,37 @@ def word_weights(videos: DataFrame, by: By = NICHE) -> DataFrame:
     )
 
 
-def keyword_impact(videos: DataFrame, by: By = NICHE, limit: int = fixed.TOP_WORDS) -> DataFrame:
-    """Videos with and without each top word in the title, and Welch's t on views.
+def _ranked(words: list[str]) -> Column:
+    return F.array(*[
+        F.struct(F.lit(rank).alias("rank"), F.lit(word.lower()).alias("word"))
+        for rank, word in enumerate(words, 1)
+    ])
+
+
+def _settled_top_words(videos: DataFrame, by: By, limit: int) -> DataFrame:
+    """The top words of a group as one array of at most ``limit`` structs."""
+    listed = F.sort_array(F.collect_list(F.struct("rank", "word"))).alias("keywords")
+    return settle(top_words(videos, by, limit).groupBy(*by).agg(listed), "keywords")
 
+
+def keyword_impact(
+    videos: DataFrame,
+    by: By = NICHE,
+    limit: int = fixed.TOP_WORDS,
+    words: list[str] | None = None,
+) -> DataFrame:
+    """Videos with and without a keyword in the title, and Welch's t on views.
+
+    One row per keyword that occurs: the chosen ``words``, or else the top ones.
     A row is emitted only for the keywords a title holds. The complement is the
     group total minus that, so no title is paired with all keywords.
     """
-    keywords = settle(
-        top_words(videos, by, limit)
-        .groupBy(*by)
-        .agg(F.sort_array(F.collect_list(F.struct("rank", "word"))).alias("keywords")),
-        "keywords",
-    )
-    # The outer transform lower-cases a title once instead of once per keyword.
-    held = F.flatten(
-        F.transform(
-            F.array(F.lower("title")),
-            lambda title: F.filter("keywords", lambda keyword: F.contains(title, keyword["word"])),
-        )
-    )
-    hits = join_groups(
-        videos.select(*by, "title", "view_count", "like_count", "engagement_rate"), keywords, by
-    ).select(
-        *by,
-        "view_count",
-        "like_count",
-        "engagement_rate",
-        F.explode(held).alias("keyword"),
-    )
+    narrow = videos.select(*by, "title", "view_count", "like_count", "engagement_rate")
+    hits = (
+        narrow.withColumn("keywords", _ranked(words))
+        if words is not None
+        else join_groups(narrow, _settled_top_words(videos, by, limit), by)
+    ).withColumn("keyword", F.explode(X.held_keywords(F.col("title"), F.col("keywords"))))
 
     measured = {"views": "view_count", "likes": "like_count", "engagement": "engagement_rate"}
 

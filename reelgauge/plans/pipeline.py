@@ -24,6 +24,6 @@ def run_videos(
     Of a video landed on several dates the newest row counts.
     """
     rows = read_json(spark, raw, schemas.RAW_VIDEO, array_files)
-    save(one_landing(bronze_videos(rows), keep="last"), bronze)
+    save(one_landing(bronze_videos(rows), keep="last"), bronze, source=rows)
     save_table(silver_videos(read_parquet(spark, bronze, schemas.BRONZE_VIDEO)), silver, ["ano"])
     return read_parquet(spark, silver, schemas.SILVER_VIDEO)

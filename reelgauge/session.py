@@ -14,6 +14,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Streaming state outgrows the heap of an executor.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # A re-run of one extraction date replaces that date only.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

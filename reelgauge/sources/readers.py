@@ -42,9 +42,13 @@ def read_parquet(
     missing_ok: bool = False,
     on_error: ErrorHandler | None = None,
 ) -> DataFrame:
-    """Parquet scan. With ``missing_ok`` an unreadable path gives no rows."""
+    """Parquet scan in schema order. ``missing_ok`` turns an unreadable path into no rows."""
     return _or_empty(
-        spark, lambda: spark.read.schema(schema).parquet(_checked(path)), schema, missing_ok, on_error
+        spark,
+        lambda: spark.read.schema(schema).parquet(_checked(path)).select(*schema.names),
+        schema,
+        missing_ok,
+        on_error,
     )
 
 

@@ -9,9 +9,13 @@ from reelgauge import schemas
 from reelgauge.sources.readers import read_parquet
 
 
-def save(df: DataFrame, path: str, format: str = "parquet") -> bool:
-    """Replace the table at ``path``; an empty frame is not written."""
-    if df.isEmpty():
+def save(df: DataFrame, path: str, format: str = "parquet", source: DataFrame | None = None) -> bool:
+    """Replace the table at ``path``; an empty frame is not written.
+
+    ``source`` may name a frame that is empty when ``df`` is and cheaper to
+    probe, so that a shuffle in ``df`` does not run twice.
+    """
+    if (df if source is None else source).isEmpty():
         return False
     kind = format.lower()
     if kind not in ("parquet", "csv"):
