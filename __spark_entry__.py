@@ -178,6 +178,7 @@ def queries() -> dict[str, Query]:
         "welch_long_short": _analysis(compare.welch),
         "views_box": _analysis(compare.box),
         "views_outliers": _analysis(compare.outliers),
+        "rate_outliers": _analysis(compare.outliers, value="engagement_rate"),
         "views_density": _analysis(compare.density),
         "title_length_mean": _analysis(titles.length_mean),
         "title_length_perf": _analysis(titles.length_performance),

@@ -211,21 +211,24 @@ lim AS (
 ),
 sc AS (SELECT long.* FROM long JOIN lim USING (niche) WHERE duration_minutes < ml AND view_count < vl)"""
 
-_BOX = """
+
+def _box(value: str) -> str:
+    return f"""
 bx AS (
   SELECT niche, length_class,
-    quantile_cont(view_count, 0.0) AS min, quantile_cont(view_count, 0.25) AS q1,
-    quantile_cont(view_count, 0.5) AS median, quantile_cont(view_count, 0.75) AS q3,
-    quantile_cont(view_count, 1.0) AS max
+    quantile_cont({value}, 0.0) AS min, quantile_cont({value}, 0.25) AS q1,
+    quantile_cont({value}, 0.5) AS median, quantile_cont({value}, 0.75) AS q3,
+    quantile_cont({value}, 1.0) AS max
   FROM w WHERE length_class IS NOT NULL GROUP BY ALL
 ),
 mk AS (
-  SELECT w.niche, w.length_class, video_id, view_count, bx.* EXCLUDE (niche, length_class),
-    view_count BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside
+  SELECT w.niche, w.length_class, video_id, {value}, bx.* EXCLUDE (niche, length_class),
+    {value} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside
   FROM w JOIN bx ON w.niche = bx.niche AND w.length_class = bx.length_class
 )"""
 
 
+
 def _year_columns() -> str:
     parts = []
     for year in YEARS:
@@ -488,10 +491,16 @@ FROM w WHERE length_class IS NOT NULL GROUP BY ALL"""),
             """SELECT niche, length_class, min, q1, median, q3, max,
   min(view_count) FILTER (inside) AS lower_fence, max(view_count) FILTER (inside) AS upper_fence,
   count(*) FILTER (NOT inside) AS n_outliers FROM mk GROUP BY ALL""",
-            _BOX,
+            _box("view_count"),
         ),
         "views_outliers": _over(
-            "SELECT niche, length_class, video_id, view_count FROM mk WHERE NOT inside", _BOX
+            "SELECT niche, length_class, video_id, view_count FROM mk WHERE NOT inside",
+            _box("view_count"),
+        ),
+        "rate_outliers": _over(
+            """SELECT niche, length_class, video_id, round(engagement_rate, 6) AS engagement_rate FROM mk
+WHERE NOT inside""",
+            _box("engagement_rate"),
         ),
         "views_density": _density(),
         "title_length_mean": _over(

@@ -87,35 +87,34 @@ def welch(videos: DataFrame, by: By = NICHE) -> DataFrame:
     return with_welch(rows, "long", "short").drop("var_long", "var_short")
 
 
-def _box(videos: DataFrame, by: By) -> tuple[DataFrame, DataFrame]:
+def _box(videos: DataFrame, by: By, value: str) -> tuple[DataFrame, DataFrame]:
     timed = videos.filter(F.col("length_class").isNotNull())
     keys = [*by, "length_class"]
-    views = F.col("view_count")
     quarters = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
-    summary = settle(quantiles(timed, keys, {name: (views, p) for name, p in quarters.items()}), "box")
+    summary = settle(quantiles(timed, keys, {name: (F.col(value), p) for name, p in quarters.items()}), "box")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     limits = summary.withColumns({"low_limit": F.col("q1") - reach, "high_limit": F.col("q3") + reach})
     return join_groups(timed, limits, keys), limits
 
 
-def box(videos: DataFrame, by: By = NICHE) -> DataFrame:
-    """Box-plot summary of views; fences are the last values within 1.5 IQR."""
-    marked, limits = _box(videos, by)
+def box(videos: DataFrame, by: By = NICHE, value: str = "view_count") -> DataFrame:
+    """Box-plot summary; fences are the last values within 1.5 IQR."""
+    marked, limits = _box(videos, by, value)
     keys = [*by, "length_class"]
-    inside = F.col("view_count").between(F.col("low_limit"), F.col("high_limit"))
+    inside = F.col(value).between(F.col("low_limit"), F.col("high_limit"))
     whiskers = marked.groupBy(*keys).agg(
-        F.min(F.when(inside, F.col("view_count"))).alias("lower_fence"),
-        F.max(F.when(inside, F.col("view_count"))).alias("upper_fence"),
+        F.min(F.when(inside, F.col(value))).alias("lower_fence"),
+        F.max(F.when(inside, F.col(value))).alias("upper_fence"),
         F.count(F.when(~inside, 1)).alias("n_outliers"),
     )
     return join_groups(whiskers, limits.drop("low_limit", "high_limit"), keys)
 
 
-def outliers(videos: DataFrame, by: By = NICHE) -> DataFrame:
+def outliers(videos: DataFrame, by: By = NICHE, value: str = "view_count") -> DataFrame:
     """The videos drawn as single points beyond the fences."""
-    marked, _ = _box(videos, by)
-    beyond = ~F.col("view_count").between(F.col("low_limit"), F.col("high_limit"))
-    return marked.filter(beyond).select(*by, "length_class", "video_id", "view_count")
+    marked, _ = _box(videos, by, value)
+    beyond = ~F.col(value).between(F.col("low_limit"), F.col("high_limit"))
+    return marked.filter(beyond).select(*by, "length_class", "video_id", value)
 
 
 def density(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,25 +11,40 @@ from reelgauge.operators import compare, titles, weekday
 from reelgauge.operators.grouped import NICHE, By
 
 
+INPUTS = {
+    "long_short_ratio": compare.ratio,
+    "title_length_best": titles.length_best,
+    "keyword_impact": partial(titles.keyword_impact, limit=1),
+    "emoji_impact": titles.emoji_impact,
+    "weekday_best_worst": weekday.best_worst,
+}
+
+
 def recommendations(videos: DataFrame, by: By = NICHE) -> DataFrame:
-    """Each rule uses the p-value of its own test.
+    return advice({name: analysis(videos, by=by) for name, analysis in INPUTS.items()}, by)
+
+
+def advice(results: dict[str, DataFrame], by: By = NICHE) -> DataFrame:
+    """The rules over finished analyses, each with the p-value of its own test.
 
     The keyword is the most frequent word of popular titles.
     """
-    shorts = compare.ratio(videos, by)
-    length = titles.length_best(videos, by).select(*by, "best_views_length")
-    keyword = titles.keyword_impact(videos, by, limit=1).select(
-        *by, "keyword", F.coalesce("significant", F.lit(False)).alias("use_keyword")
+    shorts = results["long_short_ratio"]
+    length = results["title_length_best"].select(*by, "best_views_length")
+    keyword = (
+        results["keyword_impact"]
+        .filter(F.col("rank") == 1)
+        .select(*by, "keyword", F.coalesce("significant", F.lit(False)).alias("use_keyword"))
     )
     emoji = (
-        titles.emoji_impact(videos, by)
+        results["emoji_impact"]
         .groupBy(*by)
         .agg(F.coalesce(F.bool_or("significant"), F.lit(False)).alias("use_emoji"))
     )
-    day = weekday.best_worst(videos, by).select(*by, F.col("best_day_pt").alias("publish_on"))
+    day = results["weekday_best_worst"].select(*by, F.col("best_day_pt").alias("publish_on"))
     parts = [shorts, length, keyword, emoji, day]
     if not by:
         parts = [part.withColumn("all", F.lit(1)) for part in parts]
     keys = list(by) or ["all"]
-    advice = reduce(lambda left, right: left.join(right, keys, "left"), parts)
-    return advice if by else advice.drop("all")
+    joined = reduce(lambda left, right: left.join(right, keys, "left"), parts)
+    return joined if by else joined.drop("all")

@@ -27,15 +27,31 @@ def length_mean(videos: DataFrame, by: By = NICHE) -> DataFrame:
 
 
 def length_performance(videos: DataFrame, by: By = NICHE) -> DataFrame:
-    """Averages per title length class; a class without videos stays with count 0."""
+    """Averages per title length class; a class without videos stays with count 0.
+
+    The classes of a group, eight at most, are gathered into one row and looked
+    up from there, so the table is read once.
+    """
     found = (
         videos.withColumn("bin_no", X.length_bin(X.title_length(F.col("title"))))
         .groupBy(*by, "bin_no")
         .agg(*_averages(), F.count("video_id").alias("count"))
     )
-    groups = found.groupBy(*by).agg(F.count(F.lit(1)).alias("n_bins"))
-    frame = groups.select(*by, F.inline(X.length_bins()))
-    return frame.join(found, [*by, "bin_no"], "left").fillna(0, ["count"])
+    gathered = found.groupBy(*by).agg(
+        F.collect_list(F.struct("bin_no", *AVERAGES, "count")).alias("classes")
+    )
+    mine = F.get(F.filter("classes", lambda c: c["bin_no"] == F.col("bin_no")), F.lit(0))
+    return (
+        gathered.select(*by, F.inline(X.length_bins()), "classes")
+        .withColumn("mine", mine)
+        .select(
+            *by,
+            "bin_no",
+            "label",
+            *[F.col(f"mine.{name}").alias(name) for name in AVERAGES],
+            F.coalesce("mine.count", F.lit(0)).alias("count"),
+        )
+    )
 
 
 def length_best(videos: DataFrame, by: By = NICHE) -> DataFrame:

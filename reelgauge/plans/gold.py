@@ -54,6 +54,18 @@ ANALYSES: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 
 def write_gold(view: DataFrame, folder: str, names: Iterable[str] | None = None) -> None:
-    """Write the named analyses (default: all) of a niche view below ``folder``."""
-    for name in ANALYSES if names is None else names:
-        ANALYSES[name](view).write.mode("overwrite").parquet(f"{folder}/{name}")
+    """Write the named analyses (default: all) of a niche view below ``folder``.
+
+    Recommendations are drawn from the tables just written where those are
+    among the names, so their analyses do not run twice.
+    """
+    chosen = list(ANALYSES if names is None else names)
+    read = view.sparkSession.read
+    for name in sorted(chosen, key=lambda n: n == "recommendations"):
+        if name == "recommendations" and set(recommend.INPUTS) <= set(chosen):
+            result = recommend.advice(
+                {table: read.parquet(f"{folder}/{table}") for table in recommend.INPUTS}
+            )
+        else:
+            result = ANALYSES[name](view)
+        result.write.mode("overwrite").parquet(f"{folder}/{name}")

@@ -23,9 +23,13 @@ def id_batches(
     buckets that keep that order, so the rank is the row number inside a bucket
     plus the sizes of the buckets before it, and a key that holds a third of
     all ids is ranked by thousands of tasks.
+
+    The NULL filter and the left join give both uses of the distinct ids the
+    same plan, so their shuffle runs once.
     """
     bucketed = (
         ids.select(key, item)
+        .filter(F.col(key).isNotNull() & F.col(item).isNotNull())
         .distinct()
         .withColumn("digest", F.md5(item))
         .withColumn("bucket", F.substring("digest", 1, bucket_digits))
@@ -39,7 +43,7 @@ def id_batches(
     inside = Window.partitionBy(key, "bucket").orderBy("digest", item)
     return (
         bucketed.withColumn("rank", F.row_number().over(inside))
-        .join(offsets, [key, "bucket"])
+        .join(offsets, [key, "bucket"], "left")
         .withColumn("batch_no", F.floor((F.col("offset") + F.col("rank") - 1) / size))
         .groupBy(key, "batch_no")
         .agg(F.sort_array(F.collect_list(item)).alias("ids"))

@@ -275,7 +275,13 @@ def test_recommendations(videos):
     assert (row.keyword, row.use_keyword) == ("corrida", True)
 
 
-@pytest.mark.parametrize("name", sorted(ANALYSES))
+SINGLE = [
+    "records", "weekday_anova", "monthly_trend", "long_short_compare", "views_box", "views_density",
+    "title_length_perf", "top_words", "word_weights", "keyword_impact", "duration_fit", "recommendations",
+]
+
+
+@pytest.mark.parametrize("name", SINGLE)
 def test_analyses_work_without_niche(name, videos):
     frame = videos(
         *[{"view_count": 10 * n, "title": f"palavra {n} 😀" * (n % 2 + 1), "duration": f"PT{n}M"} for n in range(1, 9)],

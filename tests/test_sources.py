@@ -3,6 +3,7 @@ import json
 import pytest
 
 from reelgauge import schemas
+from reelgauge.operators import recommend
 from reelgauge.plans import niches, pipeline
 from reelgauge.plans.bronze import bronze_channels, bronze_videos
 from reelgauge.plans.gold import write_gold
@@ -144,7 +145,12 @@ def test_pipeline_keeps_the_newest_landing_and_writes_gold(spark, tmp_path):
     assert silver.schema == schemas.SILVER_VIDEO
 
     view = niches.niche_view(silver, niches.niche_bridge(spark))
-    write_gold(view, str(tmp_path / "gold"), ["overview_totals", "channel_month_compare"])
+    chosen = ["recommendations", "overview_totals", "channel_month_compare", *recommend.INPUTS]
+    write_gold(view, str(tmp_path / "gold"), chosen)
+    advice = spark.read.parquet(str(tmp_path / "gold" / "recommendations"))
+    assert sorted(map(tuple, advice.collect())) == sorted(
+        map(tuple, recommend.recommendations(view).collect())
+    )
     totals = spark.read.parquet(str(tmp_path / "gold" / "overview_totals")).collect()
     assert {(r.niche, r.length_class, r.n_videos, r.total_views) for r in totals} == {
         ("Viagens", "long", 1, 900), ("Viagens", "short", 1, 200)
