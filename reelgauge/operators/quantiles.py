@@ -49,26 +49,40 @@ def quantiles(
     long = (
         df.select(*keys, F.inline(measured))
         .filter(F.col("value").isNotNull())
-        .withColumn("bucket", _bucket(F.col("value")))
+        .select("*", _bucket(F.col("value")).alias("bucket"))
     )
 
+    last = F.col("total") - 1
+    before = F.col("upto") - F.col("n")
+
+    def ranks(p: Column) -> Column:
+        position = p * last
+        both = F.array_distinct(F.array(F.floor(position), F.ceil(position)))
+        return F.transform(
+            both,
+            lambda rank: F.struct(
+                p.alias("probability"),
+                (position - F.floor(position)).alias("share"),
+                (rank - before).alias("inside"),
+                (rank > position).alias("upper"),
+            ),
+        )
+
     probabilities = F.array(*[
         F.array(*[F.lit(float(p)) for p in dict.fromkeys(ps)]) for _, ps in metrics.values()
     ])
-    position = F.col("probability") * (F.col("total") - 1)
+    wanted_ranks = F.flatten(F.transform(F.get(probabilities, F.col("metric")), ranks))
+    inside = F.filter(wanted_ranks, lambda t: (t["inside"] >= 0) & (t["inside"] < F.col("n")))
     buckets = (
         long.groupBy(*group_keys, "bucket")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.sum("n").over(_running(group_keys, "bucket")))
-        .withColumn("total", F.sum("n").over(Window.partitionBy(*group_keys)))
-        .withColumn("probability", F.explode(F.element_at(probabilities, F.col("metric") + 1)))
-        .withColumn("share", position - F.floor(position))
-        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(position), F.ceil(position)))))
-        .filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
-        .withColumn("inside", F.col("rank") - F.col("upto") + F.col("n"))
-        .withColumn("upper", F.col("rank") > position)
-        .groupBy(*group_keys, "bucket")
-        .agg(F.collect_set(F.struct("probability", "share", "inside", "upper")).alias("targets"))
+        .select(
+            "*",
+            F.sum("n").over(_running(group_keys, "bucket")).alias("upto"),
+            F.sum("n").over(Window.partitionBy(*group_keys)).alias("total"),
+        )
+        .select(*group_keys, "bucket", inside.alias("targets"))
+        .filter(F.size("targets") > 0)
     )
     targets = settle(buckets, label)
 
@@ -78,12 +92,10 @@ def quantiles(
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("upto", F.sum("n").over(_running([*group_keys, "bucket"], "value")))
         .join(targets, [*group_keys, "bucket"])
-        .withColumn("target", F.explode("targets"))
+        .select(*group_keys, "value", "n", "upto", F.inline("targets"))
         .filter(
-            (F.col("target.inside") < F.col("upto"))
-            & (F.col("target.inside") >= F.col("upto") - F.col("n"))
+            (F.col("inside") < F.col("upto")) & (F.col("inside") >= F.col("upto") - F.col("n"))
         )
-        .select(*group_keys, "target.*", "value")
     )
     numbers = {name: number for number, name in enumerate(metrics)}
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reelgauge import fixed_values as fixed
 from reelgauge.functions import text as X
-from reelgauge.operators.grouped import NICHE, By, best, join_groups
+from reelgauge.operators.grouped import NICHE, By, best, join_groups, within
 from reelgauge.operators.quantiles import quantiles
 from reelgauge.operators.significance import pairs, pearson, sample, with_pearson, with_welch
 from reelgauge.session import settle
@@ -149,29 +149,38 @@ def keyword_impact(
     """Videos with and without a keyword in the title, and Welch's t on views.
 
     One row per keyword that occurs: the chosen ``words``, or else the top ones.
-    A row is emitted only for the keywords a title holds. The complement is the
-    group total minus that, so no title is paired with all keywords.
+    A video counts once for the whole group (rank 0) and once for each keyword
+    its title holds. What lacks a keyword is the whole minus what holds it, so
+    no title is paired with all keywords and the table is read once.
     """
     narrow = videos.select(*by, "title", "view_count", "like_count", "engagement_rate")
-    hits = (
+    offered = (
         narrow.withColumn("keywords", _ranked(words))
         if words is not None
         else join_groups(narrow, _settled_top_words(videos, by, limit), by)
-    ).withColumn("keyword", F.explode(X.held_keywords(F.col("title"), F.col("keywords"))))
-
+    )
+    whole = F.array(F.struct(F.lit(0).alias("rank"), F.lit("").alias("word")))
+    held = F.concat(whole, X.held_keywords(F.col("title"), F.col("keywords")))
     measured = {"views": "view_count", "likes": "like_count", "engagement": "engagement_rate"}
-
-    def sums(suffix: str) -> list[Column]:
-        return [
-            F.count(F.lit(1)).alias(f"videos_{suffix}"),
-            *[F.count(c).alias(f"n_{m}_{suffix}") for m, c in measured.items()],
-            *[F.sum(c).alias(f"sum_{m}_{suffix}") for m, c in measured.items()],
-            F.coalesce(F.var_pop("view_count"), F.lit(0.0)).alias(f"varp_{suffix}"),
-        ]
-
-    holding = hits.groupBy(*by, "keyword").agg(*sums("with"))
-    everything = settle(videos.groupBy(*by).agg(*sums("all")), "keyword-totals")
-    both = join_groups(holding, everything, by)
+    sums = {
+        "videos": F.count(F.lit(1)),
+        **{f"n_{metric}": F.count(column) for metric, column in measured.items()},
+        **{f"sum_{metric}": F.sum(column) for metric, column in measured.items()},
+        "varp": F.coalesce(F.var_pop("view_count"), F.lit(0.0)),
+    }
+    counted = (
+        offered.withColumn("keyword", F.explode(held))
+        .groupBy(*by, "keyword")
+        .agg(*[value.alias(f"{name}_with") for name, value in sums.items()])
+    )
+    is_whole = F.col("keyword.rank") == 0
+    both = counted.select(
+        "*",
+        *[
+            F.max(F.when(is_whole, F.col(f"{name}_with"))).over(within(by)).alias(f"{name}_all")
+            for name in sums
+        ],
+    ).filter(~is_whole)
 
     def rest(name: str) -> Column:
         return F.col(f"{name}_all") - F.col(f"{name}_with")
