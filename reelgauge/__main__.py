@@ -6,7 +6,7 @@ import argparse
 
 from reelgauge.plans.gold import ANALYSES, write_gold
 from reelgauge.plans.niches import niche_bridge, niche_view
-from reelgauge.plans.pipeline import run_channels, run_videos
+from reelgauge.plans.batch import run_channels, run_videos
 from reelgauge.session import build_session
 
 

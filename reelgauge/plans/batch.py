@@ -23,7 +23,8 @@ def run_videos(
 
     Of a video landed on several dates the newest row counts.
     """
-    rows = read_json(spark, raw, schemas.RAW_VIDEO, array_files)
-    save(one_landing(bronze_videos(rows), keep="last"), bronze, source=rows)
-    save_table(silver_videos(read_parquet(spark, bronze, schemas.BRONZE_VIDEO)), silver, ["ano"])
+    landed = read_json(spark, raw, schemas.RAW_VIDEO, array_files)
+    save(one_landing(bronze_videos(landed), keep="last"), bronze, source=landed)
+    rows = silver_videos(read_parquet(spark, bronze, schemas.BRONZE_VIDEO))
+    save_table(rows, silver, ["ano"], ["channel_id"])
     return read_parquet(spark, silver, schemas.SILVER_VIDEO)

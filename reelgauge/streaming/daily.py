@@ -64,7 +64,8 @@ def start_daily(
 ) -> StreamingQuery:
     """Process what is there and stop; later runs continue from ``checkpoint``.
 
-    Rows later than ``delay`` behind the newest ``event_time`` are dropped and
+    The copies of one key in a micro-batch meet in one task; the number of files
+    per trigger bounds them. Rows later than ``delay`` behind the newest ``event_time`` are dropped and
     show up in ``late_rows``.
     """
     unique = stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])

@@ -4,7 +4,7 @@ import pytest
 
 from reelgauge import schemas
 from reelgauge.operators import recommend
-from reelgauge.plans import niches, pipeline
+from reelgauge.plans import batch, niches
 from reelgauge.plans.bronze import bronze_channels, bronze_videos
 from reelgauge.plans.gold import write_gold
 from reelgauge.plans.silver import duration_rejects, silver_videos
@@ -132,7 +132,7 @@ def test_pipeline_keeps_the_newest_landing_and_writes_gold(spark, tmp_path):
     short = {**VIDEO, "id": "v4", "contentDetails": {"duration": "PT90S"}}
     write_array(raw, "a.json", [VIDEO, BARE])
     write_array(raw, "b.json", [newer, short, BARE])
-    silver = pipeline.run_videos(
+    silver = batch.run_videos(
         spark, str(raw), str(tmp_path / "bronze"), str(tmp_path / "silver"), array_files=True
     )
     rows = {r.video_id: r for r in silver.collect()}
@@ -161,5 +161,5 @@ def test_pipeline_keeps_the_newest_landing_and_writes_gold(spark, tmp_path):
 
 def test_channels_job(spark, tmp_path):
     raw = write_array(tmp_path / "raw", "c.json", [{"id": "c1"}])
-    assert pipeline.run_channels(spark, raw, str(tmp_path / "bronze"), array_files=True)
+    assert batch.run_channels(spark, raw, str(tmp_path / "bronze"), array_files=True)
     assert spark.read.parquet(str(tmp_path / "bronze")).count() == 1
