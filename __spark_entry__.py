@@ -98,10 +98,8 @@ def _explode_items(spark: SparkSession, sf: str) -> DataFrame:
         "ids", lambda video: F.struct(F.struct(video.alias("videoId")).alias("contentDetails"))
     )
     full = F.to_json(F.struct(item.alias("items"), F.col("batch_no").cast("string").alias("nextPageToken")))
-    last = F.lit('{"kind": "empty"}')
-    pages = batches.select(
-        "channel_id", F.explode(F.when(F.col("batch_no") == 0, F.array(full, last)).otherwise(F.array(full))).alias("page")
-    )
+    last = F.when(F.col("batch_no") == 0, '{"kind": "empty"}')
+    pages = batches.select("channel_id", F.explode(F.array_compact(F.array(full, last))).alias("page"))
     return harvest.page_ids(pages)
 
 
