@@ -29,6 +29,14 @@ from reelgauge.streaming import daily
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+try:
+    from reelgauge.llm import queries as llm
+except ModuleNotFoundError as error:
+    # Only the absence of the subpackage or the pipeline itself is fine.
+    if not (error.name or "").startswith(("reelgauge.llm", "corpus_pipeline")):
+        raise
+    llm = None
+
 
 def _plain(df: DataFrame) -> DataFrame:
     """Doubles rounded to 6 places, instants without a zone: comparable anywhere."""
@@ -146,6 +154,15 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return {**own_queries(), **(llm.QUERIES if llm else {})}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {**sql.all_queries(), **(llm.ORACLE if llm else {})}
+
+
+def own_queries() -> dict[str, Query]:
+    """All but the operators of ``reelgauge.llm``."""
     return {
         "bronze_channels": _bronze_channels,
         "bronze_videos": _bronze_videos,
@@ -193,7 +210,3 @@ def queries() -> dict[str, Query]:
         "recommendations": _analysis(recommend.recommendations),
         "stream_daily": _stream_daily,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return sql.all_queries()

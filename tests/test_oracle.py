@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as spark_entry
 from oracle.compare import connect, difference
 
-QUERIES = spark_entry.queries()
+QUERIES = spark_entry.own_queries()
 ORACLE = spark_entry.oracle_sql()
 
 
