@@ -8,6 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reelgauge.llm.simhash import op3_simhash
 from reelgauge.llm.token_files import op1_token_files
 from reelgauge.session import configure
 
@@ -29,7 +30,7 @@ def _query(function: Query) -> Query:
 
 QUERIES: dict[str, Query] = {
     function.__name__: _query(function)
-    for function in (op1_token_files,)
+    for function in (op1_token_files, op3_simhash)
 }
 
 ORACLE: dict[str, str] = {}
