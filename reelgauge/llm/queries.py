@@ -8,6 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reelgauge.llm.language_id import op2_language_id
 from reelgauge.llm.packing import op8_packing
 from reelgauge.llm.simhash import op3_simhash
 from reelgauge.llm.token_files import op1_token_files
@@ -31,7 +32,7 @@ def _query(function: Query) -> Query:
 
 QUERIES: dict[str, Query] = {
     function.__name__: _query(function)
-    for function in (op1_token_files, op3_simhash, op8_packing)
+    for function in (op1_token_files, op2_language_id, op3_simhash, op8_packing)
 }
 
 ORACLE: dict[str, str] = {}
