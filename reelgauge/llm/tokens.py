@@ -13,11 +13,11 @@ import gc
 import os
 import re
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 
-#: Pieces remembered by one worker; beyond it the memory starts anew.
+#: Pieces remembered by one worker.
 REMEMBERED = 400_000
 _SEAM = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
@@ -60,7 +60,9 @@ class Encoder:
         self.bytes_of = np.zeros(max(words.values()) + 1, np.int64)
         for word, number in words.items():  # byte-level models write one character for a byte
             self.bytes_of[number] = len(word.removesuffix("</w>") if self.lowers else word)
-        self.remembered = remembered
+        signs = {x: self.tokenizer.encode(x, add_special_tokens=False).ids for x in ".,;:!?"}
+        self.signs = {x: ids[0] for x, ids in signs.items() if len(ids) == 1}
+        self.remembered, self.missed = remembered, 0.0
         self._forget()
 
     def _forget(self) -> None:
@@ -89,28 +91,53 @@ class Encoder:
         return ids, np.diff(ends, prepend=0)
 
     def _learn(self, pieces: list[str]) -> None:
-        easy = [x for x in pieces if _plain(x) and (x.isascii() or not self.lowers)]
+        """Add pieces that are not known; a word with a sign after it takes the ids of both."""
+        signed = [x for x in pieces if x[-1] in self.signs and x[-2:-1].isalpha()]
+        known = set(signed)
+        cores = dict.fromkeys(x[:-1] for x in signed)
+        new = list(dict.fromkeys([*(x for x in pieces if x not in known), *(x for x in cores if x not in self.place)]))
+        easy = [x for x in new if _plain(x) and (x.isascii() or not self.lowers)]
         known = set(easy)
-        odd = [x for x in pieces if x not in known]
-        flats, counts = [self.flat], [self.lengths]
+        odd = [x for x in new if x not in known]
+        flats, counts = [], []
         for work, group in ((self._run, easy), (self._ids, odd)):
             for start in range(0, len(group), 512):
                 flat, lengths = work(group[start : start + 512])
                 flats.append(flat)
                 counts.append(lengths)
-        self.place.update(zip(easy + odd, range(len(self.place), len(self.place) + len(pieces)), strict=True))
-        self.flat, self.lengths = np.concatenate(flats), np.concatenate(counts)
+        self._add(easy + odd, flats, counts)
+        if signed:
+            at = np.array([self.place[x[:-1]] for x in signed])
+            lengths = self.lengths[at]
+            flat = np.insert(self._gather(at), np.cumsum(lengths), [self.signs[x[-1]] for x in signed])
+            self._add(signed, [flat], [lengths + 1])
+
+    def _add(self, pieces: list[str], flats: list[np.ndarray], counts: list[np.ndarray]) -> None:
+        self.place.update(zip(pieces, range(len(self.place), len(self.place) + len(pieces)), strict=True))
+        self.flat, self.lengths = np.concatenate([self.flat, *flats]), np.concatenate([self.lengths, *counts])
         self.starts = np.cumsum(self.lengths) - self.lengths
 
+    def _gather(self, at: np.ndarray) -> np.ndarray:
+        lengths = self.lengths[at]
+        before = np.cumsum(lengths) - lengths
+        return self.flat[np.repeat(self.starts[at] - before, lengths) + np.arange(int(lengths.sum()))]
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each text has; None counts as empty."""
-        if len(self.place) > self.remembered:
-            self._forget()
+        known = len(self.place), len(self.flat)
         gc.disable()  # many small lists, none of them in a cycle
         try:
-            return self._encode(texts)
+            found = self._encode(texts)
         finally:
             gc.enable()
+        if known[0] > self.remembered // 2 and len(self.place) > self.remembered:
+            # Full: rare pieces of this call go again, the frequent ones came early.
+            for piece in list(islice(reversed(self.place), len(self.place) - known[0])):
+                del self.place[piece]
+            self.flat, self.lengths, self.starts = self.flat[: known[1]], self.lengths[: known[0]], self.starts[: known[0]]
+        if self.missed > 0.3:
+            self._forget()  # texts of another kind
+        return found
 
     def _encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         pieces: list[str] = []
@@ -121,16 +148,14 @@ class Encoder:
             ends[number + 1] = len(pieces)
         found = list(map(self.place.get, pieces))
         missing = [i for i, x in enumerate(found) if x is None]
+        self.missed = len(missing) / max(len(pieces), 1) if len(self.place) > self.remembered else 0
         if missing:
             self._learn(list(dict.fromkeys([pieces[i] for i in missing])))
             for i in missing:
                 found[i] = self.place[pieces[i]]
         at = np.array(found, np.int64)
-        lengths = self.lengths[at]
-        before = np.concatenate([[0], np.cumsum(lengths)])
-        total = int(before[-1])
-        ids = self.flat[np.repeat(self.starts[at] - before[:-1], lengths) + np.arange(total)]
-        return ids, np.diff(before[ends])
+        before = np.concatenate([[0], np.cumsum(self.lengths[at])])
+        return self._gather(at), np.diff(before[ends])
 
 
 @lru_cache(maxsize=4)
@@ -139,7 +164,7 @@ def encoder(vocabulary: str) -> Encoder:
     return Encoder(vocabulary)
 
 
-def chunks(texts: list[str | None], characters: int = 4_000_000):
+def chunks(texts: list[str | None], characters: int = 2_000_000):
     """Runs of rows with about so many characters, as (start, end)."""
     start, seen = 0, 0
     for number, text in enumerate(texts):
