@@ -132,7 +132,7 @@ class Codec:
         return out.reshape(-1)[:n]
 
 
-def _ids(vocabulary: str, end_id: int):
+def _ids(vocabulary: str, end_id: int, id_bytes: int):
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("n_tokens", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,8 +142,11 @@ def _ids(vocabulary: str, end_id: int):
             for start, end in chunks(texts):
                 flat, lengths = code.encode(texts[start:end])
                 cuts = np.cumsum(lengths)
-                flat = np.insert(flat, cuts, end_id).astype("<u4")
-                ends = 4 * (cuts + np.arange(1, len(cuts) + 1))
+                flat = np.insert(flat, cuts, end_id)
+                if id_bytes < 4 and flat.max(initial=0) >> (8 * id_bytes):
+                    raise ValueError("an id needs more bytes")
+                flat = flat.astype(f"<u{id_bytes}")
+                ends = id_bytes * (cuts + np.arange(1, len(cuts) + 1))
                 raw = flat.tobytes()
                 starts = np.concatenate([[0], ends[:-1]])
                 blobs = [raw[a:b] for a, b in zip(starts, ends, strict=True)]
@@ -152,28 +155,32 @@ def _ids(vocabulary: str, end_id: int):
     return run
 
 
-def tokenize(documents: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """(doc_id, ids, n_tokens) written to the shared folder; ids as little-endian u32."""
+def tokenize(documents: DataFrame, vocabulary: str, end_id: int, id_bytes: int = 2) -> DataFrame:
+    """(doc_id, ids, n_tokens) written to the shared folder; ids little-endian, of 2 or 4 bytes."""
     encoded = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return settle(encoded.mapInArrow(_ids(vocabulary, end_id), "doc_id long, ids binary, n_tokens long"), "ids")
+    return settle(encoded.mapInArrow(_ids(vocabulary, end_id, id_bytes), "doc_id long, ids binary, n_tokens long"), "ids")
+
+
+def _unpacked(blob: pa.BinaryScalar, n: int) -> np.ndarray:
+    return np.frombuffer(blob.as_buffer(), f"<u{len(blob.as_buffer()) // n}") if n else np.zeros(0, "<u2")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each id a partition holds."""
     counts = np.zeros(0, np.int64)
     for batch in batches:
-        for blob in batch[0]:
-            found = np.bincount(np.frombuffer(blob.as_buffer(), "<u4"))
-            if len(found) > len(counts):
-                counts, found = found, counts
-            counts[: len(found)] += found
+        held = [_unpacked(blob, n) for blob, n in zip(batch[0], batch[1].to_pylist(), strict=True)]
+        found = np.bincount(np.concatenate(held)) if held else counts[:0]
+        if len(found) > len(counts):
+            counts, found = found, counts
+        counts[: len(found)] += found
     used = np.flatnonzero(counts)
     yield pa.record_batch([used, counts[used]], names=["id", "n"])
 
 
 def code_book(ids: DataFrame, longest: int = LONGEST) -> np.ndarray:
     """Code lengths by id, from counts over all rows. Only counts by id reach the driver."""
-    counted = ids.select("ids").mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = ids.select("ids", "n_tokens").mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     found = counted.toPandas()
     counts = np.zeros(int(found["id"].max()) + 1 if len(found) else 1, np.int64)
     counts[found["id"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
@@ -196,9 +203,9 @@ def _write(folder: str, lengths: np.ndarray):
         count = 0
         try:
             for batch in _then_none(batches):
-                for doc, blob in zip(batch[0].to_pylist(), batch[1], strict=True) if batch else [(None, None)]:
+                for doc, blob, n in zip(batch[0].to_pylist(), batch[1], batch[2].to_pylist(), strict=True) if batch else [(None,) * 3]:
                     if blob is not None:
-                        ids = np.frombuffer(blob.as_buffer(), "<u4")
+                        ids = _unpacked(blob, n)
                         held.append(ids)
                         docs.append({"doc_id": doc, "n_tokens": len(ids)})
                         count += len(ids)
@@ -237,7 +244,7 @@ def write_ids(ids: DataFrame, folder: str, longest: int = LONGEST) -> DataFrame:
     spark.createDataFrame(book, "id int, bits int").coalesce(1).write.parquet(f"{folder}/codebook")
     order = [F.col("doc_id").asc_nulls_first(), F.crc32("ids")]
     ranged = ids.withColumn("_crc", order[1]).repartitionByRange(width(spark), order[0], "_crc")
-    ranged.sortWithinPartitions(order[0], "_crc").select("doc_id", "ids").mapInArrow(
+    ranged.sortWithinPartitions(order[0], "_crc").select("doc_id", "ids", "n_tokens").mapInArrow(
         _write(folder, lengths), MANIFEST
     ).write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
