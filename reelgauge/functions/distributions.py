@@ -92,3 +92,32 @@ def f_upper(f: Column, df1: Column, df2: Column) -> Column:
     whole = df2 + df1 * f
     p = _beta_tail(df2 / 2, df1 / 2, df2 / whole, df1 * f / whole)
     return F.when((f >= 0) & (df1 > 0) & (df2 > 0), p)
+
+
+_TERMS = 4000
+
+
+def binomial_at_most(k: Column, n: Column, p: float) -> Column:
+    """Chance of at most ``k`` successes in ``n`` trials, for k below the mean.
+
+    Terms are summed from the k-th down; each is a smaller share of the one
+    before it, so what lies beyond the last one is bounded by a geometric
+    series and added. The result is exact to rounding or a little too large,
+    never too small. 1 where k is not below the mean.
+    """
+    k, n = k.cast("double"), n.cast("double")
+    choose = _log_gamma(n + 1) - _log_gamma(k + 1) - _log_gamma(n - k + 1)
+    first = F.exp(choose + k * math.log(p) + (n - k) * math.log1p(-p))
+    odds = (1 - p) / p
+
+    def down(state: Column, j: Column) -> Column:
+        term = state["term"] * j * odds / (n - j + 1)
+        return F.struct(term.alias("term"), (state["total"] + term).alias("total"))
+
+    last = F.greatest(k - _TERMS, F.lit(0.0))
+    steps = F.when(k > 0, F.sequence(k.cast("long"), (last + 1).cast("long"), F.lit(-1).cast("long")))
+    steps = F.coalesce(steps, F.array().cast("array<bigint>"))
+    summed = F.aggregate(steps, F.struct(first.alias("term"), first.alias("total")), down)
+    share = last * odds / (n - last + 1)
+    rest = F.when(last > 0, summed["term"] * share / (1 - share)).otherwise(0.0)
+    return F.when(k < n * p, F.least(summed["total"] + rest, F.lit(1.0))).otherwise(1.0)

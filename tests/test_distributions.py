@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from reelgauge.functions import distributions
 from reelgauge.functions.distributions import f_upper, t_two_sided
 
 FREEDOM = [1.0, 2.0, 3.7, 12.5, 100.0, 1e4]  # beyond, the other side loses digits
@@ -47,3 +48,20 @@ def test_undefined_statistics_give_null(spark):
         t_two_sided(empty, F.lit(3.0)), t_two_sided(F.lit(1.0), F.lit(0.0)), f_upper(empty, F.lit(1), F.lit(1))
     ).first()
     assert tuple(row) == (None, None, None)
+
+
+def test_binomial_at_most_matches_exact_sums(spark):
+    from fractions import Fraction
+    from math import comb
+
+    cases = [(0, 100), (1, 100), (3, 1000), (40, 5000), (0, 5), (70, 4000), (30, 3000), (0, 0)]
+    p = 0.02
+    frame = spark.createDataFrame(cases, "k long, n long")
+    got = frame.select("k", "n", distributions.binomial_at_most(F.col("k"), F.col("n"), p).alias("p")).collect()
+    for row in got:
+        share = Fraction(p)
+        exact = float(sum(comb(row.n, j) * share**j * (1 - share) ** (row.n - j) for j in range(row.k + 1)))
+        if row.k < row.n * p:
+            assert abs(row.p - exact) <= 1e-9 + 1e-9 * exact
+        else:
+            assert row.p == 1.0
