@@ -8,10 +8,14 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reelgauge.llm.embeddings import op9_embedding_near_dedup
+from reelgauge.llm.fuzzy_lines import op4_fuzzy_lines
 from reelgauge.llm.language_id import op2_language_id
 from reelgauge.llm.packing import op8_packing
+from reelgauge.llm.quality import op5_quality_rules
 from reelgauge.llm.simhash import op3_simhash
 from reelgauge.llm.token_files import op1_token_files
+from reelgauge.llm.warc import op7_warc
 from reelgauge.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,7 +36,7 @@ def _query(function: Query) -> Query:
 
 QUERIES: dict[str, Query] = {
     function.__name__: _query(function)
-    for function in (op1_token_files, op2_language_id, op3_simhash, op8_packing)
+    for function in (op1_token_files, op2_language_id, op3_simhash, op4_fuzzy_lines, op5_quality_rules, op7_warc, op8_packing, op9_embedding_near_dedup)
 }
 
 ORACLE: dict[str, str] = {}
