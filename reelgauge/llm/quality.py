@@ -117,12 +117,11 @@ def certified(counts: DataFrame, labels: DataFrame, risk: float = RISK, doubt: f
     known = known.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
     labelled = counts.filter(~base_failed()).join(known, "doc_id")
     # How many cutoffs of its rule a document lies above.
+    def passed(name: str, grid: list[float]) -> Column:
+        return F.size(F.filter(F.array(*map(F.lit, grid)), lambda cutoff: _measure(name) > cutoff))
+
     above = [
-        F.struct(
-            F.lit(name).alias("rule"),
-            F.size(F.filter(F.array(*map(F.lit, grid)), lambda c, m=_measure(name): m > c)).alias("above"),
-        )
-        for name, (_, grid) in RULES.items()
+        F.struct(F.lit(name).alias("rule"), passed(name, grid).alias("above")) for name, (_, grid) in RULES.items()
     ]
     good = F.col("quality") == 1
     counted = settle(
