@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from reelgauge.llm.embeddings import op9_embedding_near_dedup
 from reelgauge.llm.fuzzy_lines import op4_fuzzy_lines
 from reelgauge.llm.language_id import op2_language_id
+from reelgauge.llm.mixing import op6_source_mixing
 from reelgauge.llm.packing import op8_packing
 from reelgauge.llm.quality import op5_quality_rules
 from reelgauge.llm.simhash import op3_simhash
@@ -36,7 +37,7 @@ def _query(function: Query) -> Query:
 
 QUERIES: dict[str, Query] = {
     function.__name__: _query(function)
-    for function in (op1_token_files, op2_language_id, op3_simhash, op4_fuzzy_lines, op5_quality_rules, op7_warc, op8_packing, op9_embedding_near_dedup)
+    for function in (op1_token_files, op2_language_id, op3_simhash, op4_fuzzy_lines, op5_quality_rules, op6_source_mixing, op7_warc, op8_packing, op9_embedding_near_dedup)
 }
 
 ORACLE: dict[str, str] = {}
