@@ -2,42 +2,44 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from reelgauge.llm.embeddings import op9_embedding_near_dedup
 from reelgauge.llm.fuzzy_lines import op4_fuzzy_lines
 from reelgauge.llm.language_id import op2_language_id
+from reelgauge.llm.licences import op10_licence_scan
 from reelgauge.llm.mixing import op6_source_mixing
 from reelgauge.llm.packing import op8_packing
 from reelgauge.llm.quality import op5_quality_rules
+from reelgauge.llm.shared import reachable
 from reelgauge.llm.simhash import op3_simhash
 from reelgauge.llm.token_files import op1_token_files
 from reelgauge.llm.warc import op7_warc
-from reelgauge.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def reachable(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver has it."""
-    root = str(Path(__file__).resolve().parents[2])
-    known = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if root not in known.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
-    return configure(spark)
-
-
 def _query(function: Query) -> Query:
     return lambda spark, sf_dir: function(reachable(spark), sf_dir)
 
 
 QUERIES: dict[str, Query] = {
     function.__name__: _query(function)
-    for function in (op1_token_files, op2_language_id, op3_simhash, op4_fuzzy_lines, op5_quality_rules, op6_source_mixing, op7_warc, op8_packing, op9_embedding_near_dedup)
-}
-
-ORACLE: dict[str, str] = {}
+    for function in (
+        op1_token_files,
+        op2_language_id,
+        op3_simhash,
+        op4_fuzzy_lines,
+        op5_quality_rules,
+        op6_source_mixing,
+        op7_warc,
+        op8_packing,
+        op9_embedding_near_dedup,
+        op10_licence_scan,
+    )
+} | {"pipeline": _query(corpus_pipeline.run)}
+
+ORACLE: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from pathlib import Path
 from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelgauge.session import fresh_path, settle
+from reelgauge.session import configure, fresh_path, settle
 
 __all__ = ["fresh_path", "settle"]
 
@@ -21,6 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def reachable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
+    return configure(spark)
+
+
 def width(spark: SparkSession) -> int:
     """Partitions of a shuffle."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
