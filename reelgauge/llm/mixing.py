@@ -97,7 +97,7 @@ def memberships(documents: DataFrame, source: str = "source", train_docs: int =
     # BUCKETS rows of MOST_SOURCES doubles at most: 4 MB.
     scored = (
         rows.select("row", "id", "source", F.explode_outer(_words("text")).alias("word"))
-        .select("row", "id", "source", _bucket(F.col("word")).alias("bucket"))
+        .select("row", "id", "source", F.when(F.col("word").isNotNull(), _bucket(F.col("word"))).alias("bucket"))
         .join(F.broadcast(likelihood), "bucket", "left")
         .groupBy("row", "id", "source")
         .agg(F.count("bucket").alias("n_tokens"), *[F.sum(f"w{i}").alias(f"w{i}") for i in range(len(names))])
