@@ -133,14 +133,16 @@ def _length_class(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """The events as many files in hashed order, a file a trigger."""
     configure(spark)
-    counts = fresh_path(spark, "daily")
+    landed, counts = fresh_path(spark, "events"), fresh_path(spark, "daily")
+    events = catalogue.table(spark, sf, "events")
+    events.repartition(6, F.xxhash64("event_id")).write.parquet(landed)
     query = daily.start_daily(
-        daily.event_stream(spark, sf),
+        daily.event_stream(spark, landed, "*.parquet", files=1),
         counts,
         fresh_path(spark, "daily-checkpoint"),
         key="event_id",
-        event_time="ts",
         day=F.col("ts"),
         amount=F.col("value"),
     )

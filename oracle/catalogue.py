@@ -1,7 +1,7 @@
 """A video catalogue derived from the test tables.
 
-One order is one video, nation is the channel, region the niche, and the first
-line of a document the title. ``FIXTURES.md`` has the rules.
+One order is one video, nation is the channel, region the niche, and the and the
+lines of a document are shared out as titles. ``FIXTURES.md`` has the rules.
 """
 
 from __future__ import annotations
@@ -40,12 +40,12 @@ def videos(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, name) for name in ("orders", "customer", "nation", "documents")
     )
     key = F.col("o_orderkey")
-    longest = 96
-    lines = documents.select(
-        "doc_id", F.substring(F.substring_index("text", "\n", 1), 1, longest).alias("line")
-    )
-    n_documents = documents.agg(F.count(F.lit(1))).scalar()
-    cut = F.col("line").substr(F.lit(1), (5 + key * 13 % 92).cast("int"))
+    lines = documents.select("doc_id", F.split("text", "\n").alias("lines"))
+    n_documents, n_orders = documents.count(), orders.count()
+    # The orders of a document share out its lines: every line is in a title.
+    per_document = max(1, n_orders // n_documents)
+    mine = F.floor(key / n_documents).cast("bigint") % per_document
+    title = F.array_join(F.filter("lines", lambda _, i: i % per_document == mine), " ")
     seconds = key * 37 % 7200
     likes, comments = key * 7919 % 5000, key * 104729 % 700
     return (
@@ -55,7 +55,7 @@ def videos(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(lines, "doc_id")
         .select(
             F.concat(F.lit("v"), key).alias("video_id"),
-            F.concat(cut, F.when(key % 7 == 0, " 😀").otherwise("")).alias("title"),
+            F.concat(title, F.when(key % 7 == 0, " 😀").otherwise("")).alias("title"),
             F.concat(F.lit("c"), "n_nationkey").alias("channel_id"),
             F.col("n_name").alias("channel_name"),
             (F.col("o_orderdate") + F.make_dt_interval(hours=(key % 24).cast("int")))
@@ -66,7 +66,11 @@ def videos(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.concat(F.lit("PT"), F.floor(seconds / 60), F.lit("M"), seconds % 60, F.lit("S")),
             ).alias("duration"),
             F.when(key % 3 == 0, "sd").otherwise("hd").alias("definition"),
-            F.when(key % 50 == 0, 0).otherwise(F.floor("o_totalprice")).cast("bigint").alias("view_count"),
+            F.when(key % 50 == 0, 0)
+            .when(key % 97 == 0, F.floor("o_totalprice") * 100)
+            .otherwise(F.floor("o_totalprice"))
+            .cast("bigint")
+            .alias("view_count"),
             likes.alias("like_count"),
             comments.alias("comment_count"),
             F.concat(F.lit("https://img.example/v"), key, F.lit(".jpg")).alias("thumbnail_url"),

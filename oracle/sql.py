@@ -10,14 +10,16 @@ YEARS = (1998, 1999, 2000)
 _VIDEOS = """
 v AS MATERIALIZED (
   SELECT concat('v', o_orderkey) AS video_id,
-    concat(substring(split_part(text, chr(10), 1), 1, 5 + cast((o_orderkey * 13) % 92 AS INT)),
+    concat(array_to_string([x FOR x, i IN string_split(text, chr(10))
+             IF (i - 1) % per_document = (o_orderkey // n_documents) % per_document], ' '),
            CASE WHEN o_orderkey % 7 = 0 THEN ' 😀' ELSE '' END) AS title,
     concat('c', n_nationkey) AS channel_id, n_name AS channel_name, r_name AS niche,
     o_orderdate + to_hours(cast(o_orderkey % 24 AS INTEGER)) AS published_at,
     CASE WHEN o_orderkey % 101 = 0 THEN NULL
          ELSE concat('PT', (o_orderkey * 37) % 7200 // 60, 'M', (o_orderkey * 37) % 7200 % 60, 'S') END AS duration,
     CASE WHEN o_orderkey % 3 = 0 THEN 'sd' ELSE 'hd' END AS definition,
-    CASE WHEN o_orderkey % 50 = 0 THEN 0 ELSE cast(floor(o_totalprice) AS BIGINT) END AS view_count,
+    CASE WHEN o_orderkey % 50 = 0 THEN 0 WHEN o_orderkey % 97 = 0 THEN cast(floor(o_totalprice) AS BIGINT) * 100
+         ELSE cast(floor(o_totalprice) AS BIGINT) END AS view_count,
     (o_orderkey * 7919) % 5000 AS like_count,
     (o_orderkey * 104729) % 700 AS comment_count,
     concat('https://img.example/v', o_orderkey, '.jpg') AS thumbnail_url,
@@ -26,7 +28,9 @@ v AS MATERIALIZED (
     (o_orderkey * 104729) % 700 = 0 AS comment_count_missing
   FROM orders JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-  JOIN documents ON doc_id = o_orderkey % (SELECT count(*) FROM documents)
+  CROSS JOIN (SELECT n_documents, greatest(1, n_orders // n_documents) AS per_document
+    FROM (SELECT count(*) AS n_documents FROM documents), (SELECT count(*) AS n_orders FROM orders))
+  JOIN documents ON doc_id = o_orderkey % n_documents
 )"""
 
 _SILVER = """

@@ -11,6 +11,10 @@ METRICS = ["num_videos", "media_views", "total_views", "media_engagement", "medi
 
 
 def monthly(videos: DataFrame, by: By = NICHE) -> DataFrame:
+    return _monthly(videos, by).orderBy(*by, "date")
+
+
+def _monthly(videos: DataFrame, by: By) -> DataFrame:
     return (
         videos.groupBy(*by, "ano", "mes")
         .agg(
@@ -21,7 +25,6 @@ def monthly(videos: DataFrame, by: By = NICHE) -> DataFrame:
             F.avg("like_count").alias("media_likes"),
         )
         .withColumn("date", F.make_date("ano", "mes", F.lit(1)))
-        .orderBy(*by, "date")
     )
 
 
@@ -40,7 +43,7 @@ def trend(videos: DataFrame, by: By = NICHE, calendar: bool = False) -> DataFram
     line = Window.partitionBy(*by, "metric")
     x, y = F.col("month_index"), F.col("value")
     return (
-        monthly(videos, by)
+        _monthly(videos, by)
         .withColumn("month_index", index)
         .withColumns({name: F.col(name).cast("double") for name in METRICS})
         .unpivot([*by, "date", "month_index"], METRICS, "metric", "value")

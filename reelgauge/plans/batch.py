@@ -25,6 +25,6 @@ def run_videos(
     """
     landed = read_json(spark, raw, schemas.RAW_VIDEO, array_files)
     save(one_landing(bronze_videos(landed), keep="last"), bronze, source=landed)
-    rows = silver_videos(read_parquet(spark, bronze, schemas.BRONZE_VIDEO))
+    rows = silver_videos(read_parquet(spark, bronze, schemas.BRONZE_VIDEO, missing_ok=True))
     save_table(rows, silver, ["ano"], ["channel_id"])
     return read_parquet(spark, silver, schemas.SILVER_VIDEO)

@@ -11,14 +11,10 @@ from reelgauge import fixed_values as fixed
 
 
 def niche_bridge(spark: SparkSession, channels: Mapping[str, list[str]] | None = None) -> DataFrame:
-    """(niche, channel_id) pairs; a local relation, so its size is known."""
+    """(niche, channel_id) pairs; a local relation, whose size Catalyst knows."""
     lists = fixed.NICHE_CHANNELS if channels is None else channels
-    pairs = [
-        F.struct(F.lit(niche).alias("niche"), F.lit(channel).alias("channel_id"))
-        for niche, ids in lists.items()
-        for channel in dict.fromkeys(ids)
-    ]
-    return spark.range(1).select(F.inline(F.array(*pairs)))
+    pairs = [(niche, channel) for niche, ids in lists.items() for channel in dict.fromkeys(ids)]
+    return spark.createDataFrame(pairs, "niche string, channel_id string")
 
 
 def harvested_channels(spark: SparkSession) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +17,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
-    # A re-run of one extraction date replaces that date only.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
-_LOCAL_SCRATCH: dict[str, str] = {}
-
-
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the analyses rely on to a running session."""
     for key, value in RUNTIME_SETTINGS.items():
@@ -44,18 +38,22 @@ def build_session(app_name: str = "reelgauge", master: str | None = None, **conf
 def scratch_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables and streaming checkpoints.
 
-    It is the folder ``spark.checkpoint.dir`` names, which every executor can
-    reach. Only a local master may fall back to a temporary folder.
+    It is below the folder ``spark.checkpoint.dir`` names, which every executor
+    can reach. A local master that names none has it below its warehouse.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    app = spark.conf.get("spark.app.id", "app")
-    if shared:
-        return f"{shared.rstrip('/')}/reelgauge/{app}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if app not in _LOCAL_SCRATCH:
-        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="reelgauge-")
-    return _LOCAL_SCRATCH[app]
+    if not shared:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    return f"{shared.rstrip('/')}/reelgauge/{spark.conf.get('spark.app.id', 'app')}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once all results that read them are written."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -68,7 +66,8 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     Meant for results that are small and used more than once, such as one row
     of thresholds per niche. The lineage ends at the files, so losing an
     executor costs nothing, and the file size gives Catalyst an exact figure to
-    choose between a broadcast and a shuffled join.
+    choose between a broadcast and a shuffled join. The write is a job: an
+    analysis that settles runs jobs when it is called, not only at its action.
     """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)

@@ -9,23 +9,23 @@ from reelgauge import schemas
 from reelgauge.sources.readers import read_parquet
 
 
+#: Options of each format a table may be saved in.
+FORMATS = {"parquet": {}, "csv": {"header": True}}
+
+
 def save(df: DataFrame, path: str, format: str = "parquet", source: DataFrame | None = None) -> bool:
     """Replace the table at ``path``; an empty frame is not written.
 
     ``source`` may name a frame that is empty when ``df`` is and cheaper to
     probe, so that a shuffle in ``df`` does not run twice.
     """
-    if (df if source is None else source).isEmpty():
-        return False
-    kind = format.lower()
-    if kind not in ("parquet", "csv"):
-        raise ValueError(f"Unsupported format: {format}. Use 'parquet' or 'csv'.")
-    writer = df.write.mode("overwrite")
-    if kind == "csv":
-        writer.option("header", True).csv(path)
-    else:
-        writer.parquet(path)
-    return True
+    filled = not (df if source is None else source).isEmpty()
+    if filled:
+        kind = format.lower()
+        if kind not in FORMATS:
+            raise ValueError(f"no sink for {format!r}; there are {', '.join(FORMATS)}")
+        df.write.format(kind).mode("overwrite").save(path, **FORMATS[kind])
+    return filled
 
 
 def save_table(df: DataFrame, path: str, partition_by: list[str], sort_by: list[str]) -> None:
@@ -34,12 +34,14 @@ def save_table(df: DataFrame, path: str, partition_by: list[str], sort_by: list[
     The rebalance hint lets adaptive execution merge small and split large
     output partitions, so one heavy year does not end up in one task or in
     thousands of small files. Sorted files let Parquet statistics skip row
-    groups of other channels.
+    groups of other channels. The whole table is replaced: partitions that no
+    longer occur go.
     """
     (
         df.hint("rebalance", *partition_by)
         .sortWithinPartitions(*partition_by, *sort_by)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .partitionBy(*partition_by)
         .parquet(path)
     )

@@ -1,8 +1,11 @@
 """Daily counts kept current by a stream.
 
-The stream drops repeated keys inside the watermark and adds one partial row
-per day and micro-batch to a table. Counts and sums of partials add up, so the
-open day is never held back, and a replayed batch overwrites its own folder.
+Every row of a micro-batch goes to a log, a folder for each batch, partitioned
+by day; then the days the batch touched are counted anew from the log and
+replaced. Nothing is dropped: a late row reopens its day, and how many files a
+trigger takes cannot change a total. A key counts once a day, rows without a
+key count each; the count of a day is a batch aggregation, which combines on
+the map side. A replayed batch overwrites its own folder and its own days.
 """
 
 from __future__ import annotations
@@ -17,7 +20,12 @@ from reelgauge.plans.bronze import bronze_videos
 from reelgauge.plans.silver import silver_videos
 from reelgauge.sources.readers import read_parquet
 
-PARTIAL = T.StructType([
+LOG = T.StructType([
+    T.StructField("key", T.StringType()),
+    T.StructField("amount", T.DoubleType()),
+    T.StructField("day", T.DateType()),
+])
+DAYS = T.StructType([
     T.StructField("day", T.DateType()),
     T.StructField("n", T.LongType()),
     T.StructField("total", T.DoubleType()),
@@ -36,69 +44,67 @@ def event_stream(spark: SparkSession, folder: str, pattern: str = "events.parque
 
 
 def landed_video_stream(spark: SparkSession, folder: str, files: int = 1000) -> DataFrame:
-    """Silver rows of newly landed JSON, with ``landed_at`` for the watermark.
-
-    Publication may be years before extraction, so the watermark follows the
-    extraction date.
-    """
+    """Silver rows of newly landed JSON."""
     raw = (
         spark.readStream.schema(schemas.RAW_VIDEO)
         .option("maxFilesPerTrigger", files)
         .json(folder)
         .withColumn("extraction_date", F.date_format("extraction_date", "yyyy-MM-dd"))
     )
-    return silver_videos(bronze_videos(raw)).withColumn(
-        "landed_at", F.to_timestamp("extraction_date", "yyyy-MM-dd")
-    )
+    return silver_videos(bronze_videos(raw))
 
 
 def start_daily(
-    stream: DataFrame,
-    table: str,
-    checkpoint: str,
-    key: str,
-    event_time: str,
-    day: Column,
-    amount: Column,
-    delay: str = "1 day",
+    stream: DataFrame, table: str, checkpoint: str, key: str, day: Column, amount: Column
 ) -> StreamingQuery:
-    """Process what is there and stop; later runs continue from ``checkpoint``.
-
-    The copies of one key in a micro-batch meet in one task; the number of files
-    per trigger bounds them. Rows later than ``delay`` behind the newest ``event_time`` are dropped and
-    show up in ``late_rows``.
-    """
-    unique = stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
-    partials = unique.select(F.to_date(day).alias("day"), amount.cast("double").alias("amount"))
+    """Process what is there and stop; later runs continue from ``checkpoint``."""
+    rows = stream.select(
+        F.to_date(day).alias("day"), F.col(key).cast("string").alias("key"), amount.cast("double").alias("amount")
+    )
 
     def add(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        mine = f"{table}/log/batch={batch_id}"
+        batch.write.mode("overwrite").partitionBy("day").parquet(mine)
+        touched = [x["day"] for x in _log(spark, mine).select("day").distinct().collect()]  # days of a calendar
+        if not touched:
+            return
+        dated = F.col("day").isin([x for x in touched if x is not None])
+        wanted = dated | F.col("day").isNull() if None in touched else dated
         (
-            batch.groupBy("day")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"))
+            _counts(_log(spark, f"{table}/log").filter(wanted))
             .write.mode("overwrite")
-            .parquet(f"{table}/batch={batch_id}")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day")
+            .parquet(f"{table}/days")
         )
 
     return (
-        partials.writeStream.foreachBatch(add)
+        rows.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped behind the watermark, over the kept progress reports."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
+def _log(spark: SparkSession, path: str) -> DataFrame:
+    return read_parquet(spark, path, LOG, missing_ok=True)
+
+
+def _counts(log: DataFrame) -> DataFrame:
+    by_key = log.groupBy("day", "key").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("amount").alias("one"), F.sum("amount").alias("all")
+    )
+    keyed = F.col("key").isNotNull()
+    return by_key.groupBy("day").agg(
+        F.sum(F.when(keyed, 1).otherwise(F.col("copies"))).alias("n"),
+        F.sum(F.when(keyed, F.col("one")).otherwise(F.col("all"))).alias("total"),
     )
 
 
 def daily_totals(spark: SparkSession, table: str) -> DataFrame:
-    partials = read_parquet(spark, table, PARTIAL)
-    return partials.groupBy("day").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    """(day, n, total); no rows before the first batch."""
+    return read_parquet(spark, f"{table}/days", DAYS, missing_ok=True)
 
 
 def monthly_totals(spark: SparkSession, table: str) -> DataFrame:

@@ -11,7 +11,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
@@ -19,6 +19,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
             "spark.sql.shuffle.partitions": "8",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     session.sparkContext.setLogLevel("OFF")

@@ -7,16 +7,14 @@ from reelgauge import schemas
 from reelgauge.streaming import daily
 
 
-def run(spark, folder, tmp_path, pattern="*.parquet"):
+def run(spark, folder, tmp_path, pattern="*.parquet", files=1):
     query = daily.start_daily(
-        daily.event_stream(spark, str(folder), pattern, files=1),
+        daily.event_stream(spark, str(folder), pattern, files=files),
         str(tmp_path / "counts"),
         str(tmp_path / "checkpoint"),
         key="event_id",
-        event_time="ts",
         day=F.col("ts"),
         amount=F.col("value"),
-        delay="2 days",
     )
     query.awaitTermination()
     return query
@@ -50,14 +48,35 @@ def test_repeats_and_later_runs(spark, tmp_path, folder):
     assert [(r.ano_mes, r.n, r.total) for r in months] == [("2024-01", 3, 9.0)]
 
 
-def test_late_rows_are_dropped_and_counted(spark, tmp_path, folder):
+def test_late_rows_reopen_their_day(spark, tmp_path, folder):
     land(events(spark, (1, "2024-01-20 10:00:00", 1.0)), folder, 1)
     run(spark, folder / "*", tmp_path)
     land(events(spark, (2, "2024-01-01 10:00:00", 1.0), (3, "2024-01-19 10:00:00", 1.0)), folder, 2)
-    query = run(spark, folder / "*", tmp_path)
-    found = {str(r.day): r.n for r in daily.daily_totals(spark, str(tmp_path / "counts")).collect()}
-    assert found == {"2024-01-20": 1, "2024-01-19": 1}
-    assert daily.late_rows(query) == 1
+    run(spark, folder / "*", tmp_path)
+    land(events(spark, (4, "2024-01-01 11:00:00", 5.0), (2, "2024-01-01 10:00:00", 1.0)), folder, 3)
+    run(spark, folder / "*", tmp_path)
+    found = {str(r.day): (r.n, r.total) for r in daily.daily_totals(spark, str(tmp_path / "counts")).collect()}
+    assert found == {"2024-01-20": (1, 1.0), "2024-01-19": (1, 1.0), "2024-01-01": (2, 6.0)}
+
+
+@pytest.mark.parametrize("files", [1, 1000])
+def test_trigger_size_changes_nothing(spark, tmp_path, sf_dir, files):
+    landed = str(tmp_path / "landed")
+    spark.read.parquet(f"{sf_dir}/events.parquet").repartition(4, "event_id").write.parquet(landed)
+    run(spark, landed, tmp_path, files=files)
+    total = daily.daily_totals(spark, str(tmp_path / "counts")).agg(F.sum("n")).first()[0]
+    assert total == spark.read.parquet(f"{sf_dir}/events.parquet").count()
+
+
+def test_rows_without_key_or_day_count(spark, tmp_path, folder):
+    land(events(spark, (None, "2024-01-01 10:00:00", 1.0), (None, "2024-01-01 10:00:00", 1.0), (1, None, 2.0)), folder, 1)
+    run(spark, folder / "*", tmp_path)
+    found = {r.day and str(r.day): (r.n, r.total) for r in daily.daily_totals(spark, str(tmp_path / "counts")).collect()}
+    assert found == {"2024-01-01": (2, 2.0), None: (1, 2.0)}
+
+
+def test_no_table_yet(spark, tmp_path):
+    assert daily.daily_totals(spark, str(tmp_path / "none")).collect() == []
 
 
 def test_landed_videos(spark, tmp_path):
@@ -74,7 +93,6 @@ def test_landed_videos(spark, tmp_path):
         str(tmp_path / "counts"),
         str(tmp_path / "checkpoint"),
         key="video_id",
-        event_time="landed_at",
         day=F.col("published_at"),
         amount=F.col("view_count"),
     )
