@@ -2,8 +2,11 @@
 
 The built-in ``percentile`` keeps every distinct value of a group in one task.
 Here a first pass counts rows per logarithmic bucket, which is a small
-aggregate, and finds the buckets that hold the wanted ranks. A second pass
-counts the distinct values of those buckets only and picks the ranks.
+aggregate, and finds the buckets that hold the wanted ranks. While such a
+bucket holds more than ``MOST`` rows of different values, its range is cut
+again into equal parts, a pass for each cut. A last pass counts the distinct
+values of what is left and picks the ranks, so no task sorts more than ``MOST``
+distinct values of a bucket, however the values are spread.
 """
 
 from __future__ import annotations
@@ -15,6 +18,8 @@ from reelgauge.operators.grouped import By
 from reelgauge.session import settle
 
 _BUCKETS_PER_OCTAVE = 128
+_PARTS = 4096
+MOST = 100_000
 
 
 def _bucket(value: Column) -> Column:
@@ -28,7 +33,11 @@ def _running(by: list[str], order: str):
 
 
 def quantiles(
-    df: DataFrame, by: By, wanted: dict[str, tuple[Column, float]], label: str = "quantiles"
+    df: DataFrame,
+    by: By,
+    wanted: dict[str, tuple[Column, float]],
+    label: str = "quantiles",
+    most: int = MOST,
 ) -> DataFrame:
     """One row per group with a column per entry of ``wanted``.
 
@@ -75,23 +84,33 @@ def quantiles(
     inside = F.filter(wanted_ranks, lambda t: (t["inside"] >= 0) & (t["inside"] < F.col("n")))
     buckets = (
         long.groupBy(*group_keys, "bucket")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
         .select(
             "*",
             F.sum("n").over(_running(group_keys, "bucket")).alias("upto"),
             F.sum("n").over(Window.partitionBy(*group_keys)).alias("total"),
         )
-        .select(*group_keys, "bucket", inside.alias("targets"))
+        .select(*group_keys, "bucket", "low", "high", "n", inside.alias("targets"))
         .filter(F.size("targets") > 0)
     )
     targets = settle(buckets, label)
+    span = [*group_keys, "bucket", "low", "high"]
+    in_span = F.col("value").between(F.col("low"), F.col("high"))
+    while not (wide := targets.filter((F.col("n") > most) & (F.col("low") < F.col("high")))).isEmpty():
+        targets = settle(
+            _cut(long, wide, group_keys, span, in_span).unionByName(
+                targets.filter(~((F.col("n") > most) & (F.col("low") < F.col("high"))))
+            ),
+            label,
+        )
 
     found = (
-        long.join(targets.drop("targets"), [*group_keys, "bucket"], "left_semi")
-        .groupBy(*group_keys, "bucket", "value")
+        long.join(targets.select(*span), [*group_keys, "bucket"])
+        .filter(in_span)
+        .groupBy(*span, "value")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.sum("n").over(_running([*group_keys, "bucket"], "value")))
-        .join(targets, [*group_keys, "bucket"])
+        .withColumn("upto", F.sum("n").over(_running(span, "value")))
+        .join(targets.drop("n"), span)
         .select(*group_keys, "value", "n", "upto", F.inline("targets"))
         .filter(
             (F.col("inside") < F.col("upto")) & (F.col("inside") >= F.col("upto") - F.col("n"))
@@ -106,3 +125,23 @@ def quantiles(
         return low + F.coalesce((high - low) * F.max(F.when(mine, F.col("share"))), F.lit(0.0))
 
     return found.groupBy(*keys).agg(*[picked(*entry).alias(name) for name, entry in wanted.items()])
+
+
+def _cut(long: DataFrame, wide: DataFrame, group_keys: list[str], span: list[str], in_span: Column) -> DataFrame:
+    """The parts of wide spans that hold the wanted ranks, in the form of the spans."""
+    part = F.floor((F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * _PARTS)
+    parts = (
+        long.join(wide.select(*span), [*group_keys, "bucket"])
+        .filter(in_span)
+        .groupBy(*span, part.alias("part"))
+        .agg(F.count(F.lit(1)).alias("m"), F.min("value").alias("least"), F.max("value").alias("most"))
+        .withColumn("before", F.sum("m").over(_running(span, "part")) - F.col("m"))
+    )
+    moved = F.transform("targets", lambda t: t.withField("inside", t["inside"] - F.col("before")))
+    mine = F.filter(moved, lambda t: (t["inside"] >= 0) & (t["inside"] < F.col("m")))
+    return (
+        parts.join(wide, span)
+        .select(*group_keys, "bucket", F.col("least").alias("low"), F.col("most").alias("high"),
+                F.col("m").alias("n"), mine.alias("targets"))
+        .filter(F.size("targets") > 0)
+    )

@@ -166,7 +166,9 @@ def keyword_impact(
         "videos": F.count(F.lit(1)),
         **{f"n_{metric}": F.count(column) for metric, column in measured.items()},
         **{f"sum_{metric}": F.sum(column) for metric, column in measured.items()},
-        "varp": F.coalesce(F.var_pop("view_count"), F.lit(0.0)),
+        # Views are whole numbers: decimals keep the squares exact, so that what
+        # lacks a keyword is exact too, however few videos that are.
+        "squares": F.sum(F.col("view_count").cast("decimal(19,0)") * F.col("view_count").cast("decimal(19,0)")),
     }
     counted = (
         offered.withColumn("keyword", F.explode(held))
@@ -190,23 +192,27 @@ def keyword_impact(
         return F.when(n > 0, total / n)
 
     n1, n2 = F.col("n_views_with"), F.col("n_views_without")
-    gap = F.col("mean_with") - F.col("mean_without")
-    squares = (
-        F.col("varp_all") * F.col("n_views_all")
-        - F.col("varp_with") * n1
-        - gap * gap * n1 * n2 / F.col("n_views_all")
-    )
+
+    def variance(suffix: str) -> Column:
+        n, total = F.col(f"n_views_{suffix}"), F.col(f"sum_views_{suffix}")
+        # The mean's share taken out in whole steps: total = n * whole + left.
+        whole, left = (total - F.pmod(total, n)) / n, F.pmod(total, n)
+        exact = F.col(f"squares_{suffix}").cast("decimal(38,0)") - (
+            (total + left).cast("decimal(19,0)") * whole.cast("decimal(19,0)")
+        )
+        return F.when(n > 1, F.greatest(exact.cast("double") - left * (left / n), F.lit(0.0)) / (n - 1))
+
     rows = (
         both.withColumns({
             f"{part}_without": rest(part)
-            for part in ["videos", *[f"{k}_{m}" for k in ("n", "sum") for m in measured]]
+            for part in ["videos", "squares", *[f"{k}_{m}" for k in ("n", "sum") for m in measured]]
         })
         .withColumns({"mean_with": mean("views", "with"), "mean_without": mean("views", "without")})
         .withColumns({
             "n_with": n1,
             "n_without": n2,
-            "var_with": F.when(n1 > 1, F.col("varp_with") * n1 / (n1 - 1)),
-            "var_without": F.when(n2 > 1, F.greatest(squares, F.lit(0.0)) / (n2 - 1)),
+            "var_with": variance("with"),
+            "var_without": variance("without"),
         })
     )
     return with_welch(rows, "with", "without").select(

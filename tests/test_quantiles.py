@@ -17,11 +17,12 @@ SAMPLES = {
 PROBABILITIES = [0.0, 0.25, 0.5, 0.75, 0.99, 1.0]
 
 
-def test_equal_to_linear_interpolation(spark):
+@pytest.mark.parametrize("most", [100_000, 8])
+def test_equal_to_linear_interpolation(spark, most):
     rows = [(name, value) for name, values in SAMPLES.items() for value in values]
     frame = spark.createDataFrame(rows, "g string, x double").repartition(8)
     wanted = {f"q{i}": (F.col("x"), p) for i, p in enumerate(PROBABILITIES)}
-    found = {row.g: tuple(row)[1:] for row in quantiles(frame, ["g"], wanted).collect()}
+    found = {row.g: tuple(row)[1:] for row in quantiles(frame, ["g"], wanted, most=most).collect()}
     assert set(found) == set(SAMPLES)
     for name, values in SAMPLES.items():
         assert found[name] == pytest.approx(np.quantile(values, PROBABILITIES), rel=1e-12), name
