@@ -22,7 +22,7 @@ from reelgauge.operators import (
     weekday,
 )
 from reelgauge.plans import niches
-from reelgauge.plans.bronze import bronze_channels, bronze_videos
+from reelgauge.plans.bronze import bronze_channels, bronze_videos, usable, video_rejects
 from reelgauge.session import configure, fresh_path
 from reelgauge.sources import harvest, readers, sinks
 from reelgauge.streaming import daily
@@ -67,6 +67,54 @@ def _bronze_videos(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(bronze_videos(raw))
 
 
+def _landed(spark: SparkSession, text: DataFrame) -> str:
+    """JSON lines landed as files."""
+    path = fresh_path(spark, "raw")
+    text.select("value").write.text(path)
+    return path
+
+
+def _json_scan_channels(spark: SparkSession, sf: str) -> DataFrame:
+    path = _landed(spark, catalogue.raw_channel_text(spark, sf))
+    return _plain(bronze_channels(readers.read_json(spark, path, schemas.RAW_CHANNEL)))
+
+
+def _json_scan_videos(spark: SparkSession, sf: str) -> DataFrame:
+    path = _landed(spark, catalogue.raw_video_text(spark, sf))
+    return _plain(bronze_videos(usable(readers.read_json_checked(spark, path, schemas.RAW_VIDEO))))
+
+
+def _rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed lines, some of them cut off, without id, or with unreadable times."""
+    path = _landed(spark, catalogue.damaged_video_text(spark, sf))
+    checked = readers.read_json_checked(spark, path, schemas.RAW_VIDEO)
+    return video_rejects(checked).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    rows = catalogue.silver(spark, sf).select("video_id", "channel_name", "view_count", "extraction_date")
+    path = fresh_path(spark, "csv")
+    sinks.save(rows, path, "csv")
+    return spark.read.schema(rows.schema).option("header", True).csv(path)
+
+
+def _landing_dates(spark: SparkSession, sf: str) -> DataFrame:
+    rows = catalogue.silver(spark, sf).withColumnRenamed("extraction_date", "seen")
+    path = fresh_path(spark, "landing")
+    sinks.land_json(rows.select("video_id", "seen"), path, F.to_date("seen"))
+    landed = spark.read.schema("video_id string, seen string, extraction_date string").json(path)
+    return landed.groupBy("extraction_date").agg(F.count("video_id").alias("n"))
+
+
+def _silver_rebuild(spark: SparkSession, sf: str) -> DataFrame:
+    """A table written twice, the second time with fewer years."""
+    rows, path = catalogue.silver(spark, sf), fresh_path(spark, "rebuild")
+    sinks.save_table(rows, path, ["ano"], ["channel_id"])
+    sinks.save_table(rows.filter("ano > 1995"), path, ["ano"], ["channel_id"])
+    again = readers.read_parquet(spark, path, schemas.SILVER_VIDEO)
+    return again.groupBy("ano").agg(F.count("video_id").alias("n"))
+
+
 def _silver_videos(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(catalogue.silver(spark, sf))
 
@@ -169,6 +217,12 @@ def own_queries() -> dict[str, Query]:
         "bronze_channels": _bronze_channels,
         "bronze_videos": _bronze_videos,
         "silver_videos": _silver_videos,
+        "json_scan_channels": _json_scan_channels,
+        "json_scan_videos": _json_scan_videos,
+        "rejects": _rejects,
+        "csv_round_trip": _csv_round_trip,
+        "landing_dates": _landing_dates,
+        "silver_rebuild": _silver_rebuild,
         "suggestions_append": _suggestions_append,
         "id_batches": _id_batches,
         "dedupe_videos": _dedupe_videos,
@@ -179,6 +233,7 @@ def own_queries() -> dict[str, Query]:
         "length_class": _length_class,
         "overview_totals": _analysis(overview.totals),
         "overview_monthly": _analysis(overview.monthly),
+        "overview_chosen": _analysis(overview.monthly, channels=catalogue.CHOSEN),
         "channel_list": _analysis(overview.channel_list),
         "channel_month_compare": _analysis(channels.month_compare, catalogue.YEARS),
         "channel_year_join": _analysis(channels.year_compare_by_join, catalogue.YEARS),

@@ -18,6 +18,7 @@ from reelgauge.sources.sinks import save_table
 
 CUTS = {"EUROPE": 3600}
 YEARS = [1998, 1999, 2000]
+CHOSEN = ["FRANCE", "CHINA", "KENYA"]
 
 _BUILT: dict[tuple[str, str], tuple[str, str]] = {}
 
@@ -108,6 +109,20 @@ def raw_video_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return videos(spark, sf_dir).select(F.to_json(body).alias("value"))
 
 
+def damaged_video_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed videos with a few lines cut off, without id or with unreadable times."""
+    value, key = F.col("value"), F.col("key")
+    text = raw_video_text(spark, sf_dir).withColumn("key", F.regexp_extract("value", '"id":"v([0-9]+)"', 1).cast("bigint"))
+    return text.select(
+        F.when(key % 211 == 0, F.substring(value, 1, 20))
+        .when(key % 223 == 0, F.regexp_replace(value, '"id":"v[0-9]+",', ""))
+        .when(key % 227 == 0, F.regexp_replace(value, '"duration":"[^"]*"', '"duration":"soon"'))
+        .when(key % 229 == 0, F.regexp_replace(value, '"publishedAt":"[^"]*"', '"publishedAt":"never"'))
+        .otherwise(value)
+        .alias("value")
+    )
+
+
 def raw_channel_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Channels as landed JSON objects, some with missing or unreadable counts."""
     totals = (

@@ -393,7 +393,7 @@ def all_queries() -> dict[str, str]:
   like_count_missing, comment_count_missing, dia_semana, hora_publicacao, mes, ano, dia,
   semana_do_ano, ano_da_semana, ano_mes_publish, round(engagement_rate, 6) AS engagement_rate,
   round(like_ratio, 6) AS like_ratio, round(comment_ratio, 6) AS comment_ratio"""
-    return {
+    found = {
         "bronze_channels": _over("""
 SELECT concat('c', n_nationkey) AS channel_id, n_name AS channel_name, concat('@', lower(n_name)) AS custom_url,
   cast(concat('20', lpad(cast(n_nationkey % 20 AS VARCHAR), 2, '0'), '-03-15 10:20:30') AS TIMESTAMP) AS dt_published,
@@ -405,6 +405,19 @@ SELECT concat('c', n_nationkey) AS channel_id, n_name AS channel_name, concat('@
 FROM nation JOIN v ON v.channel_id = concat('c', n_nationkey) GROUP BY n_nationkey, n_name"""),
         "bronze_videos": _over("SELECT * EXCLUDE (niche) FROM v"),
         "silver_videos": _over(f"SELECT {silver_columns} FROM s"),
+        "json_scan_videos": _over("SELECT * EXCLUDE (niche) FROM v"),
+        "rejects": """
+SELECT reason, count(*) AS n FROM (
+  SELECT CASE WHEN o_orderkey % 211 = 0 THEN 'unreadable' WHEN o_orderkey % 223 = 0 THEN 'no id'
+    WHEN o_orderkey % 227 = 0 THEN CASE WHEN o_orderkey % 101 <> 0 THEN 'duration' END
+    WHEN o_orderkey % 229 = 0 THEN 'published_at' END AS reason
+  FROM orders) WHERE reason IS NOT NULL GROUP BY reason""",
+        "csv_round_trip": _over("SELECT video_id, channel_name, view_count, extraction_date FROM v"),
+        "landing_dates": _over("SELECT extraction_date, count(*) AS n FROM v GROUP BY ALL"),
+        "silver_rebuild": _over("SELECT ano, count(*) AS n FROM s WHERE ano > 1995 GROUP BY ALL"),
+        "overview_chosen": _over("""
+SELECT niche, length_class, ano_mes_publish, count(*) AS n_videos, cast(sum(view_count) AS BIGINT) AS total_views
+FROM w WHERE length_class IS NOT NULL AND channel_name IN ('FRANCE', 'CHINA', 'KENYA') GROUP BY ALL"""),
         "suggestions_append": """
 SELECT c_name AS channel_name, c_mktsegment AS dashboard FROM customer WHERE c_mktsegment <> 'BUILDING'""",
         "id_batches": _over("""
@@ -592,3 +605,4 @@ WHERE kw_p.rank = 1""",
         "stream_daily": """
 SELECT cast(ts AS DATE) AS day, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL""",
     }
+    return found | {"json_scan_channels": found["bronze_channels"]}

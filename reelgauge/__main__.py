@@ -28,6 +28,7 @@ def main() -> None:
         f"{options.out}/bronze/video",
         f"{options.out}/silver/video",
         options.array_files,
+        f"{options.out}/rejects/video",
     )
     write_gold(niche_view(silver, niche_bridge(spark)), f"{options.out}/gold", options.only)
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelgauge.functions.columns import count_from_text, instant
+from reelgauge.functions.columns import count_from_text, duration_seconds, instant
+from reelgauge.sources.readers import CORRUPT
 
 
 def bronze_channels(raw: DataFrame) -> DataFrame:
@@ -41,3 +42,33 @@ def bronze_videos(raw: DataFrame) -> DataFrame:
         likes.isNull().alias("like_count_missing"),
         comments.isNull().alias("comment_count_missing"),
     )
+
+
+def usable(raw: DataFrame) -> DataFrame:
+    """Rows of a checked scan that can be read and have an id."""
+    return raw.filter(F.col(CORRUPT).isNull() & F.col("id").isNotNull()).drop(CORRUPT, "source_file")
+
+
+def video_rejects(raw: DataFrame) -> DataFrame:
+    """(reason, video_id, source_file, record) for what is wrong in a checked scan, a row for each reason.
+
+    ``unreadable`` and ``no id`` rows are not in bronze; an instant or a
+    duration that cannot be read is NULL there.
+    """
+    at, length = F.col("snippet.publishedAt"), F.col("contentDetails.duration")
+    readable = F.col(CORRUPT).isNull()
+    reasons = F.array_compact(
+        F.array(
+            F.when(~readable, "unreadable"),
+            F.when(readable & F.col("id").isNull(), "no id"),
+            F.when(readable & at.isNotNull() & instant(at).isNull(), "published_at"),
+            F.when(readable & length.isNotNull() & duration_seconds(length).isNull(), "duration"),
+        )
+    )
+    whole = F.to_json(F.struct(*[name for name in raw.columns if name not in (CORRUPT, "source_file")]))
+    return raw.select(
+        F.explode(reasons).alias("reason"),
+        F.col("id").alias("video_id"),
+        "source_file",
+        F.coalesce(CORRUPT, whole).alias("record"),
+    )

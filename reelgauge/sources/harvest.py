@@ -74,11 +74,14 @@ def one_landing(
     """One row per ``key``: the first or the last landed, ties by the other columns.
 
     ``min`` and ``max`` over a struct are combined on the map side, so a key
-    with countless copies sends one row per task.
+    with countless copies sends one row per task. Rows without a key are not
+    copies of each other and all stay.
     """
     pick = {"first": F.min, "last": F.max}[keep]
     rest = [name for name in landed.columns if name not in (key, order)]
-    return landed.groupBy(key).agg(pick(F.struct(order, *rest)).alias("row")).select(key, "row.*")
+    keyed = landed.filter(F.col(key).isNotNull())
+    one = keyed.groupBy(key).agg(pick(F.struct(order, *rest)).alias("row")).select(key, "row.*")
+    return one.unionByName(landed.filter(F.col(key).isNull()))
 
 
 def harvest_counts(found: DataFrame, details: DataFrame) -> DataFrame:

@@ -75,6 +75,16 @@ def read_json(
     )
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_json_checked(spark: SparkSession, path: str, schema: T.StructType, array_files: bool = False) -> DataFrame:
+    """JSON scan that keeps what it cannot read, as text in ``_corrupt_record``, and the file each row is from."""
+    wanted = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    rows = spark.read.schema(wanted).option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", array_files)
+    return rows.json(_checked(path)).select("*", F.col("_metadata.file_path").alias("source_file"))
+
+
 def parse_json(text: Column, schema: T.StructType) -> Column:
     """One JSON object held as text; an unreadable one gives NULL fields."""
     return F.from_json(text, schema, {"mode": "PERMISSIVE"})

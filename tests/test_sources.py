@@ -8,7 +8,7 @@ from reelgauge.plans import batch, niches
 from reelgauge.plans.bronze import bronze_channels, bronze_videos
 from reelgauge.plans.gold import write_gold
 from reelgauge.plans.silver import duration_rejects, silver_videos
-from reelgauge.sources import readers, sinks
+from reelgauge.sources import harvest, readers, sinks
 
 VIDEO = {
     "id": "v1",
@@ -163,3 +163,35 @@ def test_channels_job(spark, tmp_path):
     raw = write_array(tmp_path / "raw", "c.json", [{"id": "c1"}])
     assert batch.run_channels(spark, raw, str(tmp_path / "bronze"), array_files=True)
     assert spark.read.parquet(str(tmp_path / "bronze")).count() == 1
+
+
+def test_unreadable_rows_are_rejects(spark, tmp_path):
+    from reelgauge.plans import batch
+
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a.json").write_text(
+        '{"id": "v1", "snippet": {"publishedAt": "2024-01-01T00:00:00Z"}, "contentDetails": {"duration": "PT1M"}}\n'
+        '{"id": "v2", "snippet": {"publishedAt": "soon"}, "contentDetails": {"duration": "long"}}\n'
+        '{"id": "v3", "snip\n{"snippet": {"title": "no id"}}\n{"snippet": {"title": "no id either"}}\n'
+    )
+    paths = [str(tmp_path / x) for x in ("raw", "bronze", "silver")]
+    silver = batch.run_videos(spark, *paths, rejects=str(tmp_path / "rejects"))
+    assert sorted(x.video_id for x in silver.collect()) == ["v1", "v2"]
+    found = spark.read.parquet(str(tmp_path / "rejects")).collect()
+    reasons = sorted((x.reason, x.video_id) for x in found if x.video_id)
+    assert reasons == [("duration", "v2"), ("published_at", "v2")]
+    assert sorted(x.reason for x in found if not x.video_id) == ["no id", "no id", "unreadable"]
+    assert all(x.source_file.endswith("a.json") and x.record for x in found)
+
+
+def test_rows_without_key_stay(spark):
+    rows = spark.createDataFrame([(None, "1"), (None, "1"), ("a", "2"), ("a", "1")], "video_id string, extraction_date string")
+    found = harvest.one_landing(rows).collect()
+    assert sorted(map(tuple, found), key=str) == [("a", "1"), (None, "1"), (None, "1")]
+
+
+def test_rebuild_drops_vanished_partitions(spark, tmp_path):
+    path = str(tmp_path / "table")
+    sinks.save_table(spark.createDataFrame([("a", 2023), ("b", 2024)], "id string, ano int"), path, ["ano"], ["id"])
+    sinks.save_table(spark.createDataFrame([("a", 2024), ("b", 2024)], "id string, ano int"), path, ["ano"], ["id"])
+    assert sorted(map(tuple, spark.read.parquet(path).select("id", "ano").collect())) == [("a", 2024), ("b", 2024)]
