@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from reelgauge import fixed_values as fixed
-from reelgauge.functions.text import emoji_pattern
 
 YEARS = (1998, 1999, 2000)
 
@@ -100,7 +99,22 @@ _BINS = ", ".join(
 )
 _DAYS = ", ".join(f"({no}, '{label}')" for no, label in enumerate(fixed.WEEKDAYS_PT.values()))
 _STOP = ", ".join(f"'{word}'" for word in fixed.STOPWORDS)
-_EMOJI = emoji_pattern()
+# Fixed values, written out so that a wrong range in the package shows.
+_EMOJI = (
+    "["
+    r"\x{1F600}-\x{1F64F}"
+    r"\x{1F300}-\x{1F5FF}"
+    r"\x{1F680}-\x{1F6FF}"
+    r"\x{1F700}-\x{1F77F}"
+    r"\x{1F780}-\x{1F7FF}"
+    r"\x{1F800}-\x{1F8FF}"
+    r"\x{1F900}-\x{1F9FF}"
+    r"\x{1FA00}-\x{1FA6F}"
+    r"\x{1FA70}-\x{1FAFF}"
+    r"\x{2702}-\x{27B0}"
+    r"\x{24C2}-\x{1F251}"
+    "]"
+)
 
 _BIN_STATS = f"""
 bins AS (SELECT * FROM (VALUES {_BINS}) AS t(bin_no, low, high, label)),
