@@ -87,19 +87,28 @@ def welch(videos: DataFrame, by: By = NICHE) -> DataFrame:
     return with_welch(rows, "long", "short").drop("var_long", "var_short")
 
 
-def _box(videos: DataFrame, by: By, value: str) -> tuple[DataFrame, DataFrame]:
+def box_summary(videos: DataFrame, by: By = NICHE, value: str = "view_count") -> DataFrame:
+    """Settled quartiles, minimum and maximum; ``box`` and ``outliers`` can share them."""
     timed = videos.filter(F.col("length_class").isNotNull())
-    keys = [*by, "length_class"]
     quarters = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
-    summary = settle(quantiles(timed, keys, {name: (F.col(value), p) for name, p in quarters.items()}), "box")
+    wanted = {name: (F.col(value), p) for name, p in quarters.items()}
+    return settle(quantiles(timed, [*by, "length_class"], wanted), "box")
+
+
+def _box(videos: DataFrame, by: By, value: str, summary: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    timed = videos.filter(F.col("length_class").isNotNull())
+    keys = [*by, "length_class"]
+    summary = box_summary(videos, by, value) if summary is None else summary
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     limits = summary.withColumns({"low_limit": F.col("q1") - reach, "high_limit": F.col("q3") + reach})
     return join_groups(timed, limits, keys), limits
 
 
-def box(videos: DataFrame, by: By = NICHE, value: str = "view_count") -> DataFrame:
+def box(
+    videos: DataFrame, by: By = NICHE, value: str = "view_count", summary: DataFrame | None = None
+) -> DataFrame:
     """Box-plot summary; fences are the last values within 1.5 IQR."""
-    marked, limits = _box(videos, by, value)
+    marked, limits = _box(videos, by, value, summary)
     keys = [*by, "length_class"]
     inside = F.col(value).between(F.col("low_limit"), F.col("high_limit"))
     whiskers = marked.groupBy(*keys).agg(
@@ -110,9 +119,11 @@ def box(videos: DataFrame, by: By = NICHE, value: str = "view_count") -> DataFra
     return join_groups(whiskers, limits.drop("low_limit", "high_limit"), keys)
 
 
-def outliers(videos: DataFrame, by: By = NICHE, value: str = "view_count") -> DataFrame:
+def outliers(
+    videos: DataFrame, by: By = NICHE, value: str = "view_count", summary: DataFrame | None = None
+) -> DataFrame:
     """The videos drawn as single points beyond the fences."""
-    marked, _ = _box(videos, by, value)
+    marked, _ = _box(videos, by, value, summary)
     beyond = ~F.col(value).between(F.col("low_limit"), F.col("high_limit"))
     return marked.filter(beyond).select(*by, "length_class", "video_id", value)
 

@@ -106,19 +106,23 @@ def word_counts(videos: DataFrame, by: By = NICHE) -> DataFrame:
     )
 
 
-def top_words(videos: DataFrame, by: By = NICHE, limit: int = fixed.TOP_WORDS) -> DataFrame:
+def top_words(
+    videos: DataFrame, by: By = NICHE, limit: int = fixed.TOP_WORDS, counts: DataFrame | None = None
+) -> DataFrame:
     """The most frequent words; equal counts in word order.
 
     Spark cuts every task's rows to ``limit`` per group before the shuffle.
+    ``counts`` may hold settled ``word_counts``, here and below, so that several
+    analyses share them.
     """
-    counts = word_counts(videos, by)
+    counts = word_counts(videos, by) if counts is None else counts
     ordered = Window.partitionBy(*by).orderBy(F.desc("n"), "word")
     return counts.withColumn("rank", F.row_number().over(ordered)).filter(F.col("rank") <= limit)
 
 
-def word_weights(videos: DataFrame, by: By = NICHE) -> DataFrame:
+def word_weights(videos: DataFrame, by: By = NICHE, counts: DataFrame | None = None) -> DataFrame:
     """Every word with its frequency relative to the most frequent one."""
-    counts = settle(word_counts(videos, by), "word-counts")
+    counts = settle(word_counts(videos, by), "word-counts") if counts is None else counts
     highest = counts.groupBy(*by).agg(F.max("n").alias("highest"))
     return (
         join_groups(counts, settle(highest, "word-highest"), by)
@@ -134,10 +138,10 @@ def _ranked(words: list[str]) -> Column:
     ])
 
 
-def _settled_top_words(videos: DataFrame, by: By, limit: int) -> DataFrame:
+def _settled_top_words(videos: DataFrame, by: By, limit: int, counts: DataFrame | None) -> DataFrame:
     """The top words of a group as one array of at most ``limit`` structs."""
     listed = F.sort_array(F.collect_list(F.struct("rank", "word"))).alias("keywords")
-    return settle(top_words(videos, by, limit).groupBy(*by).agg(listed), "keywords")
+    return settle(top_words(videos, by, limit, counts).groupBy(*by).agg(listed), "keywords")
 
 
 def keyword_impact(
@@ -145,6 +149,7 @@ def keyword_impact(
     by: By = NICHE,
     limit: int = fixed.TOP_WORDS,
     words: list[str] | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Videos with and without a keyword in the title, and Welch's t on views.
 
@@ -157,7 +162,7 @@ def keyword_impact(
     offered = (
         narrow.withColumn("keywords", _ranked(words))
         if words is not None
-        else join_groups(narrow, _settled_top_words(videos, by, limit), by)
+        else join_groups(narrow, _settled_top_words(videos, by, limit, counts), by)
     )
     whole = F.array(F.struct(F.lit(0).alias("rank"), F.lit("").alias("word")))
     held = F.concat(whole, X.held_keywords(F.col("title"), F.col("keywords")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import partial
 
 from pyspark.sql import DataFrame
 
@@ -17,6 +18,7 @@ from reelgauge.operators import (
     titles,
     weekday,
 )
+from reelgauge.session import settle
 
 ANALYSES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "overview_totals": overview.totals,
@@ -53,13 +55,34 @@ ANALYSES: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+#: Analyses that share a settled intermediate result: its parameter and how it is made.
+SHARED: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
+    **dict.fromkeys(
+        ("top_words", "word_weights", "keyword_impact"),
+        ("counts", lambda view: settle(titles.word_counts(view), "word-counts")),
+    ),
+    **dict.fromkeys(("views_box", "views_outliers"), ("summary", compare.box_summary)),
+}
+
+
 def write_gold(view: DataFrame, folder: str, names: Iterable[str] | None = None) -> None:
     """Write the named analyses (default: all) of a niche view below ``folder``.
 
     Recommendations are drawn from the tables just written where those are
-    among the names, so their analyses do not run twice.
+    among the names, so their analyses do not run twice. Word counts and box
+    summaries are made once for all analyses that use them.
     """
     chosen = list(ANALYSES if names is None else names)
+    made: dict[str, DataFrame] = {}
+
+    def analysis(name: str) -> Callable[[DataFrame], DataFrame]:
+        if name not in SHARED:
+            return ANALYSES[name]
+        parameter, make = SHARED[name]
+        if parameter not in made:
+            made[parameter] = make(view)
+        return partial(ANALYSES[name], **{parameter: made[parameter]})
+
     read = view.sparkSession.read
     for name in sorted(chosen, key=lambda n: n == "recommendations"):
         if name == "recommendations" and set(recommend.INPUTS) <= set(chosen):
@@ -67,5 +90,5 @@ def write_gold(view: DataFrame, folder: str, names: Iterable[str] | None = None)
                 {table: read.parquet(f"{folder}/{table}") for table in recommend.INPUTS}
             )
         else:
-            result = ANALYSES[name](view)
+            result = analysis(name)(view)
         result.write.mode("overwrite").parquet(f"{folder}/{name}")
