@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from reelgauge.llm import oracle
 from reelgauge.llm.embeddings import op9_embedding_near_dedup
 from reelgauge.llm.fuzzy_lines import op4_fuzzy_lines
 from reelgauge.llm.language_id import op2_language_id
@@ -42,4 +43,7 @@ QUERIES: dict[str, Query] = {
     )
 } | {"pipeline": _query(corpus_pipeline.run)}
 
-ORACLE: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+ORACLE: dict[str, str] = {
+    **oracle.ORACLE,
+    **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
+}

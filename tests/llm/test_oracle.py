@@ -1,0 +1,9 @@
+import pytest
+
+from oracle.compare import connect, difference
+from reelgauge.llm.queries import ORACLE, QUERIES
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_sql(name, spark, sf_dir):
+    assert difference(QUERIES[name](spark, sf_dir), connect(sf_dir), ORACLE[name]) is None
