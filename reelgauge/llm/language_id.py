@@ -189,9 +189,11 @@ def fit(documents: DataFrame, train_docs: int = TRAIN_DOCS, least_share: float =
 def _predictions(filters: Filters):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch["_text"].to_pylist()
-            rest = batch.drop_columns(["_text"])
-            for start, end in chunks(texts, 500_000):
+            if "_text" in batch.schema.names:
+                texts, rest = batch["_text"].to_pylist(), batch.drop_columns(["_text"])
+            else:  # the text of a whole row
+                texts, rest = batch["row"].field("text").cast(pa.string()).to_pylist(), batch
+            for start, end in chunks(texts, 250_000):
                 language, score = filters.predict(texts[start:end])
                 some = rest.slice(start, end - start)
                 yield pa.record_batch(
@@ -203,8 +205,9 @@ def _predictions(filters: Filters):
 
 
 def predict(documents: DataFrame, filters: Filters, *columns: Column) -> DataFrame:
-    """``columns`` of every document with ``lang_pred`` and ``score`` of its whole text."""
-    narrow = documents.select(F.col("text").cast("string").alias("_text"), *columns)
+    """``columns`` (the whole ``row`` if there are none) of every document with ``lang_pred`` and ``score`` of its whole text."""
+    text = [F.col("text").cast("string").alias("_text")] if columns else []
+    narrow = documents.select(*text, *(columns or [F.struct("*").alias("row")]))
     schema = narrow.drop("_text").schema.add("lang_pred", "string").add("score", "double")
     return narrow.mapInArrow(_predictions(filters), schema)
 
@@ -221,8 +224,7 @@ def in_known_language(documents: DataFrame, least: float = REJECT_BELOW) -> Data
 
     Texts without letters and texts of which less than ``least`` is known go.
     """
-    whole = F.struct("*").alias("row")
-    found = predict(documents, fit(documents), whole)
+    found = predict(documents, fit(documents))
     return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
 
 

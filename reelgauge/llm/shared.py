@@ -23,11 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def reachable(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver has it."""
+    """Let Python workers import this package from where the driver has it, and bound their batches."""
     root = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
+    # Whole texts are long: fewer of them at a time in a worker.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1000)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20)
     return configure(spark)
 
 

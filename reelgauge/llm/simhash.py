@@ -56,18 +56,20 @@ def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
 def _fingerprints(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.fromiter((fingerprint(x.as_py(), words) for x in batch[0]), np.uint64, batch.num_rows)
-            yield pa.record_batch([*batch.columns[1:], pa.array(found.view(np.int64))], names=[*batch.schema.names[1:], "fp"])
+            texts, kept = batch[0], 1
+            if pa.types.is_struct(texts.type):  # the text of a whole row
+                texts, kept = texts.field("text").cast(pa.string()), 0
+            found = np.fromiter((fingerprint(x.as_py(), words) for x in texts), np.uint64, batch.num_rows)
+            names = [*batch.schema.names[kept:], "fp"]
+            yield pa.record_batch([*batch.columns[kept:], pa.array(found.view(np.int64))], names=names)
 
     return run
 
 
 def with_fingerprint(documents: DataFrame, words: int = WORDS, whole: bool = False) -> DataFrame:
     """(id, fp), or (row, id, fp) with the whole row as a struct; written to the shared folder."""
-    kept = [F.struct("*").alias("row")] if whole else []
-    narrow = documents.select(
-        F.col("text").cast("string").alias("_text"), *kept, F.col("doc_id").cast("long").alias("id")
-    )
+    first = F.struct("*").alias("row") if whole else F.col("text").cast("string").alias("_text")
+    narrow = documents.select(first, F.col("doc_id").cast("long").alias("id"))
     schema = narrow.drop("_text").schema.add("fp", "long")
     return settle(narrow.mapInArrow(_fingerprints(words), schema), "fingerprints")
 

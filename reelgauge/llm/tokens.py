@@ -18,7 +18,7 @@ from itertools import chain, islice
 import numpy as np
 
 #: Pieces remembered by one worker.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 _SEAM = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
@@ -164,7 +164,7 @@ def encoder(vocabulary: str) -> Encoder:
     return Encoder(vocabulary)
 
 
-def chunks(texts: list[str | None], characters: int = 2_000_000):
+def chunks(texts: list[str | None], characters: int = 1_000_000):
     """Runs of rows with about so many characters, as (start, end)."""
     start, seen = 0, 0
     for number, text in enumerate(texts):
