@@ -178,7 +178,8 @@ def mixed(documents: DataFrame, weights: dict[str, float] | None = None, **optio
     chosen = settle(mix(documents, weights, **options).select("row", "copies").filter("copies > 0"), "copies")
     whole = documents.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("whole"))
     often = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return whole.join(chosen, "row").select("whole", often.alias("copy")).select("whole.*")
+    # Shuffled at every size, as the copies of a whole corpus never fit a broadcast.
+    return whole.join(chosen.hint("merge"), "row").select("whole", often.alias("copy")).select("whole.*")
 
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -229,7 +229,8 @@ def one_of_each_group(documents: DataFrame, words: int = WORDS, reach: int = REA
         .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "number")).alias("first"))
     )
     staying = settle(first.select("first.number"), "staying")
-    return numbered.join(staying, "number", "left_semi").select("row.*")
+    # Shuffled at every size: the decisions of a whole corpus never fit a broadcast.
+    return numbered.join(staying.hint("merge"), "number", "left_semi").select("row.*")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
