@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reelgauge.llm.shared import attempt_name, fresh_path, open_shared, settle, table, width
+from reelgauge.llm.shared import attempt_name, fresh_path, open_shared, table, width
 from reelgauge.llm.tokens import chunks, encoder
 
 MAGIC = b"HUF1"
@@ -158,7 +158,10 @@ def _ids(vocabulary: str, end_id: int, id_bytes: int):
 def tokenize(documents: DataFrame, vocabulary: str, end_id: int, id_bytes: int = 2) -> DataFrame:
     """(doc_id, ids, n_tokens) written to the shared folder; ids little-endian, of 2 or 4 bytes."""
     encoded = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return settle(encoded.mapInArrow(_ids(vocabulary, end_id, id_bytes), "doc_id long, ids binary, n_tokens long"), "ids")
+    ids = encoded.mapInArrow(_ids(vocabulary, end_id, id_bytes), "doc_id long, ids binary, n_tokens long")
+    path = fresh_path(documents.sparkSession, "ids")
+    ids.write.option("compression", "zstd").parquet(path)
+    return documents.sparkSession.read.schema(ids.schema).parquet(path)
 
 
 def _unpacked(blob: pa.BinaryScalar, n: int) -> np.ndarray:
@@ -295,7 +298,8 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     read = manifest.repartition(width(spark), "part", "block").mapInArrow(
         _read(lengths), "doc_id long, part int, start long, n_tokens long, ids binary"
     )
-    return read.join(offsets, "part").select(
+    # A row for each part, as many as a shuffle has partitions: small, and never a reason to move ids.
+    return read.join(F.broadcast(offsets), "part").select(
         "doc_id", (F.col("before") + F.col("start")).alias("start"), "n_tokens", "ids"
     )
 

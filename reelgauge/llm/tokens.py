@@ -18,7 +18,7 @@ from itertools import chain, islice
 import numpy as np
 
 #: Pieces remembered by one worker.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 _SEAM = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
