@@ -189,10 +189,10 @@ def near_duplicates(vectors: DataFrame, limit: float = LIMIT, recall: float = RE
     members = settle(
         hashed.filter("usable")
         .groupBy("h1", "h2", "label", "embedding")
-        .agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies")),
+        .agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+        .withColumn("node", F.monotonically_increasing_id()),  # written, so it is the same in every job
         "vectors",
     )
-    members = members.withColumn("node", F.monotonically_increasing_id())  # of the written table
     how = plan(members, limit, recall)
     bucketed = members.select("node", "copies", "label", "embedding").mapInArrow(
         _buckets(how),

@@ -77,12 +77,22 @@ def classifier(rows: DataFrame, sources: dict[str, int], train_docs: int) -> tup
     return names, settle(likelihood, "likelihoods")
 
 
-def memberships(documents: DataFrame, source: str = "source", train_docs: int = TRAIN_DOCS, trust: float = TRUST):
-    """(row, id, source, n_tokens, p) written to the shared folder, and the sources p is over."""
-    rows = documents.select(
-        F.monotonically_increasing_id().alias("row"),  # a table of files is read in the same order each time
+def _identity(source: str) -> list[Column]:
+    """What a row's copies follow from: its id, its source and two hashes of its text."""
+    text = F.col("text").cast("string")
+    return [
         F.col("doc_id").cast("long").alias("id"),
         F.col(source).cast("string").alias("source"),
+        F.xxhash64(text).alias("h1"),
+        F.xxhash64(F.lit(1), text).alias("h2"),
+    ]
+
+
+def memberships(documents: DataFrame, source: str = "source", train_docs: int = TRAIN_DOCS, trust: float = TRUST):
+    """(row, id, source, h1, h2, n_tokens, p) written to the shared folder, and the sources p is over."""
+    rows = documents.select(
+        F.monotonically_increasing_id().alias("row"),  # tells rows apart in one job; never matched in another
+        *_identity(source),
         F.col("text").cast("string").alias("text"),
     )
     found = rows.filter(F.col("source").isNotNull()).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
@@ -90,22 +100,22 @@ def memberships(documents: DataFrame, source: str = "source", train_docs: int =
     if len(sizes) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
     if not sizes:
-        plain = rows.select("row", "id", "source", F.size(_words("text")).cast("long").alias("n_tokens"))
+        plain = rows.select("row", "id", "source", "h1", "h2", F.size(_words("text")).cast("long").alias("n_tokens"))
         return settle(plain.withColumn("p", F.array().cast("array<double>")), "memberships"), []
     names, likelihood = classifier(rows, sizes, train_docs)
     every = sum(sizes.values())
     # BUCKETS rows of MOST_SOURCES doubles at most: 4 MB.
     scored = (
-        rows.select("row", "id", "source", F.explode_outer(_words("text")).alias("word"))
-        .select("row", "id", "source", F.when(F.col("word").isNotNull(), _bucket(F.col("word"))).alias("bucket"))
+        rows.select("row", "id", "source", "h1", "h2", F.explode_outer(_words("text")).alias("word"))
+        .select("row", "id", "source", "h1", "h2", F.when(F.col("word").isNotNull(), _bucket(F.col("word"))).alias("bucket"))
         .join(F.broadcast(likelihood), "bucket", "left")
-        .groupBy("row", "id", "source")
+        .groupBy("row", "id", "source", "h1", "h2")
         .agg(F.count("bucket").alias("n_tokens"), *[F.sum(f"w{i}").alias(f"w{i}") for i in range(len(names))])
     )
     # Words of a text are not independent: a text counts as 50 of them at most.
     weight = F.least(F.lit(1.0), F.lit(50.0) / F.greatest("n_tokens", F.lit(1)))
     logs = [F.log(F.lit(sizes[n] / every)) + weight * F.coalesce(f"w{i}", F.lit(0.0)) for i, n in enumerate(names)]
-    scored = scored.select("row", "id", "source", "n_tokens", F.array(*logs).alias("logs"))
+    scored = scored.select("row", "id", "source", "h1", "h2", "n_tokens", F.array(*logs).alias("logs"))
     top = F.array_max("logs")
     scored = scored.withColumn("e", F.transform("logs", lambda x: F.exp(x - top)))
     total = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)
@@ -113,7 +123,7 @@ def memberships(documents: DataFrame, source: str = "source", train_docs: int =
     place = F.array_position(F.array(*map(F.lit, names)), F.col("source")) - 1
     known = F.transform("e", lambda x, i: x * (1 - trust) + F.when(i == place, trust).otherwise(0.0))
     p = F.when(F.col("source").isNull(), F.col("e")).otherwise(known)
-    return settle(scored.select("row", "id", "source", "n_tokens", p.alias("p")), "memberships"), names
+    return settle(scored.select("row", "id", "source", "h1", "h2", "n_tokens", p.alias("p")), "memberships"), names
 
 
 def _rate(steps: list[list[float]]) -> Column:
@@ -168,18 +178,26 @@ def copies() -> Column:
 
 
 def mix(documents: DataFrame, weights: dict[str, float] | None = None, **options) -> DataFrame:
-    """(row, id, source, n_tokens, p, rate, copies) for every row of ``documents``."""
+    """(row, id, source, h1, h2, n_tokens, p, rate, copies) for every row of ``documents``."""
     members, names = memberships(documents, **options)
     return rates(members, names, weights).withColumn("copies", copies())
 
 
 def mixed(documents: DataFrame, weights: dict[str, float] | None = None, **options) -> DataFrame:
-    """The rows of ``documents``, each as often as its copies say."""
-    chosen = settle(mix(documents, weights, **options).select("row", "copies").filter("copies > 0"), "copies")
-    whole = documents.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("whole"))
+    """The rows of ``documents``, each as often as its copies say.
+
+    Rows that are equal in id, source and text have equal copies, so the join
+    is on these and needs no number of a row from another job.
+    """
+    key = ["id", "source", "h1", "h2"]
+    found = mix(documents, weights, **options).select(*key, "copies")
+    chosen = settle(found.groupBy(*key).agg(F.max("copies").alias("copies")).filter("copies > 0"), "copies")
+    whole = documents.select(F.struct(*_identity(options.get("source", "source"))).alias("key"), F.struct("*").alias("whole"))
+    chosen = chosen.select(F.struct(*key).alias("key"), "copies")
+    same = whole["key"] == chosen["key"]  # fields that are null in both are equal inside a struct
     often = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
     # Shuffled at every size, as the copies of a whole corpus never fit a broadcast.
-    return whole.join(chosen.hint("merge"), "row").select("whole", often.alias("copy")).select("whole.*")
+    return whole.join(chosen.hint("merge"), same).select("whole", often.alias("copy")).select("whole.*")
 
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

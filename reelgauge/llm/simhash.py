@@ -67,9 +67,10 @@ def _fingerprints(words: int):
 
 
 def with_fingerprint(documents: DataFrame, words: int = WORDS, whole: bool = False) -> DataFrame:
-    """(id, fp), or (row, id, fp) with the whole row as a struct; written to the shared folder."""
-    first = F.struct("*").alias("row") if whole else F.col("text").cast("string").alias("_text")
-    narrow = documents.select(first, F.col("doc_id").cast("long").alias("id"))
+    """(id, fp), or (row, number, id, fp) with the whole row as a struct; written to the shared folder."""
+    number = F.monotonically_increasing_id().alias("number")
+    first = [F.struct("*").alias("row"), number] if whole else [F.col("text").cast("string").alias("_text")]
+    narrow = documents.select(*first, F.col("doc_id").cast("long").alias("id"))
     schema = narrow.drop("_text").schema.add("fp", "long")
     return settle(narrow.mapInArrow(_fingerprints(words), schema), "fingerprints")
 
@@ -218,10 +219,8 @@ def one_of_each_group(documents: DataFrame, words: int = WORDS, reach: int = REA
     Of each group the row with the smallest doc_id stays (nulls last); among
     rows of that id one of them.
     """
-    found = with_fingerprint(documents, words, whole=True)
-    # The written table is read in the same order each time, so the number of a row stands.
-    numbered = found.withColumn("number", F.monotonically_increasing_id())
-    groups_found = groups(found.select("id", "fp"), reach)
+    numbered = with_fingerprint(documents, words, whole=True)  # the number of a row is written with it
+    groups_found = groups(numbered.select("id", "fp"), reach)
     first = (
         numbered.select("number", "id", "fp")
         .join(groups_found.select("fp", "label"), "fp")

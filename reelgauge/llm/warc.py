@@ -222,13 +222,13 @@ def _row(headers: dict[str, str], raw: bytes) -> tuple:
 
 def write_archives(pages: DataFrame, folder: str, least: int = 0, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write monolithic archives below ``folder``; returns their paths and numbers of records."""
-    plain = pages.select(
+    plain = settle(pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
         F.coalesce(F.encode(F.col("html").cast("string"), "UTF-8"), F.lit(b"")).alias("payload"),
-        # Tells equal rows apart; a table of files is read in the same order each time.
+        # Tells equal rows apart; written, so it is the same in every job.
         F.monotonically_increasing_id().alias("row"),
-    ).withColumn("digest", F.sha1("payload"))
+    ).withColumn("digest", F.sha1("payload")), "numbered-pages")
     order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row")
     # Only payloads that occur more than once need their first page.
     first = (
