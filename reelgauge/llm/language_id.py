@@ -38,8 +38,11 @@ LEAST_SHARE = 1e-5
 PROBES = 4
 SLOTS_PER_GRAM = 10
 UNKNOWN = "und"
-#: Below this share of known n-grams a text is in none of the learned languages.
+#: Below this share of known n-grams a text is in none of the learned languages, whatever these score.
 REJECT_BELOW = 0.1
+#: A text is in none of them either if it scores less than ``SLACK`` of what all but a hundredth of its
+#: language's held-out documents reach. Short texts and texts in two languages lie between.
+LOW, SLACK = 0.01, 0.75
 
 
 @lru_cache(maxsize=1)
@@ -219,13 +222,30 @@ def languages(documents: DataFrame) -> DataFrame:
     )
 
 
+def thresholds(documents: DataFrame, filters: Filters, least: float = REJECT_BELOW) -> dict[str, float]:
+    """Least score of a text of each language, from all held-out documents that were told right.
+
+    A language without any takes the one of all languages together.
+    """
+    labelled = documents.filter(held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    right = predict(labelled, filters, F.col("lang").cast("string").alias("lang")).filter("lang = lang_pred")
+    low = F.percentile_approx("score", LOW, 10_000).alias("low")
+    found = {row["lang"]: row["low"] for row in right.rollup("lang").agg(low).collect()}
+    whole = found.get(None) or 0.0
+    return {name: max(least, SLACK * found.get(name, whole)) for name in filters.languages}
+
+
 def in_known_language(documents: DataFrame, least: float = REJECT_BELOW) -> DataFrame:
     """Rows of ``documents`` whose text is in one of the learned languages.
 
-    Texts without letters and texts of which less than ``least`` is known go.
+    Texts without letters and texts that score less than the threshold of the
+    language they are nearest to, ``least`` at any rate, go.
     """
-    found = predict(documents, fit(documents))
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
+    filters = fit(documents)
+    enough = F.lit(False)
+    for name, threshold in thresholds(documents, filters, least).items():
+        enough = enough | ((F.col("lang_pred") == name) & (F.col("score") >= threshold))
+    return predict(documents, filters).filter(enough).select("row.*")
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,3 +37,24 @@ def test_filters_hold_what_was_put_in_and_little_else():
     others = filters.containing(rng.integers(0, 2**63, 50_000, dtype=np.uint64))
     for i, rate in enumerate(filters.false_rate):
         assert abs(((others >> i) & 1).mean() - rate) < 0.01 and rate < 0.05
+
+
+UNLEARNED = [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler.",
+    "Todos os seres humanos nascem livres e iguais em dignidade e em direitos. Dotados de razão e de consciência, devem agir uns para com os outros em espírito de fraternidade.",
+    "Tất cả mọi người sinh ra đều được tự do và bình đẳng về nhân phẩm và quyền. Mọi con người đều được tạo hoá ban cho lý trí và lương tâm.",
+]
+
+
+def test_unlearned_languages_and_noise_go(spark, sf_dir):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    rng = np.random.default_rng(3)
+    noise = [" ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 9))) for _ in range(80)) for _ in range(20)]
+    # No label: nothing is learned from them.
+    strange = spark.createDataFrame([(-1 - i, x, None) for i, x in enumerate([*UNLEARNED, *noise])], "doc_id long, text string, lang string")
+    kept = L.in_known_language(documents.withColumn("doc_id", F.col("doc_id").cast("long")).unionByName(strange))
+    ids = [x.doc_id for x in kept.select("doc_id").collect()]
+    assert not [x for x in ids if x < 0]
+    assert len(ids) == documents.count()
