@@ -5,12 +5,12 @@ whose source is known), gives every document a posterior over the sources. A
 row with a known source has that source with probability ``TRUST``, and the
 classifier shares out the rest; a row without one has the classifier's answer.
 Rates (expected numbers of copies) r >= 0 are then fitted so that the expected
-tokens of every source, sum of r * tokens * posterior, match the targets:
-projected gradient steps on the squared error, from r = 1, in the metric of the
-tokens. The step is one over a source's expected tokens, which bounds the
-curvature, so every step lowers the error. A round is one aggregation over the
-documents that returns a number for each source; the rates themselves follow
-from the few step vectors and are never moved.
+tokens of every source, sum of r * tokens * posterior, match the targets: the
+rates closest to 1 that do so are max(0, 1 + posterior . push), with a push for
+each source, and quasi-Newton steps find the push. A round is one aggregation
+over the documents that returns a number for each source; the rates themselves
+follow from the push and are never moved. Rounds go on until the targets are
+met; if nothing more is gained, the error that is left is warned of.
 
 Everything runs in DataFrame functions. The classifier is fitted on at most
 about ``TRAIN_DOCS`` rows of each source, picked by a hash; its table has
@@ -25,6 +25,10 @@ further columns of any name pass through ``mixed``.
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Callable
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +38,7 @@ BUCKETS = 2048
 TRAIN_DOCS = 500
 TRUST = 0.9
 CLOSE = 1e-4  # of all tokens, the largest error of a source
-MOST_ROUNDS = 40
+PATIENCE = 25  # rounds without a hundredth of gain, after which the targets cannot be met
 MOST_SOURCES = 256  # more than this is not a mix of sources
 
 
@@ -46,10 +50,6 @@ def _words(text: str) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), "[ \\t-\\r]+"), lambda x: x != "")
 
 
-def _numbers(values: list[float]) -> Column:
-    return F.array(*[F.lit(float(x)) for x in values])
-
-
 def classifier(rows: DataFrame, sources: dict[str, int], train_docs: int) -> tuple[list[str], DataFrame]:
     """The sources in order, and a log likelihood column for each of them by bucket."""
     names = sorted(sources)
@@ -126,23 +126,61 @@ def memberships(documents: DataFrame, source: str = "source", train_docs: int =
     return settle(scored.select("row", "id", "source", "h1", "h2", "n_tokens", p.alias("p")), "memberships"), names
 
 
-def _rate(steps: list[list[float]]) -> Column:
-    """Rate after the given steps: r = max(0, r + p . y) for each of them, from r = 1."""
-    if not steps:
-        return F.lit(1.0)
-    size = len(steps[0])
+def _rate(push: list[float]) -> Column:
+    """max(0, 1 + p . push)"""
+    rate = F.lit(1.0)
+    for i, x in enumerate(push):
+        rate = rate + F.get(F.col("p"), i) * float(x)
+    return F.greatest(F.lit(0.0), rate)
 
-    def step(rate: Column, y: Column) -> Column:
-        move = F.get(F.col("p"), 0) * y[0]
-        for i in range(1, size):
-            move = move + F.get(F.col("p"), i) * y[i]
-        return F.greatest(F.lit(0.0), rate + move)
 
-    return F.aggregate(F.array(*map(_numbers, steps)), F.lit(1.0), step)
+def push_to(target: np.ndarray, start: np.ndarray, held: Callable[[np.ndarray], tuple[float, np.ndarray]], close: float):
+    """The push for which the expected tokens are closest to ``target``, and the largest error left.
+
+    ``held`` gives half the sum of tokens * rate^2 and the expected tokens of
+    every source. The first less target . push is convex in the push and the
+    difference to the target is its slope, so quasi-Newton steps (BFGS) go
+    down to the target; a source's expected tokens at rate 1 bound the
+    curvature. Stops at ``close``, or if ``PATIENCE`` rounds brought nothing.
+    """
+    first = np.diag(np.divide(1.0, start, out=np.zeros(len(start)), where=start > 0))
+    metric, push = first, np.zeros(len(start))
+    value, now = held(push)
+    value -= float(target @ push)
+    slope = now - target
+    best, error = push, float(np.abs(slope).max())
+    waited, size = 0, 1.0
+    while error > close and waited < PATIENCE:
+        move = -metric @ slope
+        if move @ slope >= 0:
+            metric, move = first, -first @ slope
+        new = push + size * move
+        value_new, now = held(new)
+        value_new -= float(target @ new)
+        slope_new = now - target
+        left = float(np.abs(slope_new).max())
+        waited = 0 if left < 0.99 * error else waited + 1
+        if left < error:
+            best, error = new, left
+        if value_new > value + 1e-4 * size * float(move @ slope) + 1e-12 * abs(value):
+            size /= 2
+            if size < 1e-3:
+                metric, size = first, 1.0
+            continue
+        step, turn = new - push, slope_new - slope
+        push, value, slope, size = new, value_new, slope_new, 1.0
+        bend = float(step @ turn)
+        if bend > 1e-12 * float(np.linalg.norm(step) * np.linalg.norm(turn)):
+            side = np.eye(len(step)) - np.outer(step, turn) / bend
+            metric = side @ metric @ side.T + np.outer(step, step) / bend
+    return best, error
 
 
 def rates(members: DataFrame, names: list[str], weights: dict[str, float] | None = None, tokens: float | None = None) -> DataFrame:
-    """``members`` with ``rate``; ``weights`` are shares of ``tokens`` (all tokens by default)."""
+    """``members`` with ``rate``; ``weights`` are shares of ``tokens`` (all tokens by default).
+
+    Targets that no rates meet are warned of, with the error that is left.
+    """
     if not names:
         return members.withColumn("rate", F.lit(1.0))
     wanted = {n: 1.0 for n in names} if weights is None else weights
@@ -150,25 +188,22 @@ def rates(members: DataFrame, names: list[str], weights: dict[str, float] | None
     if whole <= 0:
         raise ValueError("no source has a weight")
 
-    def expected(rate: Column) -> list[float]:
-        held = rate * F.col("n_tokens")
-        sums = members.select(held.alias("held"), "p").agg(
-            *[F.coalesce(F.sum(F.col("held") * F.get("p", i)), F.lit(0.0)).alias(f"s{i}") for i in range(len(names))]
+    def held(push: np.ndarray) -> tuple[float, np.ndarray]:
+        rate = _rate(push.tolist())
+        sums = members.select((rate * F.col("n_tokens")).alias("held"), rate.alias("rate"), "p").agg(
+            F.coalesce(F.sum(F.col("held") * F.col("rate")), F.lit(0.0)),
+            *[F.coalesce(F.sum(F.col("held") * F.get("p", i)), F.lit(0.0)) for i in range(len(names))],
         )
-        return list(sums.first())
-
-    start = expected(F.lit(1.0))
-    budget = sum(start) if tokens is None else tokens
-    target = [budget * wanted.get(n, 0.0) / whole for n in names]
-    steps: list[list[float]] = []
-    now = start
-    for _ in range(MOST_ROUNDS):
-        error = [t - s for t, s in zip(target, now, strict=True)]
-        if max(map(abs, error)) <= CLOSE * max(budget, 1.0):
-            break
-        steps.append([e / c if c > 0 else 0.0 for e, c in zip(error, start, strict=True)])
-        now = expected(_rate(steps))
-    return members.withColumn("rate", _rate(steps))
+        twice, *now = sums.first()
+        return twice / 2, np.array(now)
+
+    _, start = held(np.zeros(len(names)))
+    budget = float(start.sum()) if tokens is None else tokens
+    target = np.array([budget * wanted.get(n, 0.0) / whole for n in names])
+    push, error = push_to(target, start, held, CLOSE * max(budget, 1.0))
+    if error > CLOSE * max(budget, 1.0):
+        warnings.warn(f"the targets cannot be met: a source is off by {error / max(budget, 1.0):.2%} of all tokens", stacklevel=2)
+    return members.withColumn("rate", _rate(push.tolist()))
 
 
 def copies() -> Column:

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from reelgauge.llm import mixing as M
 
@@ -43,3 +44,28 @@ def test_odd_rows(odd, none):
     assert M.mix(none).count() == 0 and M.mixed(none).count() == 0
     assert M.mixed(odd).columns == odd.columns
     assert {x.rate for x in M.mix(odd.drop("source").withColumnRenamed("first", "source").filter("source IS NULL")).collect()} == {1.0}
+
+
+def test_targets_are_met_with_many_sources_and_unlabelled_rows():
+    sources, trust = 20, M.TRUST
+    prior = np.append(1 / 3, np.full(sources - 1, 2 / 3 / (sources - 1)))
+    p = np.concatenate([(1 - trust) * prior + trust * np.eye(sources), [prior]])
+    tokens = np.append(0.7 * prior, 0.3) * 1e9
+    target = np.full(sources, 1e9 / sources)
+    asked = []
+
+    def held(push):
+        asked.append(push)
+        rate = np.maximum(0, 1 + p @ push)
+        return float(tokens @ rate**2) / 2, (tokens * rate) @ p
+
+    push, error = M.push_to(target, tokens @ p, held, M.CLOSE * 1e9)
+    assert error <= M.CLOSE * 1e9 and len(asked) <= 40
+    assert np.abs(held(push)[1] - target).max() == error
+
+
+def test_targets_that_cannot_be_met_are_told(spark):
+    rows = [(1, "a b c", "x"), (2, "a b c", "x"), (3, "a b c", "y")]
+    members, names = M.memberships(spark.createDataFrame(rows, "doc_id long, text string, source string"), trust=0.5)
+    with pytest.warns(UserWarning, match="cannot be met"):
+        M.rates(members, names, {"x": 1.0, "y": 99.0}).collect()
