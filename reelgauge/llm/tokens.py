@@ -4,7 +4,8 @@ White space always ends a pre-token in both kinds of vocabulary used here, so a
 text is cut before single spaces and line feeds between two other characters,
 and each distinct piece is encoded once and remembered. The ids are those of
 the whole text; texts with longer runs of white space are cut by a stricter
-pattern or, at worst, not at all.
+pattern or, at worst, not at all. Texts that hold an added token of the
+vocabulary, such as ``<|endoftext|>``, are encoded whole.
 """
 
 from __future__ import annotations
@@ -49,13 +50,14 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        path = vocabulary_path(vocabulary)
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer = Tokenizer.from_file(vocabulary_path(vocabulary))
         # The library works on what stands between two special tokens by itself.
-        self.joined = Tokenizer.from_file(path)
-        self.mark, self.mark_id = "<|endoftext|>", self.joined.token_to_id("<|endoftext|>")
+        self.mark, self.mark_id = "<|endoftext|>", self.tokenizer.token_to_id("<|endoftext|>")
         self.lowers = self.tokenizer.normalizer is not None
+        # Added tokens are found anywhere in a text, in capitals too if they are looked for after lowering.
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = tuple(x.content for x in added)
+        self.added_low = tuple(x.content.lower() for x in added if x.normalized) if self.lowers else ()
         words = self.tokenizer.get_vocab()
         self.bytes_of = np.zeros(max(words.values()) + 1, np.int64)
         for word, number in words.items():  # byte-level models write one character for a byte
@@ -78,7 +80,7 @@ class Encoder:
             found = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
             lengths = np.fromiter(map(len, found), np.int64, len(found))
             return np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
-        ids = np.array(self.joined.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
         ends = np.flatnonzero(ids == self.mark_id)
         return ids[ids != self.mark_id], np.diff(ends, prepend=-1) - 1
 
@@ -112,6 +114,11 @@ class Encoder:
             flat = np.insert(self._gather(at), np.cumsum(lengths), [self.signs[x[-1]] for x in signed])
             self._add(signed, [flat], [lengths + 1])
 
+    def _learn_whole(self, texts: list[str]) -> None:
+        for text in texts:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            self._add([text], [np.array(ids, np.uint32)], [np.array([len(ids)])])
+
     def _add(self, pieces: list[str], flats: list[np.ndarray], counts: list[np.ndarray]) -> None:
         self.place.update(zip(pieces, range(len(self.place), len(self.place) + len(pieces)), strict=True))
         self.flat, self.lengths = np.concatenate([self.flat, *flats]), np.concatenate([self.lengths, *counts])
@@ -139,18 +146,32 @@ class Encoder:
             self._forget()  # texts of another kind
         return found
 
+    def _has_added(self, text: str) -> bool:
+        if any(x in text for x in self.added):
+            return True
+        return bool(self.added_low) and any(x in text.lower() for x in self.added_low)
+
     def _encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         pieces: list[str] = []
+        whole: dict[str, None] = {}  # texts with an added token are one piece; no other piece has one
         ends = np.zeros(len(texts) + 1, np.int64)
         for number, text in enumerate(texts):
-            if text:
+            if text and self._has_added(text):
+                whole[text] = None
+                pieces.append(text)
+            elif text:
                 pieces.extend(x for x in _pieces(text) if x)
             ends[number + 1] = len(pieces)
         found = list(map(self.place.get, pieces))
         missing = [i for i, x in enumerate(found) if x is None]
         self.missed = len(missing) / max(len(pieces), 1) if len(self.place) > self.remembered else 0
         if missing:
-            self._learn(list(dict.fromkeys([pieces[i] for i in missing])))
+            new = list(dict.fromkeys([pieces[i] for i in missing]))
+            if whole:
+                self._learn([x for x in new if x not in whole])
+                self._learn_whole([x for x in new if x in whole])
+            else:
+                self._learn(new)
             for i in missing:
                 found[i] = self.place[pieces[i]]
         at = np.array(found, np.int64)

@@ -77,3 +77,18 @@ def test_files_round_trip(spark, odd, none, monkeypatch):
     folder = fresh_path(spark, "t")
     token_files.write_ids(token_files.tokenize(none, "byte_bpe_50k.json", 0), folder)
     assert token_files.read_ids(spark, folder).count() == 0
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_special_tokens_are_those_of_the_plain_library(name):
+    from tokenizers import Tokenizer
+
+    from reelgauge.llm.tokens import vocabulary_path
+
+    plain, code = Tokenizer.from_file(vocabulary_path(name)), Encoder(name)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "A  <|ENDOFTEXT|> b", "x<|endoftext|>y <|startoftext|>", " a b ", "a <| endoftext |> b"]
+    for _ in range(2):  # learned, then remembered
+        flat, lengths = code.encode([*texts, *TEXTS])
+        want = [plain.encode(x, add_special_tokens=False).ids for x in [*texts, *TEXTS]]
+        assert flat.tolist() == [y for x in want for y in x] and lengths.tolist() == [len(x) for x in want]
+    assert plain.token_to_id("<|endoftext|>") in code.encode(texts[:1])[0]
