@@ -93,6 +93,7 @@ class Packer:
         """Sequences, and the pieces left over; none are if ``final``."""
         limits, pool = self.limits, list(pool)
         demand = np.array([(len(x.ids), 1, x.loss) for x in pool], np.float64).reshape(-1, 3)
+        prompt = np.array([x.prompt for x in pool], np.int64)
         share = demand / self.scale
         alive = np.ones(len(pool), bool)
         left = len(pool)
@@ -109,13 +110,14 @@ class Packer:
                     left -= 1
                     room -= demand[best]
                     continue
-                cut = self._cut(pool, demand, alive, room)
+                cut = self._cut(pool, demand, prompt, alive, room)
                 if cut is None:
                     break
                 place, head, rest = cut
                 inside.append(head)
                 pool[place] = rest
                 demand[place] = (len(rest.ids), 1, rest.loss)
+                prompt[place] = rest.prompt
                 share[place] = demand[place] / self.scale
                 room -= (len(head.ids), 1, head.loss)
             if not final and not left and room[0] >= limits.least_cut and room[1] > 0:
@@ -123,16 +125,17 @@ class Packer:
             done.append(inside)
         return done, []
 
-    def _cut(self, pool, demand, alive, room) -> tuple[int, Piece, Piece] | None:
+    def _cut(self, pool, demand, prompt, alive, room) -> tuple[int, Piece, Piece] | None:
         if room[0] < self.limits.least_cut:
             return None
-        # The piece that bears least loss in its first ids fits a loss limit best.
-        fits = alive & (demand[:, 0] >= room[0] + self.limits.least_cut)
-        for place in np.flatnonzero(fits)[np.argsort(-demand[fits, 0], kind="stable")][:8]:
-            head, rest = pool[place].cut(int(room[0]))
-            if head.loss <= room[2]:
-                return int(place), head, rest
-        return None
+        # The piece that bears least loss in its first ids fits a loss limit best; of equal ones the longest.
+        size = int(room[0])
+        loss = size - np.minimum(prompt, size)
+        places = np.flatnonzero(alive & (demand[:, 0] >= size + self.limits.least_cut) & (loss <= room[2]))
+        if not len(places):
+            return None
+        place = int(places[np.lexsort((-demand[places, 0], loss[places]))[0]])
+        return place, *pool[place].cut(size)
 
 
 class _Out:

@@ -66,3 +66,14 @@ def test_the_largest_dot_product_goes_first():
 
     done, left = P.Packer(P.Limits(10, 3, 5, 2)).pack([piece(4), piece(6, 5), piece(5, 5)], final=True)
     assert [[len(x.ids) for x in s] for s in done][0][0] == 4 and not left
+
+
+def test_a_cut_looks_at_all_waiting_pieces():
+    limits = P.Limits(tokens=100, loss=60, least_cut=10)
+    ids = np.zeros(200, "<u4")
+    # Ten long pieces of loss only, and a shorter one that begins with a prompt.
+    pool = [P.Piece(i, 0, ids, 0, 200) for i in range(10)] + [P.Piece(10, 0, ids[:150], 95, 150)]
+    demand = np.array([(len(x.ids), 1, x.loss) for x in pool], float)
+    prompt = np.array([x.prompt for x in pool])
+    place, head, rest = P.Packer(limits)._cut(pool, demand, prompt, np.ones(11, bool), np.array([100.0, 64, 60]))
+    assert (place, head.loss, len(head.ids), len(rest.ids)) == (10, 5, 100, 50)
