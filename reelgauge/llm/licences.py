@@ -1,9 +1,11 @@
 """Licence scan by sentence rules.
 
-A text is cut into fragments at sentence ends and line ends. Fragments,
-normalised to lower-case words, are joined as long as they begin a known
-sentence, so wrapped sentences are found, and mapped to the identifier of the
-longest known one. The identifiers, in the order of the text, are matched
+A text is cut into fragments at sentence ends and line ends and normalised to
+lower-case words. A known sentence may begin at any word, run over the ends of
+fragments and be followed by anything; the longest one from a word is taken and
+the search goes on behind it. Notices ("distributed under the terms of the MIT
+License", SPDX lines, also with several licences) are made of leads and names.
+The title of a licence has to be alone in its fragments. The identifiers, in the order of the text, are matched
 against licence rules from the first rule to the last: a rule is a sequence of
 identifiers that follow each other with at most ``GAP`` unknown fragments
 between two of them. What a rule matches is used up, so a general rule does not
@@ -136,10 +138,80 @@ RULES: list[tuple[str, list[str]]] = [
     ("MIT", ["mit-title-short"]),
 ]
 
-#: A text without any of these has none of the sentences; checked when the table is built.
+#: Names of licences in notices, and the sentence a notice with them stands for.
+NAMES: dict[str, list[str]] = {
+    "mit-line": ["mit", "mit license", "mit licence", "mit x11 license", "expat license"],
+    "apache-2-line": [
+        "apache license version 2 0", "apache license 2 0", "apache license v2 0", "apache license version 2", "apache 2 0 license",
+        "apache 2 license", "apache 2 0", "apache license v2", "apache software license version 2 0", "apache 2",
+    ],
+    "isc-line": ["isc", "isc license"],
+    "bsd-line": ["bsd", "bsd license"],
+    "bsd-3-line": ["bsd 3 clause", "bsd 3 clause license", "3 clause bsd license", "new bsd license", "modified bsd license"],
+    "bsd-2-line": ["bsd 2 clause", "bsd 2 clause license", "2 clause bsd license", "simplified bsd license"],
+    "mpl-2-line": ["mozilla public license version 2 0", "mozilla public license 2 0", "mozilla public license v2 0", "mpl 2 0", "mpl v2 0"],
+    "cc0-line": ["cc0", "cc0 1 0", "creative commons zero v1 0 universal"],
+    "unlicense-line": ["unlicense"],
+    **{
+        f"{short}-{number.replace(' ', '-')}-{kind}line": [
+            f"{name} {way}{after}"
+            for name in (long, f"gnu {long}", short, f"gnu {short}")
+            for way in (f"version {number}", f"v{number}", number, *([f"version {number} 0", f"v{number} 0", f"{number} 0"] if " " not in number else []))
+            for after in afters
+        ]
+        + [f"{x}{short}v{number}{after}" for x in ("", "gnu ") for after in afters]
+        for short, long, numbers in (
+            ("gpl", "general public license", ("3", "2")),
+            ("lgpl", "lesser general public license", ("3", "2 1")),
+            ("agpl", "affero general public license", ("3",)),
+        )
+        for number in numbers
+        for kind, afters in (("", ("", " only")), ("later-", (" or later", " or any later version", " or at your option any later version")))
+    },
+    **{
+        f"cc-{kind}-4-line": [
+            f"cc {kind.replace('-', ' ')} 4 0", f"creative commons {long} 4 0 international license", f"creative commons {long} 4 0 international",
+            f"creative commons {long} 4 0", f"creative commons {long} 4 0 license",
+        ]
+        for kind, long in (
+            ("by", "attribution"), ("by-sa", "attribution sharealike"), ("by-nc", "attribution noncommercial"),
+            ("by-nd", "attribution noderivatives"), ("by-nc-sa", "attribution noncommercial sharealike"),
+            ("by-nc-nd", "attribution noncommercial noderivatives"),
+        )
+    },
+}
+#: Identifiers of the SPDX list that are no name above.
+SPDX: dict[str, list[str]] = {
+    "unlicense-line": ["unlicense"],
+    **{f"{x}-{n.replace(' ', '-')}-{k}line": [f"{x} {n}{a}" for a in e] for x, n in (("gpl", "3"), ("gpl", "2"), ("lgpl", "3"), ("lgpl", "2 1"), ("agpl", "3"))
+       for k, e in (("", ("", " only") if " " in n else (" 0", " 0 only")), ("later-", (" or later",) if " " in n else (" 0 or later",)))},
+}
+for _name, _text, _licence in (
+    ("isc-line", "licensed under the isc license", "ISC"),
+    ("mpl-2-line", "licensed under the mozilla public license version 2 0", "MPL-2.0"),
+    ("cc0-line", "licensed under cc0 1 0", "CC0-1.0"),
+    ("unlicense-line", "licensed under the unlicense", "Unlicense"),
+    ("gpl-3-later-line", "licensed under the gnu general public license version 3 or later", "GPL-3.0-or-later"),
+    ("gpl-2-later-line", "licensed under the gnu general public license version 2 or later", "GPL-2.0-or-later"),
+    ("lgpl-3-later-line", "licensed under the gnu lesser general public license version 3 or later", "LGPL-3.0-or-later"),
+    ("lgpl-2-1-later-line", "licensed under the gnu lesser general public license version 2 1 or later", "LGPL-2.1-or-later"),
+    ("agpl-3-later-line", "licensed under the gnu affero general public license version 3 or later", "AGPL-3.0-or-later"),
+):
+    SENTENCES[_name] = _text
+    RULES.append((_licence, [_name]))
+#: What stands before a name in a notice.
+VERBS = ("licensed", "released", "distributed", "available", "provided", "published", "made available", "covered", "licenced", "redistributed")
+LEADS = tuple(
+    f"{verb} under {way}{article}"
+    for verb in VERBS for way in ("", "the terms of ", "the conditions of ", "the terms and conditions of ") for article in ("", "the ", "a ", "an ")
+)
+#: Titles tell a licence only if nothing else is in their fragments; prose names licences too.
+TITLES = frozenset({"mit-title", "mit-title-short"})
+
+#: A text without any of these has none of the sentences and notices; checked when the table is built.
 HINTS = (
     "licen", "permission", "redistribut", "warrant", "copyright", "software", "apache", "mpl", "rights",
-    "as is", "liable",
+    "as is", "liable", "under",
 )
 
 _FRAGMENT = re.compile(r"[.!?;:]+(?=\s|$)|[\r\n]+")
@@ -150,17 +222,40 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def _enter(root: dict, sentence: str, name: str) -> None:
+    for word in sentence.split():
+        root = root.setdefault(word, {})
+    root.setdefault(None, name)
+
+
 @lru_cache(maxsize=1)
 def _trie() -> dict:
-    """Known sentences word by word; key None holds the identifier."""
+    """Known sentences and notices word by word; key None holds the identifier."""
     root: dict = {}
     for name, sentence in SENTENCES.items():
         if not any(x in sentence for x in HINTS):
             raise ValueError(f"no hint is in {name}")
-        node = root
-        for word in sentence.split():
-            node = node.setdefault(word, {})
-        node[None] = name
+        _enter(root, sentence, name)
+    for leads, names in ((LEADS, NAMES), (("spdx license identifier",), NAMES), (("spdx license identifier",), SPDX)):
+        for name, texts in names.items():
+            for text in texts:
+                for lead in leads:
+                    if not any(x in lead for x in HINTS):
+                        raise ValueError(f"no hint is in {lead}")
+                    _enter(root, f"{lead} {text}", name)
+    _enter(root, "the mit license mit", "mit-title")
+    return root
+
+
+@lru_cache(maxsize=1)
+def _more() -> dict:
+    """A further licence of a notice or an SPDX expression."""
+    root: dict = {}
+    for names in (NAMES, SPDX):
+        for name, texts in names.items():
+            for text in texts:
+                for lead in ("or", "and", "or the", "and the"):
+                    _enter(root, f"{lead} {text}", name)
     return root
 
 
@@ -185,29 +280,46 @@ def sentence_ids(text: str | None) -> list[tuple[int, str]]:
     if not any(x in low for x in HINTS):
         return []
     fragments = [x for x in map(words, _FRAGMENT.split(text)) if x]
-    found, at = [], 0
-    while at < len(fragments):
-        nodes, end, best = [(_trie(), False)], at, None
-        while end < len(fragments) and nodes:
-            for word in fragments[end]:
-                nodes = _step(nodes, word)
-                if not nodes:
-                    break
-            end += 1
-            # Words for words goes before a star.
-            names = [node[None] for node, star in nodes if None in node and not star]
-            if names:
-                best = end, names[0]
+    every = [word for x in fragments for word in x]
+    owner = [i for i, x in enumerate(fragments) for _ in x]
+    root, found, at, after = _trie(), [], 0, None
+    while at < len(every):
+        best = None
+        if after == at:
+            best = _longest(_more(), every, at)
+        if best is None and every[at] in root:
+            best = _longest(root, every, at)
+            if best and best[1] in TITLES:
+                end = best[0]
+                whole = (at == 0 or owner[at - 1] != owner[at]) and (end == len(every) or owner[end] != owner[end - 1])
+                best = best if whole else None
         if best:
-            found.append((at, best[1]))
+            found.append((owner[at], best[1]))
             at = best[0]
+            after = at if best[1] in NAMES or best[1] in SPDX else None
         else:
             at += 1
     return found
 
 
+def _longest(root: dict, every: list[str], at: int) -> tuple[int, str] | None:
+    """End and identifier of the longest sentence that begins at a word; a star takes as little as it can."""
+    nodes, best = [(root, False)], None
+    while at < len(every) and nodes:
+        nodes = _step(nodes, every[at])
+        at += 1
+        # Words for words goes before a star.
+        names = [node[None] for node, star in nodes if None in node and not star]
+        if names:
+            best = at, names[0]
+            nodes = [x for x in nodes if not x[1]]
+    return best
+
+
 def licences_of(found: list[tuple[int, str]], gap: int = GAP) -> list[str]:
     """Licences of identifiers by the ordered rules, in the order of the text."""
+    if not found:
+        return []
     used: set[int] = set()
     matched: list[tuple[int, str]] = []
     present = {name for _, name in found}

@@ -60,3 +60,31 @@ def test_prefilter_drops_nothing(spark, sf_dir, odd, none):
     for x in rows:
         assert set(x.licences) == {name for line, name in lines.items() if line in x.text}
     assert L.scan(odd).filter("size(licences) = 0").count() == odd.count() and L.scan(none).count() == 0
+
+
+def test_lead_ins_tails_and_common_notices():
+    for text, want in {
+        "This project is licensed under the MIT License.": ["MIT"],
+        "Distributed under the MIT License.": ["MIT"],
+        "Licensed under the MIT License, see LICENSE.": ["MIT"],
+        "Licensed under the Apache License 2.0": ["Apache-2.0"],
+        "Code: made available under the terms of the Apache-2.0 license; see NOTICE": ["Apache-2.0"],
+        "// SPDX-License-Identifier: MIT": ["MIT"],
+        "SPDX-License-Identifier: (MIT OR Apache-2.0)": ["MIT", "Apache-2.0"],
+        "# SPDX-License-Identifier: GPL-2.0-or-later\nint x;": ["GPL-2.0-or-later"],
+        "/* SPDX-License-Identifier: LGPL-2.1-only */": ["LGPL-2.1"],
+        "dual licensed under MIT or Apache 2.0 at your choice": ["MIT", "Apache-2.0"],
+        "It is released under the GNU GPLv3, or any later version.": ["GPL-3.0-or-later"],
+        "You find it licensed under the GNU General Public License, version 3, here.": ["GPL-3.0"],
+        "All text is available under a Creative Commons Attribution-ShareAlike 4.0 International License.": ["CC-BY-SA-4.0"],
+        "the following. " + L.SENTENCES["mit-grant"] + " and so on " + L.SENTENCES["mit-notice"] + " ok": ["MIT"],
+        "The MIT License (MIT)\n\nCopyright (c) someone": ["MIT"],
+    }.items():
+        assert found(text) == want, text
+    for text in ("He read the MIT License twice.", "available under the counter", "released under the bridge", "under permission of the owner"):
+        assert found(text) == []
+
+
+def test_a_star_takes_as_little_as_it_can():
+    one = L.SENTENCES["bsd-names"].replace("*", "the owner")
+    assert ids(f"{one}. {L.SENTENCES['mit-line']}. {one}.") == ["bsd-names", "mit-line", "bsd-names"]
