@@ -3,10 +3,13 @@
 A rotation is learned on a bounded sample so that the signs of the rotated
 (unit, centred) vectors are balanced codes with little quantisation error.
 Codes are cut into substrings; a table for each of them holds the vectors of a
-label under their substring. Two vectors at the cosine limit differ in a bit
-with probability p = angle / pi, so the number of tables is set for a wanted
-recall, and the length of a substring for small buckets; more bits than
-dimensions come from further rotations. What meets in a bucket is reranked by
+label under their substring. The length of a substring is set for small
+buckets, and the number of tables for a wanted recall: at least what bits that
+differ with probability angle / pi ask for, and as many as bring the wanted
+share of near pairs together that are made from the sample at the limit and
+coded by the learned rotations (a common component of the vectors widens the
+angle around their mean). Substrings become shorter if that takes too many
+tables; more bits than dimensions come from further rotations. What meets in a bucket is reranked by
 the cosine of the original vectors in double precision. A pair that meets in
 several tables counts in the first of them.
 
@@ -39,6 +42,8 @@ LIMIT = 0.98
 RECALL = 0.999
 TRAIN_VECTORS = 20_000
 UNIT = 2048
+MOST_TABLES = 64  # more only if substrings of one bit need them
+TEST_PAIRS = 20_000  # near pairs the recall is measured on, at least
 
 
 @dataclass(frozen=True)
@@ -72,6 +77,51 @@ def iterative_quantisation(vectors: np.ndarray, seed: int, rounds: int = 40) ->
     return rotation
 
 
+def near_pairs(vectors: np.ndarray, limit: float, most: int = TEST_PAIRS) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors, and others at the cosine ``limit`` to them in random directions."""
+    rng = np.random.default_rng(11)
+    some = vectors[rng.permutation(len(vectors))[:most]]
+    some = np.repeat(some, math.ceil(most / len(some)), axis=0)
+    aside = rng.standard_normal(some.shape)
+    aside -= (aside * some).sum(1, keepdims=True) * some
+    length = np.sqrt((aside * aside).sum(1, keepdims=True))
+    if not length.all() or some.shape[1] < 2:
+        return some, some
+    return some, limit * some + math.sqrt(max(0.0, 1 - limit * limit)) * aside / length
+
+
+class _Codes:
+    """Rotations of one dimension, learned as they are needed, and where the codes of near pairs agree."""
+
+    def __init__(self, vectors: np.ndarray, limit: float):
+        # Rotations keep the vectors they are learned from away from their borders: a fifth is for the pairs alone.
+        order = np.random.default_rng(13).permutation(len(vectors))
+        cut = len(vectors) // 5 if len(vectors) >= 100 else 0
+        learned, asked = vectors[order[cut:]], vectors[order[:cut] if cut else order]
+        self.mean = learned.mean(0)
+        self.centred = learned - self.mean
+        self.pairs = [x - self.mean for x in near_pairs(asked, limit)]
+        self.rotations: list[np.ndarray] = []
+        self.agree = np.zeros((len(self.pairs[0]), 0), bool)
+
+    def need(self, bits: int) -> None:
+        while self.agree.shape[1] < bits:
+            found = iterative_quantisation(self.centred, len(self.rotations))
+            self.rotations.append(found)
+            a, b = (x @ found > 0 for x in self.pairs)
+            self.agree = np.concatenate([self.agree, a == b], axis=1)
+
+    def tables(self, bits: int, recall: float, most: int) -> int | None:
+        """Tables that bring the wanted share of the pairs together; None if ``most`` do not."""
+        apart = np.ones(len(self.agree), bool)
+        for t in range(most):
+            self.need((t + 1) * bits)
+            apart &= ~self.agree[:, t * bits : (t + 1) * bits].all(1)
+            if apart.mean() <= 1 - recall:
+                return t + 1
+        return None
+
+
 def unit_vectors(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     """Places and unit vectors in double precision, for each dimension that occurs."""
     lengths = np.asarray(pa.compute.list_value_length(column), np.int64)
@@ -92,18 +142,33 @@ def plan(members: DataFrame, limit: float = LIMIT, recall: float = RECALL, sampl
     row = sizes.first()
     most, n = row["most"] or 1, row["n"] or 1
     bits = min(24, max(6, round(math.log2(most / 128) if most > 128 else 0)))
-    meet = (1 - math.acos(limit) / math.pi) ** bits
-    tables = max(1, math.ceil(math.log(1 - recall) / math.log(1 - meet)))
     draw = F.pmod(F.col("h1"), F.lit(1_000_000)) < min(1.0, sample / n) * 1_000_000
     drawn = members.filter(draw).select("embedding").limit(2 * sample).toArrow()["embedding"].combine_chunks()
-    rotations = {}
-    if len(drawn):
-        for _, vectors in unit_vectors(drawn):
-            size = vectors.shape[1]
-            mean = vectors.mean(0)
-            need = math.ceil(tables * bits / size)
-            rotations[size] = mean, [iterative_quantisation(vectors - mean, i) for i in range(need)]
-    return Plan(tables, bits, rotations)
+    codes = {v.shape[1]: _Codes(v, limit) for _, v in unit_vectors(drawn)} if len(drawn) else {}
+    bits, tables = tables_for(list(codes.values()), bits, limit, recall)
+    for code in codes.values():
+        code.need(tables * bits)
+    return Plan(
+        tables, bits, {n: (x.mean, x.rotations[: math.ceil(tables * bits / n)]) for n, x in codes.items()}
+    )
+
+
+def tables_for(codes: list[_Codes], bits: int, limit: float, recall: float) -> tuple[int, int]:
+    """Bits of a substring, ``bits`` at most, and tables for the wanted recall."""
+    while True:
+        meet = (1 - math.acos(limit) / math.pi) ** bits
+        least = max(1, math.ceil(math.log(1 - recall) / math.log(1 - meet)))
+        most = max(least, MOST_TABLES if bits > 1 else 4096)
+        found = []
+        for code in codes:
+            found.append(code.tables(bits, recall, most))
+            if found[-1] is None:
+                break
+        if None not in found:
+            return bits, max([least, *found])
+        if bits == 1:
+            raise ValueError(f"{most} tables do not reach a recall of {recall}")
+        bits -= 1
 
 
 def _buckets(how: Plan):

@@ -67,3 +67,27 @@ def test_rotation_is_orthogonal_and_codes_are_balanced():
     r = E.iterative_quantisation(x - x.mean(0), 0)
     assert np.allclose(r @ r.T, np.eye(16))
     assert abs(((x - x.mean(0)) @ r > 0).mean(0) - 0.5).max() < 0.06
+
+
+def test_recall_with_a_large_common_component():
+    rng = np.random.default_rng(5)
+    common = np.eye(64)[0]
+    raw = 0.9 * common + np.sqrt(1 - 0.9**2) * np.linalg.qr(rng.standard_normal((64, 64)))[0][rng.integers(0, 64, 3000)]
+    raw += 0.05 * rng.standard_normal(raw.shape)
+    vectors = raw / np.linalg.norm(raw, axis=1, keepdims=True)
+    codes = E._Codes(vectors[:1500], 0.98)
+    bits, tables = E.tables_for([codes], 13, 0.98, E.RECALL)
+    codes.need(bits * tables)
+    how = E.Plan(tables, bits, {64: (codes.mean, codes.rotations)})
+    others = vectors[1500:]  # none of them was learned from
+    aside = rng.standard_normal(others.shape)
+    aside -= (aside * others).sum(1, keepdims=True) * others
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    near = 0.981 * others + np.sqrt(1 - 0.981**2) * aside
+    assert (how.keys(others) == how.keys(near)).any(1).mean() >= 0.995
+    # What the angle alone asks for finds too few.
+    meet = (1 - np.arccos(0.98) / np.pi) ** 13
+    old = E.Plan(int(np.ceil(np.log(1 - E.RECALL) / np.log(1 - meet))), 13, how.rotations)
+    old_recall = (old.keys(others) == old.keys(near)).any(1).mean()
+    print(bits, tables, old.tables, old_recall)
+    assert old_recall < 0.99
