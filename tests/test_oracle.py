@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as spark_entry
+from oracle import sql
 from oracle.compare import connect, difference
 
 QUERIES = spark_entry.own_queries()
-ORACLE = spark_entry.oracle_sql()
+ORACLE = sql.all_queries()
 
 
 @pytest.fixture(scope="module")
