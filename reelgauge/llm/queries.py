@@ -14,6 +14,7 @@ from reelgauge.llm.language_id import op2_language_id
 from reelgauge.llm.licences import op10_licence_scan
 from reelgauge.llm.mixing import op6_source_mixing
 from reelgauge.llm.packing import op8_packing
+from reelgauge.llm.prefix_trie import op11_prefix_trie
 from reelgauge.llm.quality import op5_quality_rules
 from reelgauge.llm.shared import reachable
 from reelgauge.llm.simhash import op3_simhash
@@ -40,6 +41,7 @@ QUERIES: dict[str, Query] = {
         op8_packing,
         op9_embedding_near_dedup,
         op10_licence_scan,
+        op11_prefix_trie,
     )
 } | {"pipeline": _query(corpus_pipeline.run)}
 
