@@ -36,6 +36,86 @@ SELECT vec_id, cast((SELECT count(*) FROM l WHERE a = vec_id) AS BIGINT) AS n_li
 FROM v"""
 
 
+# The 256 steps of a CRC-32 byte; a crc is folded over the bytes of a text with them.
+_CRC = """[list_reduce(list_concat([i], range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) FOR i IN range(256)]"""
+
+OP11 = f"""
+WITH crc AS (SELECT {_CRC} AS t),
+c AS (
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+h AS (
+  SELECT c.*, xor(list_reduce(list_concat([4294967295], [ascii(x) FOR x IN string_split(cast(conv_id AS VARCHAR), '')]),
+      lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)])), 4294967295) % 4 AS h
+  FROM c, crc
+),
+r AS (
+  SELECT h.conv_id, list_concat(coalesce(list_slice(b.turns, 1, h.h), []), list_slice(h.turns, h.h + 1, len(h.turns))) AS turns
+  FROM h LEFT JOIN c b ON b.conv_id = h.conv_id - h.conv_id % 20
+),
+p AS (SELECT conv_id, len(turns) AS n, unnest(range(len(turns) + 1)) AS depth, turns FROM r),
+m AS (SELECT conv_id, n, depth, list_slice(turns, 1, depth) AS node FROM p),
+v AS (
+  SELECT depth, node, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(cast(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256,
+    (count(*) - 1) * CASE WHEN depth = 0 THEN 0
+      ELSE len(regexp_extract_all(node[depth]['text'], '[^ \\t-\\r]+')) END AS saved
+  FROM m GROUP BY depth, node
+),
+k AS (SELECT depth - 1 AS depth, list_slice(node, 1, depth - 1) AS node, count(*) AS n_children FROM v WHERE depth > 0 GROUP BY ALL),
+f AS (SELECT v.*, coalesce(n_children, 0) AS n_children FROM v LEFT JOIN k USING (depth, node)),
+u AS (SELECT unnest(range(depth + 1)) AS up, node, saved, n_children FROM f),
+s AS (
+  SELECT up AS depth, list_slice(node, 1, up) AS node, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM u GROUP BY ALL
+)
+SELECT f.conv_id, f.depth, q.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves,
+  cast(saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM f JOIN s USING (depth, node) LEFT JOIN v q ON q.depth = f.depth - 1 AND q.node = list_slice(f.node, 1, f.depth - 1)"""
+
+OP12 = f"""
+WITH RECURSIVE crc AS (SELECT {_CRC} AS t),
+r AS (
+  SELECT coalesce(cast(doc_id AS VARCHAR), '') AS id,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]{{5,}}')) AS run
+  FROM documents
+),
+g AS (SELECT id, run, count(*) AS k, hex(id || ':' || run) AS x FROM r GROUP BY id, run),
+h AS (
+  SELECT run, k, xor(list_reduce(
+      list_concat([4294967295], [cast('0x' || substr(x, 2 * i + 1, 2) AS BIGINT) FOR i IN range(length(x) // 2)]),
+      lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)])), 4294967295) AS h
+  FROM g, crc
+),
+w AS (
+  SELECT word, cast(sum(k) AS BIGINT) AS n FROM (
+    SELECT k, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM h)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3
+),
+d AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM d a JOIN w b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM d a JOIN w b ON a.rest = b.word
+  UNION SELECT a.word, b.word, b.n FROM d a JOIN d b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+),
+f AS (
+  SELECT w.word, n, n_near, CASE WHEN m >= 2 * n THEN best END AS form, CASE WHEN m >= 2 * n THEN m END AS form_n
+  FROM w LEFT JOIN (
+    SELECT word, count(*) AS n_near, max(near_n) AS m, first(near ORDER BY near_n DESC, near) AS best FROM p GROUP BY word
+  ) USING (word)
+),
+up AS (
+  SELECT word, word AS root FROM f
+  UNION ALL SELECT up.word, f.form FROM up JOIN f ON f.word = up.root WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, up.root, f.n, coalesce(f.n_near, 0) AS n_near, f.form_n
+FROM f JOIN up ON up.word = f.word JOIN f z ON z.word = up.root AND z.form IS NULL"""
+
+
 def _op5() -> str:
     grid = ", ".join(
         f"('{rule}', {place}, {cutoff})"
@@ -105,4 +185,6 @@ ORACLE = {
     "op5_quality_rules": _op5(),
     "op7_warc": OP7,
     "op9_embedding_near_dedup": OP9,
+    "op11_prefix_trie": OP11,
+    "op12_spelling_variants": OP12,
 }

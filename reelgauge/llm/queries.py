@@ -18,6 +18,7 @@ from reelgauge.llm.prefix_trie import op11_prefix_trie
 from reelgauge.llm.quality import op5_quality_rules
 from reelgauge.llm.shared import reachable
 from reelgauge.llm.simhash import op3_simhash
+from reelgauge.llm.spelling import op12_spelling_variants
 from reelgauge.llm.token_files import op1_token_files
 from reelgauge.llm.warc import op7_warc
 
@@ -42,6 +43,7 @@ QUERIES: dict[str, Query] = {
         op9_embedding_near_dedup,
         op10_licence_scan,
         op11_prefix_trie,
+        op12_spelling_variants,
     )
 } | {"pipeline": _query(corpus_pipeline.run)}
 
