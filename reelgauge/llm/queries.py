@@ -13,6 +13,7 @@ from reelgauge.llm.fuzzy_lines import op4_fuzzy_lines
 from reelgauge.llm.language_id import op2_language_id
 from reelgauge.llm.licences import op10_licence_scan
 from reelgauge.llm.mixing import op6_source_mixing
+from reelgauge.llm.neighbours import op13_nearest_neighbours
 from reelgauge.llm.packing import op8_packing
 from reelgauge.llm.prefix_trie import op11_prefix_trie
 from reelgauge.llm.quality import op5_quality_rules
@@ -44,6 +45,7 @@ QUERIES: dict[str, Query] = {
         op10_licence_scan,
         op11_prefix_trie,
         op12_spelling_variants,
+        op13_nearest_neighbours,
     )
 } | {"pipeline": _query(corpus_pipeline.run)}
 
