@@ -18,8 +18,9 @@ from itertools import chain, islice
 
 import numpy as np
 
-#: Pieces remembered by one worker.
-REMEMBERED = 500_000
+#: Pieces remembered by one worker, and their characters.
+REMEMBERED = 250_000
+REMEMBERED_CHARS = 4_000_000
 _SEAM = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
@@ -43,6 +44,12 @@ def _plain(piece: str) -> bool:
     return len(piece) > 1 and piece[0] == " " and piece[1:].isprintable() and " " not in piece[1:]
 
 
+def _latin_end(piece: str) -> bool:
+    """Ends in a Latin letter that is one letter for the vocabulary too: a capital I with a dot becomes i and a mark."""
+    last = piece[-1:]
+    return last.isalpha() and last < "\u0250" and len(last.lower()) == 1
+
+
 class Encoder:
     """Encodes texts to one flat array of ids and the number of ids of each text."""
 
@@ -64,11 +71,12 @@ class Encoder:
             self.bytes_of[number] = len(word.removesuffix("</w>") if self.lowers else word)
         signs = {x: self.tokenizer.encode(x, add_special_tokens=False).ids for x in ".,;:!?"}
         self.signs = {x: ids[0] for x, ids in signs.items() if len(ids) == 1}
-        self.remembered, self.missed = remembered, 0.0
+        self.remembered, self.missed = remembered, 0.0  # kept pieces stay below both bounds
         self._forget()
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
+        self.characters = 0
         self.starts = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
@@ -94,7 +102,7 @@ class Encoder:
 
     def _learn(self, pieces: list[str]) -> None:
         """Add pieces that are not known; a word with a sign after it takes the ids of both."""
-        signed = [x for x in pieces if x[-1] in self.signs and x[-2:-1].isalpha()]
+        signed = [x for x in pieces if x[-1] in self.signs and _latin_end(x[:-1])]
         known = set(signed)
         cores = dict.fromkeys(x[:-1] for x in signed)
         new = list(dict.fromkeys([*(x for x in pieces if x not in known), *(x for x in cores if x not in self.place)]))
@@ -120,6 +128,7 @@ class Encoder:
             self._add([text], [np.array(ids, np.uint32)], [np.array([len(ids)])])
 
     def _add(self, pieces: list[str], flats: list[np.ndarray], counts: list[np.ndarray]) -> None:
+        self.characters += sum(map(len, pieces))
         self.place.update(zip(pieces, range(len(self.place), len(self.place) + len(pieces)), strict=True))
         self.flat, self.lengths = np.concatenate([self.flat, *flats]), np.concatenate([self.lengths, *counts])
         self.starts = np.cumsum(self.lengths) - self.lengths
@@ -131,17 +140,20 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each text has; None counts as empty."""
-        known = len(self.place), len(self.flat)
+        known = len(self.place), len(self.flat), self.characters
         gc.disable()  # many small lists, none of them in a cycle
         try:
             found = self._encode(texts)
         finally:
             gc.enable()
-        if known[0] > self.remembered // 2 and len(self.place) > self.remembered:
+        full = len(self.place) > self.remembered or self.characters > REMEMBERED_CHARS
+        if full and (known[0] > self.remembered // 2 or self.characters > REMEMBERED_CHARS):
             # Full: rare pieces of this call go again, the frequent ones came early.
             for piece in list(islice(reversed(self.place), len(self.place) - known[0])):
                 del self.place[piece]
-            self.flat, self.lengths, self.starts = self.flat[: known[1]], self.lengths[: known[0]], self.starts[: known[0]]
+            # Copies: a slice would hold the whole of what it is cut from.
+            self.flat, self.lengths = self.flat[: known[1]].copy(), self.lengths[: known[0]].copy()
+            self.starts, self.characters = self.starts[: known[0]].copy(), known[2]
         if self.missed > 0.3:
             self._forget()  # texts of another kind
         return found
@@ -164,7 +176,7 @@ class Encoder:
             ends[number + 1] = len(pieces)
         found = list(map(self.place.get, pieces))
         missing = [i for i, x in enumerate(found) if x is None]
-        self.missed = len(missing) / max(len(pieces), 1) if len(self.place) > self.remembered else 0
+        self.missed = len(missing) / max(len(pieces), 1) if len(self.place) > self.remembered // 2 else 0
         if missing:
             new = list(dict.fromkeys([pieces[i] for i in missing]))
             if whole:

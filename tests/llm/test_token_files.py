@@ -5,8 +5,11 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tokenizers import Tokenizer
+
+from oracle.compare import connect
 from reelgauge.llm import token_files
-from reelgauge.llm.tokens import Encoder, encoder
+from reelgauge.llm.tokens import Encoder, encoder, vocabulary_path
 from reelgauge.session import fresh_path
 
 TEXTS = [
@@ -33,6 +36,27 @@ def test_ids_are_those_of_whole_texts(name):
     generated()
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+@pytest.mark.parametrize("form", ["a {}.", " {},", "{}! x", ".{} b"])
+def test_ids_around_a_sign_for_every_code_point(name, form):
+    code = Encoder(name)
+    texts = [form.format(chr(c)) for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    plain = [x.ids for x in Tokenizer.from_file(vocabulary_path(name)).encode_batch_fast(texts, add_special_tokens=False)]
+    for start in range(0, len(texts), 20_000):
+        ids, lengths = code.encode(texts[start : start + 20_000])
+        found = np.split(ids, np.cumsum(lengths)[:-1])
+        assert all(a.tolist() == b for a, b in zip(found, plain[start : start + 20_000], strict=True))
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_of_all_documents_are_those_of_an_unchanged_tokenizer(name, sf_dir):
+    texts = [x[0] or "" for x in connect(sf_dir.replace("sf0.001", "sf0.01")).execute("SELECT text FROM documents").fetchall()]
+    ids, lengths = Encoder(name).encode(texts)
+    plain = [x.ids for x in Tokenizer.from_file(vocabulary_path(name)).encode_batch_fast(texts, add_special_tokens=False)]
+    assert lengths.tolist() == list(map(len, plain))
+    assert ids.tolist() == [i for x in plain for i in x]
+
+
 def test_a_full_memory_changes_nothing():
     small, large = Encoder("byte_bpe_50k.json", remembered=5), encoder("byte_bpe_50k.json")
     for texts in (["one two three four"], ["five six, seven. eight nine ten"], ["one six"], ["eleven twelve"]):
