@@ -17,6 +17,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # A trigger uploads what it changed, not the whole state.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 def configure(spark: SparkSession) -> SparkSession:

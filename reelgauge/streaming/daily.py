@@ -1,11 +1,16 @@
 """Daily counts kept current by a stream.
 
-Every row of a micro-batch goes to a log, a folder for each batch, partitioned
-by day; then the days the batch touched are counted anew from the log and
-replaced. Nothing is dropped: a late row reopens its day, and how many files a
-trigger takes cannot change a total. A key counts once a day, rows without a
-key count each; the count of a day is a batch aggregation, which combines on
-the map side. A replayed batch overwrites its own folder and its own days.
+A key counts once a day, with the amount it had in the first trigger that
+brought it (of rows of one trigger that differ, one of them); rows without a
+key count each. Which (day, key) pairs have been seen is state of the stream,
+held in RocksDB on the executors, without a watermark: a late row reopens its
+day however old it is, a repeated one never counts again, and how many files a
+trigger takes cannot change a total. A trigger passes on what is new only, so
+its work follows the rows it brings, not the rows of the days they touch.
+
+What a trigger adds to each day is a folder of its own, a row a day; a replayed
+trigger overwrites its folder. Every ``ERA`` triggers the sums so far are
+written as a new base, and readers take the last base and what came after it.
 """
 
 from __future__ import annotations
@@ -20,11 +25,9 @@ from reelgauge.plans.bronze import bronze_videos
 from reelgauge.plans.silver import silver_videos
 from reelgauge.sources.readers import read_parquet
 
-LOG = T.StructType([
-    T.StructField("key", T.StringType()),
-    T.StructField("amount", T.DoubleType()),
-    T.StructField("day", T.DateType()),
-])
+#: Triggers between two bases.
+ERA = 64
+
 DAYS = T.StructType([
     T.StructField("day", T.DateType()),
     T.StructField("n", T.LongType()),
@@ -61,50 +64,41 @@ def start_daily(
     rows = stream.select(
         F.to_date(day).alias("day"), F.col(key).cast("string").alias("key"), amount.cast("double").alias("amount")
     )
+    new = rows.filter("key IS NOT NULL").dropDuplicates(["day", "key"]).unionByName(rows.filter("key IS NULL"))
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        mine = f"{table}/log/batch={batch_id}"
-        batch.write.mode("overwrite").partitionBy("day").parquet(mine)
-        touched = [x["day"] for x in _log(spark, mine).select("day").distinct().collect()]  # days of a calendar
-        if not touched:
-            return
-        dated = F.col("day").isin([x for x in touched if x is not None])
-        wanted = dated | F.col("day").isNull() if None in touched else dated
-        (
-            _counts(_log(spark, f"{table}/log").filter(wanted))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day")
-            .parquet(f"{table}/days")
-        )
+        spark, era = batch.sparkSession, batch_id // ERA
+        _sums(batch.select("day", F.lit(1).alias("n"), F.col("amount").alias("total"))).coalesce(1).write.mode(
+            "overwrite"
+        ).parquet(f"{table}/added/era={era}/batch={batch_id}")
+        if batch_id % ERA == ERA - 1:
+            whole = _sums(_so_far(spark, table, era))
+            whole.coalesce(1).write.mode("overwrite").parquet(f"{table}/base/era={era}")
 
     return (
-        rows.writeStream.foreachBatch(add)
+        new.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def _log(spark: SparkSession, path: str) -> DataFrame:
-    return read_parquet(spark, path, LOG, missing_ok=True)
+def _sums(rows: DataFrame) -> DataFrame:
+    """One row a day of a calendar."""
+    return rows.groupBy("day").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 
-def _counts(log: DataFrame) -> DataFrame:
-    by_key = log.groupBy("day", "key").agg(
-        F.count(F.lit(1)).alias("copies"), F.min("amount").alias("one"), F.sum("amount").alias("all")
-    )
-    keyed = F.col("key").isNotNull()
-    return by_key.groupBy("day").agg(
-        F.sum(F.when(keyed, 1).otherwise(F.col("copies"))).alias("n"),
-        F.sum(F.when(keyed, F.col("one")).otherwise(F.col("all"))).alias("total"),
-    )
+def _so_far(spark: SparkSession, table: str, era: int) -> DataFrame:
+    """What the base before ``era`` holds and what the triggers of ``era`` have added."""
+    base = read_parquet(spark, f"{table}/base/era={era - 1}", DAYS, missing_ok=True)
+    return base.unionByName(read_parquet(spark, f"{table}/added/era={era}", DAYS, missing_ok=True))
 
 
 def daily_totals(spark: SparkSession, table: str) -> DataFrame:
     """(day, n, total); no rows before the first batch."""
-    return read_parquet(spark, f"{table}/days", DAYS, missing_ok=True)
+    numbered = T.StructType([*DAYS.fields, T.StructField("era", T.IntegerType())])
+    last = read_parquet(spark, f"{table}/base", numbered, missing_ok=True).agg(F.max("era")).first()[0]
+    return _sums(_so_far(spark, table, 0 if last is None else last + 1))
 
 
 def monthly_totals(spark: SparkSession, table: str) -> DataFrame:

@@ -68,6 +68,32 @@ def test_trigger_size_changes_nothing(spark, tmp_path, sf_dir, files):
     assert total == spark.read.parquet(f"{sf_dir}/events.parquet").count()
 
 
+def test_many_triggers_and_bases(spark, tmp_path, sf_dir, monkeypatch):
+    monkeypatch.setattr(daily, "ERA", 4)
+    landed = str(tmp_path / "landed")
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").limit(500)
+    rows.unionByName(rows).repartition(22, F.rand(1)).write.option("maxRecordsPerFile", 10).parquet(landed)
+    query = run(spark, landed, tmp_path, files=9)
+    assert query.lastProgress["batchId"] > 9
+    found = daily.daily_totals(spark, str(tmp_path / "counts"))
+    expected = rows.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)), F.round(F.sum("value"), 6))
+    assert sorted(map(tuple, found.select("day", "n", F.round("total", 6)).collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_work_of_a_trigger_follows_its_rows(spark, tmp_path, folder):
+    """A day of 2,000 keys; then one more key for that day, twice, and an old one."""
+    first = [(i, "2024-01-01 10:00:00", 1.0) for i in range(2000)]
+    land(events(spark, *first), folder, 1)
+    run(spark, folder / "*", tmp_path)
+    land(events(spark, (5000, "2024-01-01 11:00:00", 2.0), (5000, "2024-01-01 11:00:00", 2.0), first[7]), folder, 2)
+    progress = run(spark, folder / "*", tmp_path).lastProgress
+    (state,) = progress["stateOperators"]
+    assert (progress["numInputRows"] // 2, state["numRowsUpdated"], state["numRowsTotal"]) == (3, 1, 2001)
+    assert [tuple(x)[1:] for x in daily.daily_totals(spark, str(tmp_path / "counts")).collect()] == [(2001, 2002.0)]
+    added = spark.read.parquet(str(tmp_path / "counts" / "added")).orderBy("batch").select("batch", "n", "total")
+    assert [tuple(x) for x in added.collect()] == [(0, 2000, 2000.0), (1, 1, 2.0)]
+
+
 def test_rows_without_key_or_day_count(spark, tmp_path, folder):
     land(events(spark, (None, "2024-01-01 10:00:00", 1.0), (None, "2024-01-01 10:00:00", 1.0), (1, None, 2.0)), folder, 1)
     run(spark, folder / "*", tmp_path)
