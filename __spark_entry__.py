@@ -21,7 +21,7 @@ from reelgauge.operators import (
     titles,
     weekday,
 )
-from reelgauge.plans import niches
+from reelgauge.plans import increment, niches
 from reelgauge.plans.bronze import bronze_channels, bronze_videos, usable, video_rejects
 from reelgauge.session import configure, fresh_path
 from reelgauge.sources import harvest, readers, sinks
@@ -115,6 +115,28 @@ def _silver_rebuild(spark: SparkSession, sf: str) -> DataFrame:
     return again.groupBy("ano").agg(F.count("video_id").alias("n"))
 
 
+def _bronze_increment(spark: SparkSession, sf: str) -> DataFrame:
+    """Two landings taken one after the other; a third of the videos is in both, with more views in the second."""
+    configure(spark)
+    key = F.regexp_extract("value", '"id":"v([0-9]+)"', 1).cast("bigint")
+    undated = F.regexp_replace("value", ',"extraction_date":"[^"]*"', "")
+    text = catalogue.raw_video_text(spark, sf).select(undated.alias("value"), (key % 3).alias("third"))
+    more = F.regexp_replace("value", '"viewCount":"', '"viewCount":"1')
+    raw = fresh_path(spark, "increment-raw")
+    layers = increment.Layers(raw, *(fresh_path(spark, f"increment-{x}") for x in ("bronze", "silver", "ledger")))
+    text.filter("third <> 0").select("value").write.text(f"{raw}/extraction_date=2024-02-01")
+    increment.run_increment(spark, layers)
+    text.filter("third <> 1").select(more.alias("value")).write.text(f"{raw}/extraction_date=2024-02-02")
+    increment.run_increment(spark, layers)
+    rows = increment.silver(spark, layers)
+    return _plain(rows.select("video_id", "title", "duration", "ano", "view_count", "engagement_rate", "extraction_date"))
+
+
+def _id_batches_global(spark: SparkSession, sf: str) -> DataFrame:
+    batches = harvest.id_batches_global(catalogue.silver(spark, sf))
+    return batches.withColumn("ids", F.array_join("ids", ","))
+
+
 def _silver_videos(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(catalogue.silver(spark, sf))
 
@@ -224,7 +246,9 @@ def own_queries() -> dict[str, Query]:
         "landing_dates": _landing_dates,
         "silver_rebuild": _silver_rebuild,
         "suggestions_append": _suggestions_append,
+        "bronze_increment": _bronze_increment,
         "id_batches": _id_batches,
+        "id_batches_global": _id_batches_global,
         "dedupe_videos": _dedupe_videos,
         "harvest_stats": _harvest_stats,
         "explode_items": _explode_items,

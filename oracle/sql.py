@@ -440,6 +440,17 @@ SELECT channel_id, (rn - 1) // 50 AS batch_no, string_agg(video_id, ',' ORDER BY
 FROM (SELECT channel_id, video_id,
         row_number() OVER (PARTITION BY channel_id ORDER BY md5(video_id), video_id) AS rn FROM v)
 GROUP BY ALL"""),
+        "id_batches_global": _over("""
+SELECT (rn - 1) // 50 AS batch_no, string_agg(video_id, ',' ORDER BY video_id) AS ids, cast(count(*) AS INTEGER) AS n_ids
+FROM (SELECT video_id, row_number() OVER (ORDER BY video_id) AS rn FROM v) GROUP BY ALL"""),
+        "bronze_increment": _over("""
+SELECT video_id, title, round(duration, 6) AS duration, ano, view_count,
+  CASE WHEN view_count > 0 THEN round((like_count + comment_count) / view_count * 100, 6) END AS engagement_rate, extraction_date
+FROM (
+  SELECT * REPLACE (
+      CASE WHEN third <> 1 THEN cast('1' || view_count AS BIGINT) ELSE view_count END AS view_count,
+      CASE WHEN third <> 1 THEN '2024-02-02' ELSE '2024-02-01' END AS extraction_date)
+  FROM (SELECT *, cast(substr(video_id, 2) AS BIGINT) % 3 AS third FROM s))"""),
         "dedupe_videos": """
 SELECT video_id, extraction_date, channel_id, view_count FROM (
   SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY extraction_date, channel_id, view_count) AS rn

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reelgauge import fixed_values as fixed
 from reelgauge import schemas
+from reelgauge.operators.ranges import placed
 from reelgauge.sources.readers import parse_json
 
 
@@ -51,6 +52,21 @@ def id_batches(
     )
 
 
+def id_batches_global(ids: DataFrame, item: str = "video_id", size: int = fixed.BATCH_SIZE) -> DataFrame:
+    """Cut the distinct ids of all channels together into batches of ``size``: as few requests as there can be.
+
+    Places come from ``ranges.placed``, so no task ranks more than a range of
+    the ids; only the last batch may be smaller.
+    """
+    distinct = ids.select(item).filter(F.col(item).isNotNull()).distinct()
+    return (
+        placed(distinct, [item])
+        .groupBy(F.floor(F.col("place") / size).alias("batch_no"))
+        .agg(F.sort_array(F.collect_list(item)).alias("ids"))
+        .withColumn("n_ids", F.size("ids"))
+    )
+
+
 def playlists(raw_channels: DataFrame) -> DataFrame:
     """Uploads playlist of every channel."""
     return raw_channels.select(
@@ -71,17 +87,30 @@ def page_ids(pages: DataFrame, text: str = "page") -> DataFrame:
 def one_landing(
     landed: DataFrame, key: str = "video_id", order: str = "extraction_date", keep: str = "first"
 ) -> DataFrame:
-    """One row per ``key``: the first or the last landed, ties by the other columns.
+    """One row per ``key``: that of the first or the last day, ties by the other columns.
 
-    ``min`` and ``max`` over a struct are combined on the map side, so a key
-    with countless copies sends one row per task. Rows without a key are not
-    copies of each other and all stay.
+    The best day of a key is a number, so it is found by a hash aggregation of
+    two columns; rows of that day are joined back, equal ones fall together,
+    and only keys that still have different rows are sorted. Text that is no
+    date counts as a day before all others. Rows without a key are not copies
+    of each other and all stay.
     """
     pick = {"first": F.min, "last": F.max}[keep]
     rest = [name for name in landed.columns if name not in (key, order)]
     keyed = landed.filter(F.col(key).isNotNull())
-    one = keyed.groupBy(key).agg(pick(F.struct(order, *rest)).alias("row")).select(key, "row.*")
-    return one.unionByName(landed.filter(F.col(key).isNull()))
+    day = F.coalesce(F.unix_date(F.col(order).try_cast("date")), F.lit(-(2**31)))
+    best = keyed.groupBy(key).agg(pick(day).alias("_day"))
+    winners = keyed.withColumn("_day", day).join(best, [key, "_day"]).drop("_day").distinct()
+    tied = winners.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key)
+    ordered = [F.col(name).asc() if keep == "first" else F.col(name).desc() for name in (order, *rest)]
+    first = F.row_number().over(Window.partitionBy(key).orderBy(*ordered))
+    chosen = winners.join(tied, key, "left_semi").withColumn("_place", first).filter("_place = 1").drop("_place")
+    columns = [key, order, *rest]
+    return (
+        winners.join(tied, key, "left_anti").select(*columns)
+        .unionByName(chosen.select(*columns))
+        .unionByName(landed.filter(F.col(key).isNull()).select(*columns))
+    )
 
 
 def harvest_counts(found: DataFrame, details: DataFrame) -> DataFrame:

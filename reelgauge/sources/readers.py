@@ -78,11 +78,30 @@ def read_json(
 CORRUPT = "_corrupt_record"
 
 
-def read_json_checked(spark: SparkSession, path: str, schema: T.StructType, array_files: bool = False) -> DataFrame:
-    """JSON scan that keeps what it cannot read, as text in ``_corrupt_record``, and the file each row is from."""
+def read_json_checked(
+    spark: SparkSession, path: str, schema: T.StructType, array_files: bool = False, files: list[str] | None = None
+) -> DataFrame:
+    """JSON scan that keeps what it cannot read, as text in ``_corrupt_record``, and the file each row is from.
+
+    ``files`` names the files below ``path`` to read; default: all.
+    """
     wanted = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     rows = spark.read.schema(wanted).option("columnNameOfCorruptRecord", CORRUPT).option("multiLine", array_files)
-    return rows.json(_checked(path)).select("*", F.col("_metadata.file_path").alias("source_file"))
+    found = rows.json(_checked(path)) if files is None else rows.option("basePath", _checked(path)).json(files)
+    return found.select("*", F.col("_metadata.file_path").alias("source_file"))
+
+
+FILES = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("modificationTime", T.TimestampType()),
+    T.StructField("length", T.LongType()),
+])
+
+
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, modificationTime, length) of all files below ``path``; their content is not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(_checked(path))
+    return files.select(*FILES.names)
 
 
 def parse_json(text: Column, schema: T.StructType) -> Column:
