@@ -13,7 +13,9 @@ from reelgauge import schemas
 from reelgauge.operators import (
     channels,
     compare,
+    cube,
     duration,
+    measures,
     overview,
     recommend,
     records,
@@ -198,6 +200,23 @@ def _niche_filter(spark: SparkSession, sf: str) -> DataFrame:
     return videos.select("video_id", "channel_id", "view_count")
 
 
+def _gold_cube(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells of the view merged to years and length classes."""
+    cells = cube.of(catalogue.view(spark, sf))
+    n, r = measures.correlation(cells, "title_length", "view_count")
+    merged = cells.groupBy("niche", "ano", "length_class").agg(
+        measures.rows(cells).alias("n_videos"),
+        measures.total(cells, "view_count").alias("total_views"),
+        measures.highest(cells, "view_count").alias("max_views"),
+        *measures.sample(cells, "view_count", "views"),
+        *measures.sample(cells, "engagement_rate", "rate"),
+        n.alias("n_pairs"),
+        r.alias("r_title_views"),
+    )
+    spread = {f"sd_{name}": F.sqrt(f"var_{name}") for name in ("views", "rate")}
+    return _plain(merged.withColumns(spread).drop("var_views", "var_rate"))
+
+
 def _length_class(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(catalogue.view(spark, sf).select("niche", "video_id", "duration", "length_class"))
 
@@ -255,6 +274,7 @@ def own_queries() -> dict[str, Query]:
         "niche_videos": _niche_videos,
         "niche_filter": _niche_filter,
         "length_class": _length_class,
+        "gold_cube": _gold_cube,
         "overview_totals": _analysis(overview.totals),
         "overview_monthly": _analysis(overview.monthly),
         "overview_chosen": _analysis(overview.monthly, channels=catalogue.CHOSEN),

@@ -470,6 +470,12 @@ SELECT niche, video_id, channel_id FROM v
 UNION SELECT 'ASIA', video_id, channel_id FROM v WHERE channel_id LIKE '%7'"""),
         "niche_filter": _over("SELECT video_id, channel_id, view_count FROM v WHERE niche = 'EUROPE'"),
         "length_class": _over("SELECT niche, video_id, round(duration, 6) AS duration, length_class FROM w"),
+        "gold_cube": _over("""
+SELECT niche, ano, length_class, count(*) AS n_videos, cast(sum(view_count) AS BIGINT) AS total_views,
+  max(view_count) AS max_views, count(view_count) AS n_views, round(avg(view_count), 6) AS mean_views,
+  round(stddev_samp(view_count), 6) AS sd_views, count(engagement_rate) AS n_rate, round(avg(engagement_rate), 6) AS mean_rate,
+  round(stddev_samp(engagement_rate), 6) AS sd_rate, count(view_count) AS n_pairs, round(corr(length(title), view_count), 6) AS r_title_views
+FROM w GROUP BY niche, ano, length_class"""),
         "overview_totals": _over("""
 SELECT niche, length_class, count(*) AS n_videos, cast(sum(view_count) AS BIGINT) AS total_views,
   replace(format('{:,}', cast(sum(view_count) AS BIGINT)), ',', '.') AS total_views_text

@@ -9,18 +9,19 @@ from pyspark.sql import functions as F
 
 from reelgauge import fixed_values as fixed
 from reelgauge.functions.columns import per_view
+from reelgauge.operators import cube
+from reelgauge.operators import measures as M
 from reelgauge.operators.grouped import NICHE, By
 
 
-def _measures() -> dict[str, Column]:
-    rated = F.col("view_count") > 0
-    interactions = F.sum(F.when(rated, F.col("like_count") + F.col("comment_count")))
+def _measures(videos: DataFrame) -> dict[str, Column]:
+    interactions = M.total(videos, "interactions") if M.are_cells(videos) else F.sum(cube.interactions())
     return {
-        "total_views": F.sum("view_count"),
-        "total_likes": F.sum("like_count"),
-        "total_comments": F.sum("comment_count"),
-        "avg_engagement_rate": F.avg("engagement_rate"),
-        "weighted_engagement_rate": per_view(interactions, F.sum("view_count")),
+        "total_views": M.total(videos, "view_count"),
+        "total_likes": M.total(videos, "like_count"),
+        "total_comments": M.total(videos, "comment_count"),
+        "avg_engagement_rate": M.average(videos, "engagement_rate"),
+        "weighted_engagement_rate": per_view(interactions, M.total(videos, "view_count")),
     }
 
 
@@ -29,7 +30,7 @@ def channel_year(videos: DataFrame, year: int, by: By = NICHE) -> DataFrame:
     return (
         videos.filter(F.col("ano") == year)
         .groupBy(*by, "channel_name")
-        .agg(*[measure.alias(f"{name}_{year}") for name, measure in _measures().items()])
+        .agg(*[measure.alias(f"{name}_{year}") for name, measure in _measures(videos).items()])
     )
 
 
@@ -42,7 +43,7 @@ def month_compare(
     that month of any of the years has no row, and the years become columns.
     """
     years = fixed.COMPARED_YEARS if years is None else years
-    measures = _measures()
+    measures = _measures(videos)
     wide = (
         videos.filter(F.col("ano").isin(years) & F.col("length_class").isNotNull())
         .groupBy(*by, "length_class", "mes", "channel_name")

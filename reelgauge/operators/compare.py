@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from reelgauge import fixed_values as fixed
 from reelgauge.functions.columns import log10_views
+from reelgauge.operators import measures as M
 from reelgauge.operators.grouped import NICHE, By, join_groups
 from reelgauge.operators.quantiles import quantiles
-from reelgauge.operators.significance import sample, with_welch
+from reelgauge.operators.significance import with_welch
 from reelgauge.session import settle
 
 CLASSES = ["long", "short"]
@@ -26,10 +27,10 @@ def stats(videos: DataFrame, by: By = NICHE) -> DataFrame:
         videos.filter(F.col("length_class").isNotNull())
         .groupBy(*by, "length_class")
         .agg(
-            F.count(F.lit(1)).alias("count"),
-            *[F.avg(column).alias(name) for name, column in COMPARED.items()],
-            F.max("view_count").alias("max_views"),
-            F.max("engagement_rate").alias("max_engagement"),
+            M.rows(videos).alias("count"),
+            *[M.average(videos, column).alias(name) for name, column in COMPARED.items()],
+            M.highest(videos, "view_count").alias("max_views"),
+            M.highest(videos, "engagement_rate").alias("max_engagement"),
         )
     )
 
@@ -48,8 +49,8 @@ def metric_table(videos: DataFrame, by: By = NICHE) -> DataFrame:
 def ratio(videos: DataFrame, by: By = NICHE) -> DataFrame:
     """Short over long: views and engagement, and whether shorts pay off."""
     def of(name: str):
-        column = F.col(COMPARED[name])
-        short, long = (F.avg(F.when(F.col("length_class") == c, column)) for c in ("short", "long"))
+        column = COMPARED[name]
+        short, long = (M.average(videos, column, F.col("length_class") == c) for c in ("short", "long"))
         return F.when(long != 0, short / long)
 
     return (
@@ -74,7 +75,7 @@ def welch(videos: DataFrame, by: By = NICHE) -> DataFrame:
     parts = []
     for metric, column in COMPARED.items():
         for name in CLASSES:
-            parts += sample(F.when(F.col("length_class") == name, F.col(column)), f"{metric}_{name}")
+            parts += M.sample(videos, column, f"{metric}_{name}", F.col("length_class") == name)
     sized = ["n", "mean", "var"]
     tests = F.array(*[
         F.struct(

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from reelgauge import fixed_values as fixed
 from reelgauge.functions.columns import correlation_label
+from reelgauge.operators import measures as M
 from reelgauge.operators.grouped import NICHE, By, join_groups
 from reelgauge.operators.quantiles import quantiles
-from reelgauge.operators.significance import pairs, pearson
 from reelgauge.session import settle
 
 LINE_POINTS = 100
@@ -22,11 +22,11 @@ def _long(videos: DataFrame) -> DataFrame:
 
 
 def correlation(videos: DataFrame, by: By = NICHE) -> DataFrame:
-    views, duration = F.col("view_count"), F.col("duration")
+    n, r = M.correlation(videos, "view_count", "duration")
     return (
-        _long(videos)
+        videos.filter(F.col("length_class") == "long")
         .groupBy(*by)
-        .agg(pairs(views, duration).alias("n"), pearson(views, duration).alias("r"))
+        .agg(n.alias("n"), r.alias("r"))
         .withColumn("correlation", correlation_label(F.col("r")))
     )
 
@@ -45,14 +45,24 @@ def view_quantiles(videos: DataFrame, by: By = NICHE) -> DataFrame:
     )
 
 
-def scatter(videos: DataFrame, by: By = NICHE, quantile: float = fixed.TRIM_QUANTILE) -> DataFrame:
-    """Long videos below the limit in minutes and in views at once."""
+def scatter(
+    videos: DataFrame, by: By = NICHE, quantile: float = fixed.TRIM_QUANTILE, limits: DataFrame | None = None
+) -> DataFrame:
+    """Long videos below the limit in minutes and in views at once.
+
+    ``limits`` may hold settled ``view_quantiles``, whose trim limits then count.
+    """
     long = _long(videos)
-    wanted = {
-        "minutes_limit": (F.col("duration_minutes"), quantile),
-        "views_limit": (F.col("view_count"), quantile),
-    }
-    limits = settle(quantiles(long, by, wanted), "scatter")
+    if limits is None:
+        wanted = {
+            "minutes_limit": (F.col("duration_minutes"), quantile),
+            "views_limit": (F.col("view_count"), quantile),
+        }
+        limits = settle(quantiles(long, by, wanted), "scatter")
+    else:
+        limits = limits.select(
+            *by, F.col("long_minutes_limit").alias("minutes_limit"), F.col("long_views_limit").alias("views_limit")
+        )
     return (
         join_groups(long, limits, by)
         .filter(
@@ -63,12 +73,17 @@ def scatter(videos: DataFrame, by: By = NICHE, quantile: float = fixed.TRIM_QUAN
     )
 
 
-def fit(videos: DataFrame, by: By = NICHE, points: int = LINE_POINTS) -> DataFrame:
-    """Least-squares line of views on minutes over the trimmed set, drawn by points."""
+def fit(
+    videos: DataFrame, by: By = NICHE, points: int = LINE_POINTS, trimmed: DataFrame | None = None
+) -> DataFrame:
+    """Least-squares line of views on minutes over the trimmed set, drawn by points.
+
+    ``trimmed`` may hold the settled ``scatter``.
+    """
     x, y = F.col("duration_minutes"), F.col("view_count")
     step = (F.col("x_max") - F.col("x_min")) / (points - 1)
     return (
-        scatter(videos, by)
+        (scatter(videos, by) if trimmed is None else trimmed)
         .groupBy(*by)
         .agg(
             F.regr_slope(y, x).alias("slope"),

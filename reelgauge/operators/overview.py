@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelgauge.functions.columns import dotted_thousands
+from reelgauge.operators import measures as M
 from reelgauge.operators.grouped import NICHE, By
 from reelgauge.plans.niches import keep_channels
 
@@ -18,7 +19,7 @@ def totals(videos: DataFrame, by: By = NICHE, channels: list[str] | None = None)
     return (
         _published(videos, channels)
         .groupBy(*by, "length_class")
-        .agg(F.count(F.lit(1)).alias("n_videos"), F.sum("view_count").alias("total_views"))
+        .agg(M.rows(videos).alias("n_videos"), M.total(videos, "view_count").alias("total_views"))
         .withColumn("total_views_text", dotted_thousands(F.col("total_views")))
     )
 
@@ -27,7 +28,7 @@ def monthly(videos: DataFrame, by: By = NICHE, channels: list[str] | None = None
     return (
         _published(videos, channels)
         .groupBy(*by, "length_class", "ano_mes_publish")
-        .agg(F.count("video_id").alias("n_videos"), F.sum("view_count").alias("total_views"))
+        .agg(M.count(videos, "video_id").alias("n_videos"), M.total(videos, "view_count").alias("total_views"))
     )
 
 

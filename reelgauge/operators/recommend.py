@@ -7,7 +7,7 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelgauge.operators import compare, titles, weekday
+from reelgauge.operators import compare, cube, titles, weekday
 from reelgauge.operators.grouped import NICHE, By
 
 
@@ -21,7 +21,10 @@ INPUTS = {
 
 
 def recommendations(videos: DataFrame, by: By = NICHE) -> DataFrame:
-    return advice({name: analysis(videos, by=by) for name, analysis in INPUTS.items()}, by)
+    """All but the keyword's test is drawn from cells, one pass over the videos."""
+    cells = cube.of(videos, by)
+    frames = {"keyword_impact": videos}
+    return advice({name: analysis(frames.get(name, cells), by=by) for name, analysis in INPUTS.items()}, by)
 
 
 def advice(results: dict[str, DataFrame], by: By = NICHE) -> DataFrame:

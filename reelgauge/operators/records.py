@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelgauge.functions import columns as C
+from reelgauge.operators import measures as M
 from reelgauge.operators.grouped import NICHE, By, any_of, best, join_groups
 from reelgauge.session import settle
 
@@ -22,17 +23,21 @@ class Record:
     lowest: bool = False
 
 
-def record_holders(df: DataFrame, by: By, records: list[Record], key: str = "video_id") -> DataFrame:
+def record_holders(
+    df: DataFrame, by: By, records: list[Record], key: str = "video_id", extremes: DataFrame | None = None
+) -> DataFrame:
     """One row per group: for each record its value and the row that holds it.
 
     The first pass only takes ``max`` and ``min`` of numbers, which hash
     aggregation handles without sorting the table. The second pass reads the
     text columns of rows that reach a record and settles ties by ``key``.
+    ``extremes`` may hold the settled result of the first pass.
     """
-    extremes = settle(
-        df.groupBy(*by).agg(*[(F.min if r.lowest else F.max)(r.value).alias(r.name) for r in records]),
-        "records",
-    )
+    if extremes is None:
+        extremes = settle(
+            df.groupBy(*by).agg(*[(F.min if r.lowest else F.max)(r.value).alias(r.name) for r in records]),
+            "records",
+        )
     hits = [(r, r.value == F.col(f"best_{r.name}")) for r in records]
     marked = join_groups(
         df, extremes.withColumnsRenamed({r.name: f"best_{r.name}" for r in records}), by
@@ -47,8 +52,26 @@ def record_holders(df: DataFrame, by: By, records: list[Record], key: str = "vid
     return marked.groupBy(*by).agg(*holders)
 
 
-def catalogue_records(videos: DataFrame, by: By = NICHE) -> DataFrame:
-    """The record board of a niche, one row each."""
+def _extremes(cells: DataFrame, by: By) -> DataFrame:
+    return settle(
+        cells.groupBy(*by).agg(
+            M.lowest(cells, "published_at").alias("first"),
+            M.highest(cells, "view_count").alias("views"),
+            M.highest(cells, "view_count", F.col("length_class") == "long").alias("long_views"),
+            M.highest(cells, "like_count").alias("likes"),
+            M.highest(cells, "comment_count").alias("comments"),
+            M.highest(cells, "duration").alias("longest"),
+            M.highest(cells, "engagement_rate").alias("engagement"),
+        ),
+        "records",
+    )
+
+
+def catalogue_records(videos: DataFrame, by: By = NICHE, cells: DataFrame | None = None) -> DataFrame:
+    """The record board of a niche, one row each.
+
+    With ``cells`` the videos are read once, for the texts of the holders.
+    """
     is_long = F.col("length_class") == "long"
     holders = record_holders(
         videos,
@@ -62,10 +85,10 @@ def catalogue_records(videos: DataFrame, by: By = NICHE) -> DataFrame:
             Record("longest", F.col("duration")),
             Record("engagement", F.col("engagement_rate")),
         ],
+        extremes=None if cells is None else _extremes(cells, by),
     )
-    per_channel_month = videos.groupBy(*by, "channel_name", "ano_mes_publish").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    counted = videos if cells is None else cells
+    per_channel_month = counted.groupBy(*by, "channel_name", "ano_mes_publish").agg(M.rows(counted).alias("n"))
     months = per_channel_month.groupBy(*by).agg(
         F.count_distinct("ano_mes_publish").alias("n_months")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelgauge.operators import measures as M
 from reelgauge.operators.grouped import NICHE, By
 
 METRICS = ["num_videos", "media_views", "total_views", "media_engagement", "media_likes"]
@@ -18,11 +19,11 @@ def _monthly(videos: DataFrame, by: By) -> DataFrame:
     return (
         videos.groupBy(*by, "ano", "mes")
         .agg(
-            F.count("video_id").alias("num_videos"),
-            F.avg("view_count").alias("media_views"),
-            F.sum("view_count").alias("total_views"),
-            F.avg("engagement_rate").alias("media_engagement"),
-            F.avg("like_count").alias("media_likes"),
+            M.count(videos, "video_id").alias("num_videos"),
+            M.average(videos, "view_count").alias("media_views"),
+            M.total(videos, "view_count").alias("total_views"),
+            M.average(videos, "engagement_rate").alias("media_engagement"),
+            M.average(videos, "like_count").alias("media_likes"),
         )
         .withColumn("date", F.make_date("ano", "mes", F.lit(1)))
     )

@@ -7,23 +7,30 @@ from pyspark.sql import functions as F
 
 from reelgauge import fixed_values as fixed
 from reelgauge.functions import text as X
+from reelgauge.operators import measures as M
 from reelgauge.operators.grouped import NICHE, By, best, join_groups, within
 from reelgauge.operators.quantiles import quantiles
-from reelgauge.operators.significance import pairs, pearson, sample, with_pearson, with_welch
+from reelgauge.operators.significance import with_pearson, with_welch
 from reelgauge.session import settle
 
 AVERAGES = {"avg_views": "view_count", "avg_likes": "like_count", "avg_engagement": "engagement_rate"}
 
 
-def _averages(when: Column | None = None, suffix: str = "") -> list[Column]:
-    def kept(column: str) -> Column:
-        return F.col(column) if when is None else F.when(when, F.col(column))
+def _averages(videos: DataFrame, when: Column | None = None, suffix: str = "") -> list[Column]:
+    return [M.average(videos, column, when).alias(f"{name}{suffix}") for name, column in AVERAGES.items()]
 
-    return [F.avg(kept(column)).alias(f"{name}{suffix}") for name, column in AVERAGES.items()]
+
+def _measured(videos: DataFrame) -> DataFrame:
+    """Length and class of the title, unless the frame has them: a narrow view, or cells."""
+    if M.are_cells(videos) or "title_length" in videos.columns:
+        return videos
+    length = X.title_length(F.col("title"))
+    return videos.withColumns({"title_length": length, "bin_no": X.length_bin(length)})
 
 
 def length_mean(videos: DataFrame, by: By = NICHE) -> DataFrame:
-    return videos.groupBy(*by).agg(F.avg(X.title_length(F.col("title"))).alias("avg_title_length"))
+    lengths = _measured(videos)
+    return lengths.groupBy(*by).agg(M.average(lengths, "title_length").alias("avg_title_length"))
 
 
 def length_performance(videos: DataFrame, by: By = NICHE) -> DataFrame:
@@ -33,9 +40,9 @@ def length_performance(videos: DataFrame, by: By = NICHE) -> DataFrame:
     up from there, so the table is read once.
     """
     found = (
-        videos.withColumn("bin_no", X.length_bin(X.title_length(F.col("title"))))
+        _measured(videos)
         .groupBy(*by, "bin_no")
-        .agg(*_averages(), F.count("video_id").alias("count"))
+        .agg(*_averages(videos), M.count(videos, "video_id").alias("count"))
     )
     gathered = found.groupBy(*by).agg(
         F.collect_list(F.struct("bin_no", *AVERAGES, "count")).alias("classes")
@@ -73,33 +80,39 @@ def length_best(videos: DataFrame, by: By = NICHE) -> DataFrame:
 
 def length_correlation(videos: DataFrame, by: By = NICHE) -> DataFrame:
     """Pearson r of title length with views and with engagement."""
-    length = X.title_length(F.col("title"))
-    targets = {"views": F.col("view_count"), "engagement": F.col("engagement_rate")}
+    lengths = _measured(videos)
+    targets = {"views": "view_count", "engagement": "engagement_rate"}
     parts = []
     for name, column in targets.items():
-        parts += [
-            pearson(length, column).alias(f"r_{name}"),
-            pairs(length, column).alias(f"n_{name}"),
-        ]
+        n, r = M.correlation(lengths, "title_length", column)
+        parts += [r.alias(f"r_{name}"), n.alias(f"n_{name}")]
     rows = F.array(*[
         F.struct(
             F.lit(name).alias("target"), F.col(f"n_{name}").alias("n"), F.col(f"r_{name}").alias("r")
         )
         for name in targets
     ])
-    return with_pearson(videos.groupBy(*by).agg(*parts).select(*by, F.inline(rows)))
+    return with_pearson(lengths.groupBy(*by).agg(*parts).select(*by, F.inline(rows)))
 
 
-def popular(videos: DataFrame, by: By = NICHE, quantile: float = fixed.POPULAR_QUANTILE) -> DataFrame:
-    """Videos at or above the views quantile of their group."""
-    limits = settle(quantiles(videos, by, {"view_threshold": (F.col("view_count"), quantile)}), "popular")
+def popular(
+    videos: DataFrame, by: By = NICHE, quantile: float = fixed.POPULAR_QUANTILE, limits: DataFrame | None = None
+) -> DataFrame:
+    """Videos at or above the views quantile of their group.
+
+    ``limits`` may hold settled ``duration.view_quantiles``, whose limit then counts.
+    """
+    if limits is None:
+        limits = settle(quantiles(videos, by, {"view_threshold": (F.col("view_count"), quantile)}), "popular")
+    else:
+        limits = limits.select(*by, F.col("popular_views").alias("view_threshold"))
     return join_groups(videos, limits, by).filter(F.col("view_count") >= F.col("view_threshold"))
 
 
-def word_counts(videos: DataFrame, by: By = NICHE) -> DataFrame:
+def word_counts(videos: DataFrame, by: By = NICHE, limits: DataFrame | None = None) -> DataFrame:
     """How often each word occurs in the titles of popular videos."""
     return (
-        popular(videos, by)
+        popular(videos, by, limits=limits)
         .select(*by, F.explode(X.words(F.col("title"))).alias("word"))
         .groupBy(*by, "word")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -242,13 +255,17 @@ def keyword_impact(
 def emoji_impact(videos: DataFrame, by: By = NICHE, strict: bool = False) -> DataFrame:
     """Averages with and without emoji, their share, and Welch's t on views."""
     sides = {"with": F.col("has_emoji"), "without": ~F.col("has_emoji")}
+    if strict and M.are_cells(videos):
+        raise ValueError("cells hold the flag of the whole class; the strict one needs titles")
+    counted = M.are_cells(videos) or ("has_emoji" in videos.columns and not strict)
+    flagged = videos if counted else videos.withColumn("has_emoji", X.has_emoji(F.col("title"), strict))
     parts = []
     for suffix, side in sides.items():
-        parts += sample(F.when(side, F.col("view_count")), suffix)
-        parts += _averages(side, f"_{suffix}")
-        parts.append(F.count(F.when(side, F.col("video_id"))).alias(f"count_{suffix}"))
-    flagged = videos.withColumn("has_emoji", X.has_emoji(F.col("title"), strict))
-    share = F.avg(F.col("has_emoji").cast("int")) * 100
+        parts += M.sample(flagged, "view_count", suffix, side)
+        parts += _averages(flagged, side, f"_{suffix}")
+        parts.append(M.count(flagged, "video_id", side).alias(f"count_{suffix}"))
+    known = M.rows(flagged, F.col("has_emoji").isNotNull())
+    share = F.when(known > 0, M.rows(flagged, F.col("has_emoji")) / known) * 100
     tested = with_welch(
         flagged.groupBy(*by).agg(*parts, share.alias("emoji_percentage")), "with", "without"
     )

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelgauge.functions.columns import weekday_label_pt, weekday_number
+from reelgauge.operators import measures as M
 from reelgauge.operators.grouped import NICHE, By, best, within
-from reelgauge.operators.significance import sample, with_anova
+from reelgauge.operators.significance import with_anova
 
 
 def stats(videos: DataFrame, by: By = NICHE) -> DataFrame:
@@ -15,10 +16,10 @@ def stats(videos: DataFrame, by: By = NICHE) -> DataFrame:
     return (
         videos.groupBy(*by, F.col("dia_semana").alias("day_of_week"))
         .agg(
-            F.avg("view_count").alias("media_views"),
-            F.sum("view_count").alias("total_views"),
-            F.count("video_id").alias("count_videos"),
-            F.avg("engagement_rate").alias("media_engagement"),
+            M.average(videos, "view_count").alias("media_views"),
+            M.total(videos, "view_count").alias("total_views"),
+            M.count(videos, "video_id").alias("count_videos"),
+            M.average(videos, "engagement_rate").alias("media_engagement"),
         )
         .withColumn("day_number", number)
         .withColumn("day_of_week_pt", weekday_label_pt(F.col("day_number")))
@@ -30,7 +31,7 @@ def popularity(videos: DataFrame, by: By = NICHE) -> DataFrame:
     """Days with most and fewest videos; ties go to the earlier weekday."""
     counts = (
         videos.groupBy(*by, "dia_semana")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(M.rows(videos).alias("n"))
         .withColumn("day", F.struct(weekday_number(F.col("dia_semana")).alias("no"), "dia_semana"))
     )
     return (
@@ -50,7 +51,7 @@ def best_worst(videos: DataFrame, by: By = NICHE) -> DataFrame:
     """Best and worst day by mean views, and the gap in percent."""
     days = (
         videos.groupBy(*by, "dia_semana")
-        .agg(F.avg("view_count").alias("media_views"))
+        .agg(M.average(videos, "view_count").alias("media_views"))
         .withColumn("day_number", weekday_number(F.col("dia_semana")))
     )
     gap = (F.col("best_media_views") - F.col("worst_media_views")) / F.col("worst_media_views")
@@ -76,7 +77,7 @@ def anova(videos: DataFrame, by: By = NICHE) -> DataFrame:
     days = (
         videos.filter(F.col("dia_semana").isNotNull())
         .groupBy(*by, "dia_semana")
-        .agg(*sample(F.col("view_count"), "day"))
+        .agg(*M.sample(videos, "view_count", "day"))
         .filter(F.col("n_day") > 0)
     )
     grand = F.sum(F.col("n_day") * F.col("mean_day")).over(within(by)) / F.sum("n_day").over(within(by))
