@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,7 @@ from reelgauge.plans import increment, niches
 from reelgauge.plans.bronze import bronze_channels, bronze_videos, usable, video_rejects
 from reelgauge.session import configure, fresh_path
 from reelgauge.sources import harvest, readers, sinks
+from reelgauge.sources import pages as pages_
 from reelgauge.streaming import daily
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -183,6 +184,25 @@ def _explode_items(spark: SparkSession, sf: str) -> DataFrame:
     return harvest.page_ids(pages)
 
 
+def _page_chains(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages of five ids a channel, shuffled: some repeated, some missing, some channels running in a circle."""
+    batches = harvest.id_batches(catalogue.silver(spark, sf), size=5)
+    number, circle = F.col("batch_no"), F.substring("channel_id", 2, 9).cast("int") % 5 == 0
+    last = number == F.max("batch_no").over(Window.partitionBy("channel_id"))
+
+    def token(place) -> Column:
+        return F.when(place > 0, F.md5(F.concat_ws("-", "channel_id", place.cast("string"))))
+
+    following = F.when(last & circle, token(F.lit(1))).when(~last, token(number + 1))
+    pages = batches.select(
+        F.col("channel_id").alias("playlist"),
+        token(number).alias("token"),
+        F.to_json(F.struct(following.alias("nextPageToken"))).alias("page"),
+        F.explode(F.sequence(F.lit(1), F.when(number % 4 == 0, 2).otherwise(1))).alias("copy"),
+    ).filter(number % 11 != 7)
+    return pages_.chains(pages_.next_tokens(pages.repartition(F.col("token"))))
+
+
 def _niche_videos(spark: SparkSession, sf: str) -> DataFrame:
     """Every niche's videos, with a bridge that repeats pairs and shares channels."""
     bridge = catalogue.bridge(spark, sf)
@@ -271,6 +291,7 @@ def own_queries() -> dict[str, Query]:
         "dedupe_videos": _dedupe_videos,
         "harvest_stats": _harvest_stats,
         "explode_items": _explode_items,
+        "page_chains": _page_chains,
         "niche_videos": _niche_videos,
         "niche_filter": _niche_filter,
         "length_class": _length_class,

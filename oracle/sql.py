@@ -465,6 +465,30 @@ SELECT (SELECT count(DISTINCT l_suppkey) FROM lineitem) AS channels_processed,
   strftime(max(l_shipdate), '%Y-%m-%d') AS extraction_date
 FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey)""",
         "explode_items": _over("SELECT channel_id, video_id FROM v"),
+        "page_chains": _over("""
+SELECT k.playlist, k.token, k.next, k.copies, length - steps AS position,
+  CASE WHEN f.goal IS NULL THEN 'loop' WHEN begun AND missing IS NULL THEN 'complete' WHEN begun THEN 'cut' ELSE 'orphan' END AS status,
+  missing
+FROM k LEFT JOIN f USING (playlist, token) LEFT JOIN g USING (playlist, goal)""", """
+b AS (
+  SELECT channel_id, no, max(no) OVER (PARTITION BY channel_id) AS last FROM (
+    SELECT channel_id, (row_number() OVER (PARTITION BY channel_id ORDER BY md5(video_id), video_id) - 1) // 5 AS no FROM v)
+  GROUP BY channel_id, no
+),
+k AS MATERIALIZED (
+  SELECT channel_id AS playlist, CASE WHEN no = 0 THEN '' ELSE md5(channel_id || '-' || no) END AS token,
+    CASE WHEN no < last THEN md5(channel_id || '-' || (no + 1))
+      WHEN cast(substr(channel_id, 2) AS INTEGER) % 5 = 0 THEN md5(channel_id || '-1') END AS next,
+    CASE WHEN no % 4 = 0 THEN 2 ELSE 1 END AS copies
+  FROM b WHERE no % 11 <> 7
+),
+f AS (
+  SELECT playlist, token, token AS goal, 0 AS steps, next AS missing FROM k
+  WHERE next IS NULL OR NOT EXISTS (SELECT 1 FROM k z WHERE z.playlist = k.playlist AND z.token = k.next)
+  UNION ALL SELECT k.playlist, k.token, f.goal, f.steps + 1, f.missing FROM f JOIN k ON k.playlist = f.playlist AND k.next = f.token
+),
+g AS (SELECT playlist, goal, max(steps) AS length, bool_or(token = '') AS begun FROM f GROUP BY ALL)""").replace(
+            "WITH \n", "WITH RECURSIVE \n", 1),
         "niche_videos": _over("""
 SELECT niche, video_id, channel_id FROM v
 UNION SELECT 'ASIA', video_id, channel_id FROM v WHERE channel_id LIKE '%7'"""),
@@ -474,7 +498,7 @@ UNION SELECT 'ASIA', video_id, channel_id FROM v WHERE channel_id LIKE '%7'"""),
 SELECT niche, ano, length_class, count(*) AS n_videos, cast(sum(view_count) AS BIGINT) AS total_views,
   max(view_count) AS max_views, count(view_count) AS n_views, round(avg(view_count), 6) AS mean_views,
   round(stddev_samp(view_count), 6) AS sd_views, count(engagement_rate) AS n_rate, round(avg(engagement_rate), 6) AS mean_rate,
-  round(stddev_samp(engagement_rate), 6) AS sd_rate, count(view_count) AS n_pairs, round(corr(length(title), view_count), 6) AS r_title_views
+  round(stddev_samp(engagement_rate), 6) AS sd_rate, count(view_count) AS n_pairs, CASE WHEN var_pop(length(title)) * var_pop(view_count) > 0 THEN round(corr(length(title), view_count), 6) END AS r_title_views
 FROM w GROUP BY niche, ano, length_class"""),
         "overview_totals": _over("""
 SELECT niche, length_class, count(*) AS n_videos, cast(sum(view_count) AS BIGINT) AS total_views,
