@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from oracle import catalogue, sql
 from reelgauge import schemas
+from reelgauge.functions.columns import log10_views
 from reelgauge.operators import (
     channels,
     compare,
@@ -23,8 +25,10 @@ from reelgauge.operators import (
     titles,
     weekday,
 )
+from reelgauge.operators.grouped import displayed
 from reelgauge.plans import increment, niches
 from reelgauge.plans.bronze import bronze_channels, bronze_videos, usable, video_rejects
+from reelgauge.plans.silver import silver_videos
 from reelgauge.session import configure, fresh_path
 from reelgauge.sources import harvest, readers, sinks
 from reelgauge.sources import pages as pages_
@@ -220,6 +224,49 @@ def _niche_filter(spark: SparkSession, sf: str) -> DataFrame:
     return videos.select("video_id", "channel_id", "view_count")
 
 
+def _guards(spark: SparkSession, sf: str) -> DataFrame:
+    """What refuses to be written or read: the outcome, and the rows the table holds afterwards."""
+    configure(spark)
+    rows, path = catalogue.silver(spark, sf).select("video_id", "view_count"), fresh_path(spark, "guards")
+
+    def refused(action: Callable[[], object]) -> str:
+        try:
+            return "done" if action() else "not written"
+        except ValueError as error:
+            return str(error).split(";")[0]
+
+    steps = {
+        "written": lambda: sinks.save(rows, path),
+        "empty frame": lambda: sinks.save(rows.filter("view_count < 0"), path),
+        "unknown format": lambda: sinks.save(rows, path, "xlsx"),
+        "missing columns": lambda: silver_videos(rows),
+        "no path": lambda: readers.read_parquet(spark, " ", rows.schema),
+    }
+    found = []
+    for guard, action in steps.items():
+        outcome = refused(action)
+        held = spark.read.parquet(path).agg(F.lit(guard).alias("guard"), F.lit(outcome).alias("outcome"), F.count("*").alias("n"))
+        found.append(held)
+    return reduce(DataFrame.unionByName, found)
+
+
+def _title_length_display(spark: SparkSession, sf: str) -> DataFrame:
+    shown = {"avg_views": 0, "avg_likes": 2, "avg_engagement": 2}
+    return displayed(titles.length_performance(catalogue.view(spark, sf)), shown)
+
+
+def _keyword_many(spark: SparkSession, sf: str) -> DataFrame:
+    """The 1,000 most frequent words of popular titles, all against every title of every niche."""
+    view = catalogue.view(spark, sf)
+    counts = titles.word_counts(view).groupBy("word").agg(F.sum("n").alias("n"))
+    words = [row["word"] for row in counts.orderBy(F.desc("n"), "word").limit(1000).collect()]
+    return _plain(titles.keyword_impact(view, words=words))
+
+
+def _log_views_box(spark: SparkSession, sf: str) -> DataFrame:
+    return _plain(compare.box(catalogue.view(spark, sf), value=log10_views(F.col("view_count"))))
+
+
 def _gold_cube(spark: SparkSession, sf: str) -> DataFrame:
     """Cells of the view merged to years and length classes."""
     cells = cube.of(catalogue.view(spark, sf))
@@ -296,6 +343,10 @@ def own_queries() -> dict[str, Query]:
         "niche_filter": _niche_filter,
         "length_class": _length_class,
         "gold_cube": _gold_cube,
+        "guards": _guards,
+        "title_length_display": _title_length_display,
+        "keyword_many": _keyword_many,
+        "log_views_box": _log_views_box,
         "overview_totals": _analysis(overview.totals),
         "overview_monthly": _analysis(overview.monthly),
         "overview_chosen": _analysis(overview.monthly, channels=catalogue.CHOSEN),

@@ -565,6 +565,12 @@ FROM w WHERE length_class IS NOT NULL GROUP BY ALL"""),
   count(*) FILTER (NOT inside) AS n_outliers FROM mk GROUP BY ALL""",
             _box("view_count"),
         ),
+        "log_views_box": _over(
+            """SELECT niche, length_class, round(min, 6) AS min, round(q1, 6) AS q1, round(median, 6) AS median,
+  round(q3, 6) AS q3, round(max, 6) AS max, round(min(value) FILTER (inside), 6) AS lower_fence,
+  round(max(value) FILTER (inside), 6) AS upper_fence, count(*) FILTER (NOT inside) AS n_outliers FROM mk GROUP BY ALL""",
+            _box("value").replace("FROM w ", "FROM (SELECT *, log10(greatest(view_count, 1)) AS value FROM w) w "),
+        ),
         "views_outliers": _over(
             "SELECT niche, length_class, video_id, view_count FROM mk WHERE NOT inside",
             _box("view_count"),
@@ -583,6 +589,16 @@ WHERE NOT inside""",
   round(avg_engagement, 6) AS avg_engagement, count FROM perf""",
             _BIN_STATS,
         ),
+        "title_length_display": _over(
+            """SELECT niche, bin_no, label, round_even(avg_views, 0) AS avg_views, round_even(avg_likes, 2) AS avg_likes,
+  round_even(avg_engagement, 2) AS avg_engagement, count FROM perf""",
+            _BIN_STATS,
+        ),
+        "guards": _over("""
+SELECT guard, outcome, n FROM (VALUES ('written', 'done'), ('empty frame', 'not written'),
+  ('unknown format', 'no sink for ' || chr(39) || 'xlsx' || chr(39)),
+  ('missing columns', 'columns missing: published_at, duration, like_count, comment_count'),
+  ('no path', 'path must be a non-empty string')) AS g(guard, outcome), (SELECT count(*) AS n FROM v)"""),
         "title_length_best": _over(
             """SELECT niche, best_views_length, round(best_avg_views, 6) AS best_avg_views,
   best_engagement_length, round(best_avg_engagement, 6) AS best_avg_engagement FROM lb""",
@@ -606,6 +622,21 @@ WHERE NOT inside""",
             _WORDS,
             _KEYWORD,
         ),
+        "keyword_many": _over(
+            """SELECT niche, rank, keyword, na AS videos_with, nb AS videos_without,
+  round(ma, 6) AS avg_views_with, round(mb, 6) AS avg_views_without,
+  round(la, 6) AS avg_likes_with, round(lb, 6) AS avg_likes_without,
+  round(ea, 6) AS avg_engagement_with, round(eb, 6) AS avg_engagement_without,
+  round(t_stat, 6) AS t_stat, round(df, 6) AS df, round(p_value, 6) AS p_value, significant FROM kw_p WHERE na > 0""",
+            _WORDS.replace("ranked AS (", "ranked_by_niche AS ("),
+            """
+ranked AS (
+  SELECT niche, word, cast(rank AS INTEGER) AS rank FROM (
+    SELECT word, row_number() OVER (ORDER BY sum(n) DESC, word) AS rank FROM counts GROUP BY word),
+    (SELECT DISTINCT niche FROM w)
+)""",
+            _KEYWORD.replace(f"rank <= {fixed.TOP_WORDS}", "rank <= 1000"),
+        ),
         "emoji_impact": _over(
             " UNION ALL ".join(
                 f"""SELECT niche, '{fixed.EMOJI_LABELS[side == "a"]}' AS has_emoji,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,6 +47,30 @@ def held_keywords(title: Column, keywords: Column) -> Column:
     )
 
 
+GRAM = 3
+#: Overlapping runs of that many characters, in one pass over the text.
+_GRAMS = rf"(?s)(?=(.{{{GRAM}}}))"
+
+
+def grams(text: Column) -> Column:
+    """Distinct runs of ``GRAM`` characters of a text."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(_GRAMS), F.lit(1)))
+
+
+def rarest_grams(words: list[str]) -> dict[str, str]:
+    """For each word the run of ``GRAM`` characters that fewest of the words hold; words without one are left out.
+
+    Characters beyond the basic plane are two for Java, so words with them are left out too.
+    """
+    held = {
+        word: sorted({word[i : i + GRAM] for i in range(len(word) - GRAM + 1)})
+        for word in dict.fromkeys(words)
+        if all(ord(c) < 0x10000 for c in word)
+    }
+    shared = Counter(gram for found in held.values() for gram in found)
+    return {word: min(found, key=lambda gram: (shared[gram], gram)) for word, found in held.items() if found}
+
+
 def title_length(title: Column) -> Column:
     return F.length(title)
 

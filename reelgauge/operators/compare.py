@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelgauge import fixed_values as fixed
@@ -88,8 +88,14 @@ def welch(videos: DataFrame, by: By = NICHE) -> DataFrame:
     return with_welch(rows, "long", "short").drop("var_long", "var_short")
 
 
-def box_summary(videos: DataFrame, by: By = NICHE, value: str = "view_count") -> DataFrame:
+def _valued(videos: DataFrame, value: str | Column) -> tuple[DataFrame, str]:
+    """The value of a box plot by name; an expression is named "value"."""
+    return (videos, value) if isinstance(value, str) else (videos.withColumn("value", value), "value")
+
+
+def box_summary(videos: DataFrame, by: By = NICHE, value: str | Column = "view_count") -> DataFrame:
     """Settled quartiles, minimum and maximum; ``box`` and ``outliers`` can share them."""
+    videos, value = _valued(videos, value)
     timed = videos.filter(F.col("length_class").isNotNull())
     quarters = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
     wanted = {name: (F.col(value), p) for name, p in quarters.items()}
@@ -106,9 +112,10 @@ def _box(videos: DataFrame, by: By, value: str, summary: DataFrame | None) -> tu
 
 
 def box(
-    videos: DataFrame, by: By = NICHE, value: str = "view_count", summary: DataFrame | None = None
+    videos: DataFrame, by: By = NICHE, value: str | Column = "view_count", summary: DataFrame | None = None
 ) -> DataFrame:
     """Box-plot summary; fences are the last values within 1.5 IQR."""
+    videos, value = _valued(videos, value)
     marked, limits = _box(videos, by, value, summary)
     keys = [*by, "length_class"]
     inside = F.col(value).between(F.col("low_limit"), F.col("high_limit"))
@@ -121,9 +128,10 @@ def box(
 
 
 def outliers(
-    videos: DataFrame, by: By = NICHE, value: str = "view_count", summary: DataFrame | None = None
+    videos: DataFrame, by: By = NICHE, value: str | Column = "view_count", summary: DataFrame | None = None
 ) -> DataFrame:
     """The videos drawn as single points beyond the fences."""
+    videos, value = _valued(videos, value)
     marked, _ = _box(videos, by, value, summary)
     beyond = ~F.col(value).between(F.col("low_limit"), F.col("high_limit"))
     return marked.filter(beyond).select(*by, "length_class", "video_id", value)

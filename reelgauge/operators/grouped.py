@@ -6,7 +6,7 @@ niche in one job, ``()`` treats the frame as one group.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,5 +41,12 @@ def best(value: str, key: str, *, lowest: bool = False) -> Column:
     return F.min_by(F.struct(F.col(key), F.col(value)), order)
 
 
+def displayed(df: DataFrame, places: int | Mapping[str, int]) -> DataFrame:
+    """Doubles rounded for display, halves to the even digit: all of them, or the named ones."""
+    doubles = [field.name for field in df.schema.fields if field.dataType.simpleString() == "double"]
+    wanted = dict.fromkeys(doubles, places) if isinstance(places, int) else places
+    return df.withColumns({name: F.bround(name, digits) for name, digits in wanted.items()})
+
+
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda left, right: left | right, conditions)

@@ -144,11 +144,30 @@ def word_weights(videos: DataFrame, by: By = NICHE, counts: DataFrame | None = N
     )
 
 
-def _ranked(words: list[str]) -> Column:
-    return F.array(*[
-        F.struct(F.lit(rank).alias("rank"), F.lit(word.lower()).alias("word"))
-        for rank, word in enumerate(words, 1)
-    ])
+def _indexed(videos: DataFrame, words: list[str]) -> DataFrame:
+    """A row for each video and keyword (a struct of rank and word) its title holds, and one of rank 0.
+
+    An inverted index lists every word under its rarest run of three
+    characters. A title looks up its own runs there and tests only the words
+    it finds, each under one run, so nothing is found twice. Words without such
+    a run are tested one by one.
+    """
+    ranked = [(rank, word.lower()) for rank, word in enumerate(words, 1)]
+    grams = X.rarest_grams([word for _, word in ranked])
+    listed = [(grams[word], rank, word) for rank, word in ranked if word in grams]
+    index = videos.sparkSession.createDataFrame(listed, "gram string, rank int, word string")
+    rest = [(0, ""), *((rank, word) for rank, word in ranked if word not in grams)]
+    lowered = videos.withColumn("lowered", F.lower("title")).drop("title")
+    looked_up = (
+        lowered.withColumn("gram", F.explode(X.grams(F.col("lowered"))))
+        .join(index, "gram")
+        .filter(F.contains(F.col("lowered"), F.col("word")))
+        .withColumn("keyword", F.struct("rank", "word"))
+        .drop("gram", "rank", "word", "lowered")
+    )
+    each = F.array(*[F.struct(F.lit(rank).alias("rank"), F.lit(word).alias("word")) for rank, word in rest])
+    held = F.filter(each, lambda keyword: (keyword["rank"] == 0) | F.contains(F.col("lowered"), keyword["word"]))
+    return looked_up.unionByName(lowered.withColumn("keyword", F.explode(held)).drop("lowered"))
 
 
 def _settled_top_words(videos: DataFrame, by: By, limit: int, counts: DataFrame | None) -> DataFrame:
@@ -169,28 +188,31 @@ def keyword_impact(
     One row per keyword that occurs: the chosen ``words``, or else the top ones.
     A video counts once for the whole group (rank 0) and once for each keyword
     its title holds. What lacks a keyword is the whole minus what holds it, so
-    no title is paired with all keywords and the table is read once.
+    no title is paired with all keywords. Chosen words are found through
+    ``_indexed``, however many they are.
     """
     narrow = videos.select(*by, "title", "view_count", "like_count", "engagement_rate")
-    offered = (
-        narrow.withColumn("keywords", _ranked(words))
-        if words is not None
-        else join_groups(narrow, _settled_top_words(videos, by, limit, counts), by)
-    )
-    whole = F.array(F.struct(F.lit(0).alias("rank"), F.lit("").alias("word")))
-    held = F.concat(whole, X.held_keywords(F.col("title"), F.col("keywords")))
+    if words is None:
+        whole = F.array(F.struct(F.lit(0).alias("rank"), F.lit("").alias("word")))
+        offered = join_groups(narrow, _settled_top_words(videos, by, limit, counts), by)
+        held = F.concat(whole, X.held_keywords(F.col("title"), F.col("keywords")))
+        found = offered.withColumn("keyword", F.explode(held))
+    else:
+        found = _indexed(narrow, words)
     measured = {"views": "view_count", "likes": "like_count", "engagement": "engagement_rate"}
     sums = {
         "videos": F.count(F.lit(1)),
         **{f"n_{metric}": F.count(column) for metric, column in measured.items()},
-        **{f"sum_{metric}": F.sum(column) for metric, column in measured.items()},
+        # A keyword whose videos have no rate at all takes nothing from the whole.
+        **{f"sum_{metric}": F.coalesce(F.sum(column), F.lit(0)) for metric, column in measured.items()},
         # Views are whole numbers: decimals keep the squares exact, so that what
         # lacks a keyword is exact too, however few videos that are.
-        "squares": F.sum(F.col("view_count").cast("decimal(19,0)") * F.col("view_count").cast("decimal(19,0)")),
+        "squares": F.coalesce(
+            F.sum(F.col("view_count").cast("decimal(19,0)") * F.col("view_count").cast("decimal(19,0)")), F.lit(0)
+        ),
     }
     counted = (
-        offered.withColumn("keyword", F.explode(held))
-        .groupBy(*by, "keyword")
+        found.groupBy(*by, "keyword")
         .agg(*[value.alias(f"{name}_with") for name, value in sums.items()])
     )
     is_whole = F.col("keyword.rank") == 0

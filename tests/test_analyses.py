@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from reelgauge.operators.grouped import displayed
 from reelgauge.operators import channels, compare, duration, overview, recommend, records, season, titles, weekday
 from reelgauge.operators.significance import pearson, with_pearson
 from reelgauge.plans.gold import ANALYSES
@@ -295,3 +296,27 @@ def test_analyses_work_without_niche(name, videos):
         return sorted(str([round(x, 6) if isinstance(x, float) else x for x in row]) for row in rows)
 
     assert bag(single.collect()) == bag(grouped.collect())
+
+
+def test_many_keywords_equal_a_plain_search(videos):
+    titles_ = ["the party starts", "Art party 😀 now", "ab", "a", None, "straße ÉCOLE art", "x😀y art😀", "party " * 3000]
+    rows = [{"title": t, "view_count": 10 * (i + 1)} for i, t in enumerate(titles_)]
+    words = ["art", "Party", "école", "a", "ab", "😀", "t😀", "zzz", "the party starts", "art", "ß"]
+    found = titles.keyword_impact(videos(*rows), words=words)
+    for row in found.collect():
+        held = [10 * (i + 1) for i, t in enumerate(titles_) if t is not None and row.keyword in t.lower()]
+        assert (row.keyword, row.videos_with, row.avg_views_with) == (words[row.rank - 1].lower(), len(held), sum(held) / len(held))
+        assert row.videos_without == len(titles_) - len(held)
+    assert found.count() == len(words) - 1
+
+
+def test_a_keyword_whose_videos_have_no_rate(videos):
+    frame = videos({"title": "zero", "view_count": 0}, {"title": "more", "view_count": 100}, {"title": "more", "view_count": 200})
+    row = titles.keyword_impact(frame, words=["zero"]).first()
+    assert (row.videos_with, row.avg_engagement_with, row.avg_engagement_without) == (1, None, pytest.approx(8.25))
+
+
+def test_rounding_for_display(spark):
+    frame = spark.createDataFrame([(0.125, 2.5, 7)], "a double, b double, n long")
+    assert tuple(displayed(frame, {"a": 2, "b": 0}).first()) == (0.12, 2.0, 7)
+    assert tuple(displayed(frame, 1).first()) == (0.1, 2.5, 7)
