@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from reelgauge.operators import (
     recommend,
     records,
     season,
+    sketches,
     titles,
     weekday,
 )
@@ -267,6 +269,22 @@ def _log_views_box(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(compare.box(catalogue.view(spark, sf), value=log10_views(F.col("view_count"))))
 
 
+SPANS = [("1995", (1995, 1), (1995, 12)), ("winter", (1996, 11), (1997, 2)), ("all", (1900, 1), (2100, 12))]
+
+
+def _quantiles_by_span(spark: SparkSession, sf: str) -> DataFrame:
+    return _plain(sketches.quantiles_by_span(catalogue.view(spark, sf), SPANS, (0.1, 0.5, 0.75, 0.99)))
+
+
+def _shared_channels(spark: SparkSession, sf: str) -> DataFrame:
+    """Niches that share every channel whose id ends with 7, as a bridge may."""
+    members = catalogue.bridge(spark, sf)
+    shared = members.filter(F.col("channel_id").endswith("7")).withColumn("niche", F.lit("ASIA"))
+    view = niches.with_niche(catalogue.silver(spark, sf), members.unionByName(shared))
+    names = sorted(row["r_name"] for row in catalogue.table(spark, sf, "region").select("r_name").collect())
+    return sketches.shared_channels(sketches.channel_sketches(view), list(combinations(names, 2)))
+
+
 def _gold_cube(spark: SparkSession, sf: str) -> DataFrame:
     """Cells of the view merged to years and length classes."""
     cells = cube.of(catalogue.view(spark, sf))
@@ -344,6 +362,8 @@ def own_queries() -> dict[str, Query]:
         "length_class": _length_class,
         "gold_cube": _gold_cube,
         "guards": _guards,
+        "quantiles_by_span": _quantiles_by_span,
+        "shared_channels": _shared_channels,
         "title_length_display": _title_length_display,
         "keyword_many": _keyword_many,
         "log_views_box": _log_views_box,

@@ -589,6 +589,25 @@ WHERE NOT inside""",
   round(avg_engagement, 6) AS avg_engagement, count FROM perf""",
             _BIN_STATS,
         ),
+        "quantiles_by_span": _over("""
+SELECT niche, span, probability, count(*) AS n, round(quantile_cont(view_count, probability), 6) AS quantile FROM (
+  SELECT niche, view_count, span, unnest([0.1, 0.5, 0.75, 0.99]::DOUBLE[]) AS probability
+  FROM w JOIN (VALUES ('1995', '1995-01', '1995-12'), ('winter', '1996-11', '1997-02'), ('all', '1900-01', '2100-12'))
+    AS t(span, a, b) ON ano_mes_publish BETWEEN a AND b)
+GROUP BY niche, span, probability""").replace("quantile_cont(view_count, probability)", """CASE probability
+    WHEN 0.1 THEN quantile_cont(view_count, 0.1) WHEN 0.5 THEN quantile_cont(view_count, 0.5)
+    WHEN 0.75 THEN quantile_cont(view_count, 0.75) ELSE quantile_cont(view_count, 0.99) END"""),
+        "shared_channels": _over("""
+SELECT a.niche AS first, b.niche AS second, cast(count(*) FILTER (c.channel_id IN a.ids AND c.channel_id IN b.ids) AS BIGINT) AS in_both,
+  cast(count(*) FILTER (c.channel_id IN a.ids OR c.channel_id IN b.ids) AS BIGINT) AS in_either,
+  cast(count(*) FILTER (c.channel_id IN a.ids AND c.channel_id NOT IN b.ids) AS BIGINT) AS only_first,
+  cast(count(*) FILTER (c.channel_id IN b.ids AND c.channel_id NOT IN a.ids) AS BIGINT) AS only_second
+FROM g a JOIN g b ON a.niche < b.niche CROSS JOIN (SELECT DISTINCT channel_id FROM v) c
+GROUP BY a.niche, b.niche""", """
+g AS (
+  SELECT niche, list(DISTINCT channel_id) AS ids FROM (
+    SELECT niche, channel_id FROM v UNION ALL SELECT 'ASIA', channel_id FROM v WHERE channel_id LIKE '%7') GROUP BY niche
+)"""),
         "title_length_display": _over(
             """SELECT niche, bin_no, label, round_even(avg_views, 0) AS avg_views, round_even(avg_likes, 2) AS avg_likes,
   round_even(avg_engagement, 2) AS avg_engagement, count FROM perf""",
