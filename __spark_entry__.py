@@ -32,7 +32,7 @@ from reelgauge.plans import increment, niches
 from reelgauge.plans.bronze import bronze_channels, bronze_videos, usable, video_rejects
 from reelgauge.plans.silver import silver_videos
 from reelgauge.session import configure, fresh_path
-from reelgauge.sources import harvest, readers, sinks
+from reelgauge.sources import drift, harvest, readers, sinks
 from reelgauge.sources import pages as pages_
 from reelgauge.streaming import daily
 
@@ -285,6 +285,22 @@ def _shared_channels(spark: SparkSession, sf: str) -> DataFrame:
     return sketches.shared_channels(sketches.channel_sketches(view), list(combinations(names, 2)))
 
 
+def _drifted_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Three loads of the videos: as wanted, with narrow views and without likes, with views as text and a further column."""
+    rows = catalogue.silver(spark, sf).select("video_id", "view_count", "like_count", "ano")
+    loads = [
+        rows.filter("ano < 1994").drop("ano"),
+        rows.filter("ano BETWEEN 1994 AND 1995").select("video_id", F.col("view_count").cast("int").alias("view_count")),
+        rows.filter("ano > 1995").withColumn(
+            "view_count", F.when(F.col("ano") == 1997, "unknown").otherwise(F.col("view_count").cast("string"))
+        ),
+    ]
+    folders = [fresh_path(spark, "load") for _ in loads]
+    for load, folder in zip(loads, folders, strict=True):
+        load.write.parquet(folder)
+    return drift.reconciled_scan(spark, folders, rows.drop("ano").schema)[0]
+
+
 def _gold_cube(spark: SparkSession, sf: str) -> DataFrame:
     """Cells of the view merged to years and length classes."""
     cells = cube.of(catalogue.view(spark, sf))
@@ -361,6 +377,7 @@ def own_queries() -> dict[str, Query]:
         "niche_filter": _niche_filter,
         "length_class": _length_class,
         "gold_cube": _gold_cube,
+        "drifted_scan": _drifted_scan,
         "guards": _guards,
         "quantiles_by_span": _quantiles_by_span,
         "shared_channels": _shared_channels,

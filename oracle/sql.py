@@ -589,6 +589,9 @@ WHERE NOT inside""",
   round(avg_engagement, 6) AS avg_engagement, count FROM perf""",
             _BIN_STATS,
         ),
+        "drifted_scan": _over("""
+SELECT video_id, CASE WHEN ano <> 1997 THEN view_count END AS view_count,
+  CASE WHEN ano NOT BETWEEN 1994 AND 1995 THEN like_count END AS like_count FROM s"""),
         "quantiles_by_span": _over("""
 SELECT niche, span, probability, count(*) AS n, round(quantile_cont(view_count, probability), 6) AS quantile FROM (
   SELECT niche, view_count, span, unnest([0.1, 0.5, 0.75, 0.99]::DOUBLE[]) AS probability
