@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 from collections.abc import Iterator
+from contextlib import suppress
 from pathlib import Path
 from urllib.parse import unquote, urlparse
 
@@ -56,6 +58,13 @@ def open_shared(path: str, mode: str = "rb"):
     return system.open_input_file(name)
 
 
+def release() -> None:
+    """Give memory that this worker has freed back to the machine; the next stage runs in the same process."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # another C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def attempt_name(folder: str, part: int, kind: str) -> str:
     """A file no other attempt of this task writes; the manifest names the one that counts."""
     return f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.{kind}"

@@ -18,8 +18,10 @@ from itertools import chain, islice
 
 import numpy as np
 
+from reelgauge.llm.shared import release
+
 #: Pieces remembered by one worker, and their characters.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 REMEMBERED_CHARS = 4_000_000
 _SEAM = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
@@ -71,6 +73,7 @@ class Encoder:
             self.bytes_of[number] = len(word.removesuffix("</w>") if self.lowers else word)
         signs = {x: self.tokenizer.encode(x, add_special_tokens=False).ids for x in ".,;:!?"}
         self.signs = {x: ids[0] for x, ids in signs.items() if len(ids) == 1}
+        self.calls = 0
         self.remembered, self.missed = remembered, 0.0  # kept pieces stay below both bounds
         self._forget()
 
@@ -156,6 +159,9 @@ class Encoder:
             self.starts, self.characters = self.starts[: known[0]].copy(), known[2]
         if self.missed > 0.3:
             self._forget()  # texts of another kind
+        self.calls += 1
+        if self.calls % 16 == 1:
+            release()
         return found
 
     def _has_added(self, text: str) -> bool:
