@@ -5,28 +5,30 @@ whose source is known), gives every document a posterior over the sources. A
 row with a known source has that source with probability ``TRUST``, and the
 classifier shares out the rest; a row without one has the classifier's answer.
 Rates (expected numbers of copies) r >= 0 are then fitted so that the expected
-tokens of every source, sum of r * tokens * posterior, match the targets: the
-rates closest to 1 that do so are max(0, 1 + posterior . push), with a push for
-each source, and quasi-Newton steps find the push. A round is one aggregation
-over the documents that returns a number for each source; the rates themselves
-follow from the push and are never moved. Rounds go on until the targets are
-met; if nothing more is gained, the error that is left is warned of.
+tokens of every source, sum of r * tokens * posterior, match the targets, by
+projected gradient steps on the rates of all documents (``descend``). A round
+is one aggregation over the documents that returns a number for each source;
+rates stay beside their documents. Rounds go on until the targets are met; if
+nothing more is gained, the error that is left is warned of.
 
 Everything runs in DataFrame functions. The classifier is fitted on at most
-about ``TRAIN_DOCS`` rows of each source, picked by a hash; its table has
+about ``TRAIN_DOCS`` rows of each source, picked by a hash of what a row holds,
+so neither the order of rows nor the files they lie in matter; its table has
 ``BUCKETS`` rows.
 
 Defined results: a text that is null or has no words has no tokens and follows
 the prior; a null source is predicted; without any known source all rates are
-1; rows with equal doc_id are documents of their own, with the same draw for
-the fraction of a copy if they are equal in doc_id; empty tables give no rows;
-further columns of any name pass through ``mixed``.
+1; very long texts are read whole, and count as 50 words of evidence at most;
+rows with equal or null doc_id are documents of their own, and only those equal
+in doc_id, source and text have the same draws; equal posteriors give equal
+rates; empty tables give no rows; further columns of any name pass through
+``mixed``.
 """
 
 from __future__ import annotations
 
+import math
 import warnings
-from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +41,7 @@ TRAIN_DOCS = 500
 TRUST = 0.9
 CLOSE = 1e-4  # of all tokens, the largest error of a source
 PATIENCE = 25  # rounds without a hundredth of gain, after which the targets cannot be met
+WRITTEN = 6  # rounds after which the rates are written
 MOST_SOURCES = 256  # more than this is not a mix of sources
 
 
@@ -54,7 +57,7 @@ def classifier(rows: DataFrame, sources: dict[str, int], train_docs: int) -> tup
     """The sources in order, and a log likelihood column for each of them by bucket."""
     names = sorted(sources)
     share = F.create_map(*[x for n in names for x in (F.lit(n), F.lit(min(1.0, train_docs / sources[n])))])
-    draw = F.pmod(F.xxhash64("row", "id"), F.lit(1_000_000)) / 1_000_000
+    draw = _draw("row", 1_000_000)
     words = (
         rows.filter(F.col("source").isNotNull())
         .filter(draw < share[F.col("source")])
@@ -88,6 +91,11 @@ def _identity(source: str) -> list[Column]:
     ]
 
 
+def _draw(kind: str, steps: int) -> Column:
+    """An even draw from 0 up to 1 that follows from what a row is."""
+    return F.pmod(F.xxhash64(F.lit(kind), "id", "source", "h1", "h2"), F.lit(steps)) / steps
+
+
 def memberships(documents: DataFrame, source: str = "source", train_docs: int = TRAIN_DOCS, trust: float = TRUST):
     """(row, id, source, h1, h2, n_tokens, p) written to the shared folder, and the sources p is over."""
     rows = documents.select(
@@ -126,54 +134,57 @@ def memberships(documents: DataFrame, source: str = "source", train_docs: int =
     return settle(scored.select("row", "id", "source", "h1", "h2", "n_tokens", p.alias("p")), "memberships"), names
 
 
-def _rate(push: list[float]) -> Column:
-    """max(0, 1 + p . push)"""
-    rate = F.lit(1.0)
-    for i, x in enumerate(push):
-        rate = rate + F.get(F.col("p"), i) * float(x)
-    return F.greatest(F.lit(0.0), rate)
+def _stepped(state: DataFrame, gradient: np.ndarray, ahead: float) -> DataFrame:
+    """One projected step from ``lead``, and the next ``lead`` beyond the new rate."""
+    slope = F.lit(0.0)
+    for i, x in enumerate(gradient.tolist()):
+        slope = slope + F.get("p", i) * x
+    rest = [x for x in state.columns if x not in ("rate", "lead")]
+    moved = state.select(*rest, F.col("rate").alias("last"), F.greatest(F.lit(0.0), F.col("lead") - slope).alias("rate"))
+    return moved.select(*rest, "rate", (F.col("rate") + ahead * (F.col("rate") - F.col("last"))).alias("lead"))
+
 
+def _held(state: DataFrame, sources: int) -> np.ndarray:
+    """Expected tokens of every source."""
+    held = state.select((F.col("rate") * F.col("n_tokens")).alias("held"), "p")
+    return np.array(held.agg(*[F.coalesce(F.sum(F.col("held") * F.get("p", i)), F.lit(0.0)) for i in range(sources)]).first())
 
-def push_to(target: np.ndarray, start: np.ndarray, held: Callable[[np.ndarray], tuple[float, np.ndarray]], close: float):
-    """The push for which the expected tokens are closest to ``target``, and the largest error left.
 
-    ``held`` gives half the sum of tokens * rate^2 and the expected tokens of
-    every source. The first less target . push is convex in the push and the
-    difference to the target is its slope, so quasi-Newton steps (BFGS) go
-    down to the target; a source's expected tokens at rate 1 bound the
-    curvature. Stops at ``close``, or if ``PATIENCE`` rounds brought nothing.
+def descend(members: DataFrame, start: np.ndarray, target: np.ndarray, close: float) -> tuple[DataFrame, float, int]:
+    """``members`` with the ``rate`` that comes closest to ``target``, the largest error left, and the rounds taken.
+
+    Least squares of (expected - target), each source weighted by 1 / its
+    tokens at rate 1 (``start``), over rates >= 0, from rate 1 on. Rates are
+    measured by their tokens, so a document's slope is the sum of posterior *
+    error / start. As posteriors add up to 1, the curvature in that measure is
+    1 at most, and a step of the slope itself never overshoots. Steps start a
+    little beyond the last rate (Nesterov), anew from it whenever the sum of
+    squares grew. Expected tokens are linear in the rates, so those of the
+    point beyond need no aggregation. Rates of a few rounds are one chain of
+    projections in a job; every ``WRITTEN`` rounds they are written.
     """
-    first = np.diag(np.divide(1.0, start, out=np.zeros(len(start)), where=start > 0))
-    metric, push = first, np.zeros(len(start))
-    value, now = held(push)
-    value -= float(target @ push)
-    slope = now - target
-    best, error = push, float(np.abs(slope).max())
-    waited, size = 0, 1.0
+    state = members.withColumn("rate", F.lit(1.0)).withColumn("lead", F.lit(1.0))
+    share = np.divide(1.0, start, out=np.zeros(len(start)), where=start > 0)
+    now, lead, pace = start, start, 1.0
+    error = least = float(np.abs(now - target).max())
+    rounds = waited = 0
     while error > close and waited < PATIENCE:
-        move = -metric @ slope
-        if move @ slope >= 0:
-            metric, move = first, -first @ slope
-        new = push + size * move
-        value_new, now = held(new)
-        value_new -= float(target @ new)
-        slope_new = now - target
-        left = float(np.abs(slope_new).max())
-        waited = 0 if left < 0.99 * error else waited + 1
-        if left < error:
-            best, error = new, left
-        if value_new > value + 1e-4 * size * float(move @ slope) + 1e-12 * abs(value):
-            size /= 2
-            if size < 1e-3:
-                metric, size = first, 1.0
-            continue
-        step, turn = new - push, slope_new - slope
-        push, value, slope, size = new, value_new, slope_new, 1.0
-        bend = float(step @ turn)
-        if bend > 1e-12 * float(np.linalg.norm(step) * np.linalg.norm(turn)):
-            side = np.eye(len(step)) - np.outer(step, turn) / bend
-            metric = side @ metric @ side.T + np.outer(step, step) / bend
-    return best, error
+        following = (1 + math.sqrt(1 + 4 * pace * pace)) / 2
+        ahead = (pace - 1) / following
+        state = _stepped(state, (lead - target) * share, ahead)
+        rounds += 1
+        if rounds % WRITTEN == 0:
+            state = settle(state, "rates")
+        before, now = now, _held(state, len(start))
+        lead = now + ahead * (now - before)
+        grew = ((now - target) ** 2 * share).sum() > ((before - target) ** 2 * share).sum()
+        pace = 1.0 if grew else following
+        if grew:
+            state, lead = state.withColumn("lead", F.col("rate")), now
+        error = float(np.abs(now - target).max())
+        waited = 0 if error < 0.99 * least else waited + 1
+        least = min(least, error)
+    return settle(state.drop("lead"), "rates"), error, rounds
 
 
 def rates(members: DataFrame, names: list[str], weights: dict[str, float] | None = None, tokens: float | None = None) -> DataFrame:
@@ -187,28 +198,19 @@ def rates(members: DataFrame, names: list[str], weights: dict[str, float] | None
     whole = sum(wanted.get(n, 0.0) for n in names)
     if whole <= 0:
         raise ValueError("no source has a weight")
-
-    def held(push: np.ndarray) -> tuple[float, np.ndarray]:
-        rate = _rate(push.tolist())
-        sums = members.select((rate * F.col("n_tokens")).alias("held"), rate.alias("rate"), "p").agg(
-            F.coalesce(F.sum(F.col("held") * F.col("rate")), F.lit(0.0)),
-            *[F.coalesce(F.sum(F.col("held") * F.get("p", i)), F.lit(0.0)) for i in range(len(names))],
-        )
-        twice, *now = sums.first()
-        return twice / 2, np.array(now)
-
-    _, start = held(np.zeros(len(names)))
+    start = _held(members.withColumn("rate", F.lit(1.0)), len(names))
     budget = float(start.sum()) if tokens is None else tokens
     target = np.array([budget * wanted.get(n, 0.0) / whole for n in names])
-    push, error = push_to(target, start, held, CLOSE * max(budget, 1.0))
-    if error > CLOSE * max(budget, 1.0):
+    close = CLOSE * max(budget, 1.0)
+    found, error, _ = descend(members, start, target, close)
+    if error > close:
         warnings.warn(f"the targets cannot be met: a source is off by {error / max(budget, 1.0):.2%} of all tokens", stacklevel=2)
-    return members.withColumn("rate", _rate(push.tolist()))
+    return found
 
 
 def copies() -> Column:
-    """Whole copies, and one more with the chance of the fraction, drawn by a hash of the doc_id."""
-    draw = F.pmod(F.xxhash64(F.lit("copies"), F.col("id")), F.lit(1 << 30)) / (1 << 30)
+    """Whole copies, and one more with the chance of the fraction, drawn by a hash of what the row is."""
+    draw = _draw("copies", 1 << 30)
     return (F.floor("rate") + F.when(draw < F.col("rate") - F.floor("rate"), 1).otherwise(0)).cast("long")
 
 

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from reelgauge.llm import mixing as M
 
@@ -32,7 +33,7 @@ def test_weights_and_soft_members(spark):
 
 
 def test_copies_follow_rates(spark):
-    rows = spark.createDataFrame([(i, 2.25) for i in range(4000)], "id long, rate double")
+    rows = spark.createDataFrame([(None, "x", i, -i, 2.25) for i in range(4000)], "id long, source string, h1 long, h2 long, rate double")
     copies = [x[0] for x in rows.select(M.copies()).collect()]
     assert set(copies) == {2, 3} and abs(copies.count(3) / 4000 - 0.25) < 0.03
 
@@ -46,22 +47,58 @@ def test_odd_rows(odd, none):
     assert {x.rate for x in M.mix(odd.drop("source").withColumnRenamed("first", "source").filter("source IS NULL")).collect()} == {1.0}
 
 
-def test_targets_are_met_with_many_sources_and_unlabelled_rows():
+def plain_gradient(p, tokens, target, close):
+    """Unaccelerated projected gradient steps with all documents in memory."""
+    start, rate = tokens @ p, np.ones(len(tokens))
+    while np.abs((tokens * rate) @ p - target).max() > close:
+        rate = np.maximum(0, rate - p @ (((tokens * rate) @ p - target) / start))
+    return rate
+
+
+def test_targets_are_met_with_many_sources_and_unlabelled_rows(spark):
     sources, trust = 20, M.TRUST
     prior = np.append(1 / 3, np.full(sources - 1, 2 / 3 / (sources - 1)))
     p = np.concatenate([(1 - trust) * prior + trust * np.eye(sources), [prior]])
-    tokens = np.append(0.7 * prior, 0.3) * 1e9
-    target = np.full(sources, 1e9 / sources)
-    asked = []
-
-    def held(push):
-        asked.append(push)
-        rate = np.maximum(0, 1 + p @ push)
-        return float(tokens @ rate**2) / 2, (tokens * rate) @ p
-
-    push, error = M.push_to(target, tokens @ p, held, M.CLOSE * 1e9)
-    assert error <= M.CLOSE * 1e9 and len(asked) <= 40
-    assert np.abs(held(push)[1] - target).max() == error
+    tokens = np.rint(np.append(0.7 * prior, 0.3) * 1e9)
+    target = np.full(sources, tokens.sum() / sources)
+    rows = [(i, int(n), q.tolist()) for i, (n, q) in enumerate(zip(tokens, p, strict=True))]
+    members = spark.createDataFrame(rows, "id long, n_tokens long, p array<double>")
+    close = M.CLOSE * tokens.sum()
+    found, error, rounds = M.descend(members, tokens @ p, target, close)
+    rate = np.array([x.rate for x in found.orderBy("id").collect()])
+    assert error <= close and rounds <= 40 and rate.min() >= 0
+    assert np.abs((tokens * rate) @ p - target).max() == pytest.approx(error)
+    assert np.abs((tokens * plain_gradient(p, tokens, target, close)) @ p - target).max() <= close
+
+
+def test_rates_of_the_first_step_are_those_of_plain_gradient(spark):
+    rng = np.random.default_rng(2)
+    p, tokens = rng.dirichlet([0.2, 0.3, 0.5], 300), rng.integers(1, 500, 300)
+    members = spark.createDataFrame(
+        [(i, int(n), q.tolist()) for i, (n, q) in enumerate(zip(tokens, p, strict=True))], "id long, n_tokens long, p array<double>"
+    )
+    start = tokens @ p
+    target = start * [0.2, 1.0, 3.0]
+    found = M._stepped(members.selectExpr("*", "1D AS rate", "1D AS lead"), (start - target) / start, 0.5).orderBy("id").collect()
+    want = np.maximum(0, 1 - p @ ((start - target) / start))
+    assert np.allclose([x.rate for x in found], want) and np.allclose([x.lead for x in found], want + 0.5 * (want - 1))
+
+
+def test_rates_do_not_depend_on_file_splits(spark, sf_dir):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("doc_id", F.expr("if(doc_id % 3 = 0, NULL, doc_id)"))
+    found = []
+    for parts in (1, 16):
+        rows = M.mix(documents.repartition(parts, "text"), train_docs=10).collect()
+        found.append(sorted((x.h1, x.h2, x.id or -1, str(x.source), round(x.rate, 6), x.copies) for x in rows))
+    assert found[0] == found[1]
+
+
+def test_targets_are_met_without_ids(spark):
+    rows = [(None, f"word{i % 7} other{i} " * (5 + i % 9), "x" if i % 3 else "y") for i in range(3000)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sums = M.mixed(documents, {"x": 1.0, "y": 2.0}, trust=1.0).groupBy("source").agg(F.sum(F.size(F.split(F.trim("text"), " "))))
+    held = dict(map(tuple, sums.collect()))
+    assert abs(held["y"] / held["x"] - 2) < 0.1
 
 
 def test_targets_that_cannot_be_met_are_told(spark):
