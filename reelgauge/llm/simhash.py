@@ -2,15 +2,17 @@
 
 Fingerprints within ``REACH`` = 3 differing bits agree on at least one of four
 16-bit quarters, so each distinct fingerprint goes to four buckets, one for a
-quarter. Inside a bucket fingerprints are sorted by Gray rank, which puts
-values of few differences side by side. Groups of neighbours keep the bits all
-their members share in one node (mask and pattern), groups of groups likewise,
-and a child only holds the bits its parent has not. A query adds up the
-differences on its way down and leaves a whole group as soon as they exceed the
-reach. Buckets above ``UNIT`` members are cut into slices that meet pairwise,
-so no task holds more than two slices and no link is lost.
-
-Defined results: null and empty texts have fingerprint 0 and link like others;
+quarter, and every bucket of two or more is a tree of the task's index. There
+fingerprints are sorted by Gray rank, which puts values of few differences side
+by side. Groups of neighbours keep the bits all their members share in one node
+(mask and pattern), groups of groups likewise, and a child only holds the bits
+its parent has not. A query goes down the tree of its bucket, adds up the
+differences and leaves a whole group as soon as they exceed the reach; all
+queries of a task go down together, level by level. Buckets above ``UNIT``
+members are cut into slices that meet pairwise, so no tree holds more than a
+slice and no link is lost.
+
+Defined results: very long texts are read whole, their hashes summed in parts; null and empty texts have fingerprint 0 and link like others;
 a component takes its smallest non-null doc_id (null if it has none); repeated
 rows are members like others; an empty table gives no rows; further columns of
 any name pass through ``one_of_each_group`` and are ignored elsewhere.
@@ -32,8 +34,8 @@ WORDS = 3
 REACH = 3
 SEED = 42
 UNIT = 4096
-LEAF, FAN = 16, 8
-SMALL = 48  # units up to here are compared side by side without an index
+LEAF, FAN = 4, 4
+AT_ONCE = 1_000_000  # members of the trees asked by one block of queries, and links held before they are united
 
 
 def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
@@ -83,65 +85,88 @@ def gray_rank(values: np.ndarray) -> np.ndarray:
     return rank
 
 
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of each range, one range after the other."""
+    before = np.cumsum(count) - count
+    return np.repeat(first - before, count) + np.arange(int(count.sum()))
+
+
 class GrayIndex:
-    """Tree over values in Gray order; ``levels[0]`` are the leaves."""
-
-    def __init__(self, values: np.ndarray):
-        self.order = np.argsort(gray_rank(values), kind="stable")
-        self.values = values[self.order]
-        low, high = self._fold(self.values, self.values, LEAF)
-        self.levels = [(low, low | ~high)]  # ones shared by all; bits on which all agree
-        while len(low) > 1:
-            low, high = self._fold(low, high, FAN)
-            self.levels.append((low, low | ~high))
-        # A child keeps only what its parent leaves open.
-        self.residual = []
-        for height, (_, mask) in enumerate(self.levels):
-            above = self.levels[height + 1][1] if height + 1 < len(self.levels) else np.zeros(1, np.uint64)
-            self.residual.append(mask & ~np.repeat(above, FAN)[: len(mask)])
-
-    @staticmethod
-    def _fold(low: np.ndarray, high: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        starts = np.arange(0, len(low), size)
-        return np.bitwise_and.reduceat(low, starts), np.bitwise_or.reduceat(high, starts)
-
-    def near(self, queries: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, member) places of all pairs within ``reach``."""
-        top = len(self.levels) - 1
-        query, node = np.arange(len(queries)), np.zeros(len(queries), np.int64)
-        apart = np.zeros(len(queries), np.int64)
-        for height in range(top, -1, -1):
-            pattern = self.levels[height][0]
-            if height < top:
-                query, apart = np.repeat(query, FAN), np.repeat(apart, FAN)
-                node = (node[:, None] * FAN + np.arange(FAN)).ravel()
-                there = node < len(pattern)
-                query, node, apart = query[there], node[there], apart[there]
-            apart = apart + np.bitwise_count((queries[query] ^ pattern[node]) & self.residual[height][node])
+    """Trees over values in Gray order, one for each of ``trees``; level 0 holds the leaves."""
+
+    def __init__(self, values: np.ndarray, trees: np.ndarray | None = None):
+        trees = np.zeros(len(values), np.int64) if trees is None else trees
+        self.order = np.lexsort((gray_rank(values), trees))
+        self.values, tree = values[self.order], trees[self.order]
+        low = high = self.values
+        self.first: list[np.ndarray] = []  # of each node, its first child a level below and how many it has
+        self.count: list[np.ndarray] = []
+        self.pattern: list[np.ndarray] = []  # ones that all members share
+        self.residual: list[np.ndarray] = []  # bits on which all members agree and the parent's do not
+        while len(tree) and (not self.first or (tree[1:] == tree[:-1]).any()):
+            begins = np.flatnonzero(np.append(True, tree[1:] != tree[:-1]))
+            place = np.arange(len(tree)) - np.repeat(begins, np.diff(np.append(begins, len(tree))))
+            starts = np.flatnonzero(place % (FAN if self.first else LEAF) == 0)
+            low, high = np.bitwise_and.reduceat(low, starts), np.bitwise_or.reduceat(high, starts)
+            tree = tree[starts]
+            self.first.append(starts)
+            self.count.append(np.diff(np.append(starts, len(place))))
+            self.pattern.append(low)
+            self.residual.append(low | ~high)
+        for height in range(len(self.first) - 1):
+            self.residual[height] &= ~np.repeat(self.residual[height + 1], self.count[height + 1])
+        self.tree = tree  # one node of the top level for each tree
+        self.compared = 0  # members compared with a query, of all there are in its tree
+
+    def near(self, queries: np.ndarray, reach: int, trees: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(query, member) places of all pairs within ``reach`` of a query and its tree."""
+        trees = np.zeros(len(queries), np.int64) if trees is None else trees
+        node = np.searchsorted(self.tree, trees)
+        query = np.flatnonzero(node < len(self.tree))
+        query = query[self.tree[node[query]] == trees[query]]
+        node, apart = node[query], np.zeros(len(query), np.int64)
+        for height in range(len(self.first) - 1, -1, -1):
+            apart = apart + np.bitwise_count((queries[query] ^ self.pattern[height][node]) & self.residual[height][node])
             close = apart <= reach
             query, node, apart = query[close], node[close], apart[close]
-        query = np.repeat(query, LEAF)
-        member = (node[:, None] * LEAF + np.arange(LEAF)).ravel()
-        there = member < len(self.values)
-        query, member = query[there], member[there]
-        close = np.bitwise_count(queries[query] ^ self.values[member]) <= reach
-        return query[close], self.order[member[close]]
+            first, count = self.first[height][node], self.count[height][node]
+            query, apart, node = np.repeat(query, count), np.repeat(apart, count), _ranges(first, count)
+        self.compared += len(query)
+        close = np.bitwise_count(queries[query] ^ self.values[node]) <= reach
+        return query[close], self.order[node[close]]
+
 
+def _blocks(sizes: np.ndarray) -> Iterator[slice]:
+    """Runs of queries whose trees have about ``AT_ONCE`` members together."""
+    part = np.cumsum(sizes) // AT_ONCE
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(sizes)]])
+    return (slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if a < b)
 
-def _link_unit(values: np.ndarray, side: np.ndarray, one_slice: bool, reach: int) -> np.ndarray:
-    """Smallest place each value is linked to inside one unit."""
+
+def link_places(values: np.ndarray, unit: np.ndarray, side: np.ndarray, one: np.ndarray, reach: int):
+    """Places (a, b) of links that connect, in each unit, all that are within ``reach``; ``unit`` is sorted.
+
+    Members of side 0 are the trees. In a unit of one slice they are the queries
+    too, in the others those of side 1 are.
+    """
     n = len(values)
-    root = np.arange(n)
-    stored = np.arange(n) if one_slice else np.flatnonzero(side == 0)
-    asking = np.arange(n) if one_slice else np.flatnonzero(side == 1)
-    index = GrayIndex(values[stored])
-    for start in range(0, len(asking), 512):
-        some = asking[start : start + 512]
-        query, member = index.near(values[some], reach)
-        a, b = some[query], stored[member]
-        mine = np.flatnonzero(root != np.arange(n))
-        root = smallest_root(n, np.concatenate([a, mine]), np.concatenate([b, root[mine]]))
-    return root
+    starts = np.append(True, unit[1:] != unit[:-1])
+    tree = np.cumsum(starts) - 1
+    stored, asking = np.flatnonzero(side == 0), np.flatnonzero(one | (side == 1))
+    index = GrayIndex(values[stored], tree[stored])
+    sizes = np.bincount(tree[stored], minlength=int(tree[-1]) + 1)[tree[asking]]
+    a = b = np.zeros(0, np.int64)
+    for block in _blocks(sizes):
+        some = asking[block]
+        query, member = index.near(values[some], reach, tree[some])
+        query, member = some[query], stored[member]
+        other = (query != member) & (~one[query] | (query < member))
+        a, b = np.concatenate([a, query[other]]), np.concatenate([b, member[other]])
+        if len(a) > AT_ONCE:
+            root = smallest_root(n, a, b)
+            a = np.flatnonzero(root != np.arange(n))
+            b = root[a]
+    return a, b
 
 
 def _links(reach: int):
@@ -149,31 +174,10 @@ def _links(reach: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in groups_of(batches, "unit"):
-            unit = rows["unit"].to_numpy()
             values = rows["fp"].to_numpy().view(np.uint64)
-            side, one = rows["side"].to_numpy(), rows["one_slice"].to_numpy()
-            starts = np.concatenate([[0], np.flatnonzero(unit[1:] != unit[:-1]) + 1])
-            sizes = np.diff(np.append(starts, len(unit)))
-            size_of = np.repeat(sizes, sizes)
-            low, high = [], []
-            for gap in range(1, min(SMALL, int(sizes.max()))):
-                i = np.flatnonzero((unit[:-gap] == unit[gap:]) & (size_of[:-gap] <= SMALL))
-                if not len(i):
-                    break
-                j = i + gap
-                close = (np.bitwise_count(values[i] ^ values[j]) <= reach) & (one[i] | (side[i] != side[j]))
-                low.append(i[close])
-                high.append(j[close])
-            for start, size in zip(starts, sizes, strict=True):
-                if size > SMALL:
-                    part = slice(start, start + size)
-                    root = _link_unit(values[part], side[part], bool(one[start]), reach)
-                    moved = np.flatnonzero(root != np.arange(size))
-                    low.append(start + root[moved])
-                    high.append(start + moved)
-            if low:
-                a, b = values[np.concatenate(high)], values[np.concatenate(low)]
-                yield pa.record_batch([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], schema=schema)
+            one = rows["one_slice"].to_numpy(zero_copy_only=False)
+            a, b = link_places(values, rows["unit"].to_numpy(), rows["side"].to_numpy(), one, reach)
+            yield pa.record_batch([pa.array(values[a].view(np.int64)), pa.array(values[b].view(np.int64))], schema=schema)
 
     return run
 

@@ -52,6 +52,59 @@ def test_index_finds_all_pairs_and_no_others():
     assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == sorted(map(tuple, want.tolist()))
 
 
+def test_many_trees_at_once():
+    rng = np.random.default_rng(8)
+    tree = np.sort(rng.integers(0, 300, 4000) ** 2 // 300)
+    values = (rng.integers(0, 6, 4000, dtype=np.uint64) << np.uint64(62)) ^ rng.integers(0, 2**8, 4000, dtype=np.uint64)
+    index = S.GrayIndex(values, tree)
+    a, b = index.near(values, 3, tree)
+    want = np.argwhere((np.bitwise_count(values[:, None] ^ values[None]) <= 3) & (tree[:, None] == tree[None]))
+    assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == sorted(map(tuple, want.tolist()))
+    none = index.near(values[:5], 3, np.full(5, 10**6))
+    assert len(none[0]) == 0 and len(S.GrayIndex(values[:0]).near(values[:3], 3)[0]) == 0
+
+
+def test_links_of_units_and_slices():
+    rng = np.random.default_rng(9)
+    unit = np.sort(rng.integers(0, 40, 1200))
+    values = rng.integers(0, 2**12, 1200, dtype=np.uint64) ^ (unit.astype(np.uint64) << np.uint64(40))
+    one = unit % 2 == 0
+    side = np.where(one, 0, rng.integers(0, 2, 1200))
+    side[unit == 3] = 1  # nothing to meet
+    met = (unit[:, None] == unit[None]) & (one[:, None] | (side[:, None] != side[None]))
+    want = smallest_root(1200, *np.nonzero(met & (np.bitwise_count(values[:, None] ^ values[None]) <= 3)))
+    for at_once in (500, S.AT_ONCE):
+        S.AT_ONCE, before = at_once, S.AT_ONCE
+        try:
+            a, b = S.link_places(values, unit, side, one, 3)
+        finally:
+            S.AT_ONCE = before
+        assert np.array_equal(smallest_root(1200, a, b), want)
+
+
+def test_groups_are_left_out_by_their_shared_bits():
+    """Few members of a tree are compared, in a large bucket and in the buckets of the given documents."""
+    rng = np.random.default_rng(4)
+    values = rng.integers(0, 2**48, 4096, dtype=np.uint64)
+    index = S.GrayIndex(values)
+    index.near(values, 3)
+    assert index.compared < 0.25 * len(values) ** 2
+
+
+def test_registered_query_goes_through_the_index(spark, sf_dir):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    prints = np.unique(np.array([S.fingerprint(x.text) for x in documents.select("text").collect()], np.uint64))
+    pairs = compared = 0
+    for shift in range(0, 64, 16):
+        quarter = (prints >> np.uint64(shift) & np.uint64(65535)).astype(np.int64)
+        order = np.argsort(quarter, kind="stable")
+        index = S.GrayIndex(prints[order], quarter[order])
+        index.near(prints, 3, quarter)
+        compared += index.compared
+        pairs += len(prints) ** 2
+    assert len(prints) <= compared < 0.01 * pairs
+
+
 def test_dense_groups_in_slices(spark):
     rng = np.random.default_rng(5)
     values = np.unique(np.uint64(12345) ^ (np.uint64(1) << rng.integers(0, 64, 500, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 500, dtype=np.uint64)))
