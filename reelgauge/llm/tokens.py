@@ -14,7 +14,7 @@ import gc
 import os
 import re
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -23,6 +23,8 @@ from reelgauge.llm.shared import release
 #: Pieces remembered by one worker, and their characters.
 REMEMBERED = 150_000
 REMEMBERED_CHARS = 4_000_000
+#: One space, then Latin letters and signs that stay one character each when lower-cased and composed.
+_LATIN = re.compile(" [!-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f]+")
 _SEAM = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
@@ -37,15 +39,12 @@ def _pieces(text: str) -> list[str]:
     """Cut a text where the tokenizer would cut it anyhow."""
     if "  " in text or "\n" in text and ("\n\n" in text or " \n" in text or "\n " in text):
         return _SEAM.split(text)
+    if "\0" not in text:
+        return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
     first, *rest = text.replace("\n", " \n").split(" ")
     return [first, *[x if x[:1] == "\n" else " " + x for x in rest]]
 
 
-def _plain(piece: str) -> bool:
-    """One space, then only characters that show."""
-    return len(piece) > 1 and piece[0] == " " and piece[1:].isprintable() and " " not in piece[1:]
-
-
 def _latin_end(piece: str) -> bool:
     """Ends in a Latin letter that is one letter for the vocabulary too: a capital I with a dot becomes i and a mark."""
     last = piece[-1:]
@@ -99,19 +98,30 @@ class Encoder:
         """The same for pieces that may simply stand one after the other; cut by their bytes."""
         text = "".join(pieces)
         ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-        sizes = [len(x) - 1 if self.lowers else len(x.encode()) for x in pieces]
+        if self.lowers:  # the space goes
+            sizes = [(len(x) if x.isascii() else len(x.lower().encode())) - 1 for x in pieces]
+        else:
+            sizes = [len(x) if x.isascii() else len(x.encode()) for x in pieces]
         ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(sizes), side="left") + 1
         return ids, np.diff(ends, prepend=0)
 
     def _learn(self, pieces: list[str]) -> None:
         """Add pieces that are not known; a word with a sign after it takes the ids of both."""
-        signed = [x for x in pieces if x[-1] in self.signs and _latin_end(x[:-1])]
-        known = set(signed)
-        cores = dict.fromkeys(x[:-1] for x in signed)
-        new = list(dict.fromkeys([*(x for x in pieces if x not in known), *(x for x in cores if x not in self.place)]))
-        easy = [x for x in new if _plain(x) and (x.isascii() or not self.lowers)]
-        known = set(easy)
-        odd = [x for x in new if x not in known]
+        place, signs, lowers = self.place, self.signs, self.lowers
+        signed: list[str] = []
+        fresh: dict[str, None] = {}
+        for x in pieces:
+            if x[-1] in signs and _latin_end(core := x[:-1]):
+                signed.append(x)
+                if core in place:
+                    continue
+                x = core
+            fresh[x] = None
+        easy: list[str] = []  # one space, then only characters that show
+        odd: list[str] = []
+        for x in fresh:
+            plain = _LATIN.fullmatch(x) if lowers else x[0] == " " and len(x) > 1 and x.isprintable() and x.rfind(" ") == 0
+            (easy if plain else odd).append(x)
         flats, counts = [], []
         for work, group in ((self._run, easy), (self._ids, odd)):
             for start in range(0, len(group), 512):
@@ -152,8 +162,8 @@ class Encoder:
         full = len(self.place) > self.remembered or self.characters > REMEMBERED_CHARS
         if full and (known[0] > self.remembered // 2 or self.characters > REMEMBERED_CHARS):
             # Full: rare pieces of this call go again, the frequent ones came early.
-            for piece in list(islice(reversed(self.place), len(self.place) - known[0])):
-                del self.place[piece]
+            for _ in range(len(self.place) - known[0]):
+                self.place.popitem()  # the latest
             # Copies: a slice would hold the whole of what it is cut from.
             self.flat, self.lengths = self.flat[: known[1]].copy(), self.lengths[: known[0]].copy()
             self.starts, self.characters = self.starts[: known[0]].copy(), known[2]
@@ -178,21 +188,20 @@ class Encoder:
                 whole[text] = None
                 pieces.append(text)
             elif text:
-                pieces.extend(x for x in _pieces(text) if x)
+                pieces.extend(filter(None, _pieces(text)))
             ends[number + 1] = len(pieces)
-        found = list(map(self.place.get, pieces))
-        missing = [i for i, x in enumerate(found) if x is None]
+        at = np.fromiter(map(self.place.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(at < 0).tolist()
         self.missed = len(missing) / max(len(pieces), 1) if len(self.place) > self.remembered // 2 else 0
         if missing:
-            new = list(dict.fromkeys([pieces[i] for i in missing]))
+            new = list(map(pieces.__getitem__, missing))
+            once = list(dict.fromkeys(new))
             if whole:
-                self._learn([x for x in new if x not in whole])
-                self._learn_whole([x for x in new if x in whole])
+                self._learn([x for x in once if x not in whole])
+                self._learn_whole([x for x in once if x in whole])
             else:
-                self._learn(new)
-            for i in missing:
-                found[i] = self.place[pieces[i]]
-        at = np.array(found, np.int64)
+                self._learn(once)
+            at[missing] = np.fromiter(map(self.place.__getitem__, new), np.int64, len(new))
         before = np.concatenate([[0], np.cumsum(self.lengths[at])])
         return self._gather(at), np.diff(before[ends])
 

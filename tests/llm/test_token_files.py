@@ -116,3 +116,24 @@ def test_special_tokens_are_those_of_the_plain_library(name):
         want = [plain.encode(x, add_special_tokens=False).ids for x in [*texts, *TEXTS]]
         assert flat.tolist() == [y for x in want for y in x] and lengths.tolist() == [len(x) for x in want]
     assert plain.token_to_id("<|endoftext|>") in code.encode(texts[:1])[0]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_every_letter_beside_letters_signs_and_seams(name):
+    """Pieces that are learned in one run of the library have the ids of whole texts."""
+    code = encoder(name)
+    some = [chr(x) for x in [*range(0x500), *range(0x1E00, 0x2100), 0x3000, 0x4E2D, 0xFB01, 0x1F600]]
+    texts = [f"x {c}a b{c}. {c}{c} q{c}z, {c}" for c in some] + [f"A{c}\nB {c}9{c} c" for c in some]
+    flat, lengths = code.encode(texts)
+    plain = Tokenizer.from_file(vocabulary_path(name))
+    for text, ids in zip(texts, np.split(flat, np.cumsum(lengths)[:-1]), strict=True):
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_all_documents_have_the_ids_of_the_library(spark, sf_dir, name):
+    texts = [x.text for x in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    flat, lengths = encoder(name).encode(texts)
+    plain = Tokenizer.from_file(vocabulary_path(name))
+    for text, ids in zip(texts, np.split(flat, np.cumsum(lengths)[:-1]), strict=True):
+        assert ids.tolist() == plain.encode(text or "", add_special_tokens=False).ids
