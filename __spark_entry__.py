@@ -31,7 +31,7 @@ from reelgauge.operators.grouped import displayed
 from reelgauge.plans import increment, niches
 from reelgauge.plans.bronze import bronze_channels, bronze_videos, usable, video_rejects
 from reelgauge.plans.silver import silver_videos
-from reelgauge.session import configure, fresh_path
+from reelgauge.session import configure, fresh_path, move
 from reelgauge.sources import drift, harvest, readers, sinks
 from reelgauge.sources import pages as pages_
 from reelgauge.streaming import daily
@@ -131,12 +131,16 @@ def _bronze_increment(spark: SparkSession, sf: str) -> DataFrame:
     undated = F.regexp_replace("value", ',"extraction_date":"[^"]*"', "")
     text = catalogue.raw_video_text(spark, sf).select(undated.alias("value"), (key % 3).alias("third"))
     more = F.regexp_replace("value", '"viewCount":"', '"viewCount":"1')
-    raw = fresh_path(spark, "increment-raw")
+    landings = F.array_compact(F.array(
+        F.when(F.col("third") != 0, F.struct(F.lit("2024-02-01").alias("day"), "value")),
+        F.when(F.col("third") != 1, F.struct(F.lit("2024-02-02").alias("day"), more.alias("value"))),
+    ))
+    staged, raw = fresh_path(spark, "increment-staged"), fresh_path(spark, "increment-raw")
     layers = increment.Layers(raw, *(fresh_path(spark, f"increment-{x}") for x in ("bronze", "silver", "ledger")))
-    text.filter("third <> 0").select("value").write.text(f"{raw}/extraction_date=2024-02-01")
-    increment.run_increment(spark, layers)
-    text.filter("third <> 1").select(more.alias("value")).write.text(f"{raw}/extraction_date=2024-02-02")
-    increment.run_increment(spark, layers)
+    text.select(F.inline(landings)).write.partitionBy("day").text(staged, compression="gzip")
+    for day in ("2024-02-01", "2024-02-02"):
+        move(spark, f"{staged}/day={day}", f"{raw}/extraction_date={day}")
+        increment.run_increment(spark, layers)
     rows = increment.silver(spark, layers)
     return _plain(rows.select("video_id", "title", "duration", "ano", "view_count", "engagement_rate", "extraction_date"))
 

@@ -6,6 +6,8 @@ tables, so that run builds them from all files. Bronze and silver lie in hash bu
 rewrites only the buckets its rows fall into, so its work follows what has
 landed, not the history. Within a bucket the newest row of a video counts, as
 in a full build, so any division of the files into runs gives the same tables.
+Whole rows are shuffled once a run, by bucket: bronze is written from there, and
+silver from the files of bronze.
 
 The ledger is written last: a run that breaks off is simply repeated, and its
 rows, being the same, change nothing the second time.
@@ -27,6 +29,8 @@ from reelgauge.sources.harvest import one_landing
 from reelgauge.sources.readers import FILES, list_files, read_json_checked, read_parquet
 
 BUCKETS = 64
+#: Bytes of landed files whose rows one task sorts.
+SLICE = 128 << 20
 
 
 @dataclass(frozen=True)
@@ -50,17 +54,32 @@ def _bucketed(schema: T.StructType) -> T.StructType:
 
 
 def _replace(rows: DataFrame, path: str, sort_by: list[str], whole: bool) -> None:
-    """Replace the whole table or the buckets that occur in ``rows``; the others keep their files."""
+    """Replace the whole table or the buckets that occur in ``rows``; the others keep their files.
+
+    Rows are written from where they lie; the rows of a bucket are to be in few tasks.
+    """
     (
-        rows.hint("rebalance", "bucket")
-        .sortWithinPartitions("bucket", *sort_by)
+        rows.sortWithinPartitions("bucket", *sort_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
+        .option("compression", "zstd")
         .partitionBy("bucket")
         .parquet(path)
     )
 
 
+def _newest(rows: DataFrame, slices: int) -> DataFrame:
+    """The newest row of each video; a bucket lies in ``slices`` parts at most."""
+    dealt = rows.withColumn("slice", F.pmod(F.xxhash64("video_id", F.lit("slice")), F.lit(slices)))
+    return one_landing(dealt.repartition("bucket", "slice"), keep="last", near=("bucket", "slice")).drop("slice")
+
+
+def _buckets(rows: DataFrame) -> list[int]:
+    """The buckets of new rows. The hash takes every column: what counts as unreadable depends on the columns read."""
+    found = rows.groupBy("bucket").agg(F.bit_xor(F.xxhash64(*rows.columns)).alias("read"))
+    return sorted(row["bucket"] for row in found.collect())  # a bounded number
+
+
 def _taken(spark: SparkSession, layers: Layers) -> DataFrame:
     return read_parquet(spark, layers.ledger, FILES, missing_ok=True)
 
@@ -82,18 +101,21 @@ def run_increment(spark: SparkSession, layers: Layers) -> list[int]:
     checked = read_json_checked(spark, layers.raw, schemas.RAW_VIDEO, layers.array_files, paths)
     if layers.rejects is not None:
         video_rejects(checked).write.mode(mode).parquet(layers.rejects)
-    fresh = settle(
-        one_landing(bronze_videos(usable(checked)), keep="last").withColumn("bucket", layers.bucket()), "fresh"
-    )
-    touched = sorted(row["bucket"] for row in fresh.select("bucket").distinct().collect())  # a bounded number
-    if touched or whole:
-        merged = fresh
-        if not whole:
-            held = read_parquet(spark, layers.bronze, _bucketed(schemas.BRONZE_VIDEO), missing_ok=True)
-            both = held.filter(F.col("bucket").isin(touched)).unionByName(fresh)
-            merged = settle(one_landing(both, keep="last"), "merged")  # the table is read and replaced
-        _replace(merged, layers.bronze, ["channel_id"], whole)
-        _replace(silver_videos(merged), layers.silver, ["ano", "channel_id"], whole)
+    fresh = bronze_videos(usable(checked)).withColumn("bucket", layers.bucket())
+    held = read_parquet(spark, layers.bronze, _bucketed(schemas.BRONZE_VIDEO), missing_ok=True)
+    first = whole or held.isEmpty()
+    touched = [] if first else _buckets(fresh)
+    if first or touched:
+        rows = fresh if first else held.filter(F.col("bucket").isin(touched)).unionByName(fresh)
+        taken = files if whole else files.unionByName(_taken(spark, layers))
+        size = taken.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("size")).first()["size"]
+        # Buckets that are read are replaced when all their rows are written elsewhere.
+        _replace(_newest(rows, 1 + size // (layers.buckets * SLICE)), layers.bronze, ["channel_id"], whole)
+        held = read_parquet(spark, layers.bronze, _bucketed(schemas.BRONZE_VIDEO), missing_ok=True)
+        if first:
+            touched = sorted(row["bucket"] for row in held.select("bucket").distinct().collect())
+        written = held.filter(F.col("bucket").isin(touched))
+        _replace(silver_videos(written), layers.silver, ["ano", "channel_id"], whole)
     files.write.mode(mode).parquet(layers.ledger)
     return touched
 

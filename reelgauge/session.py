@@ -58,6 +58,15 @@ def clear_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Give a folder another place in the same file system."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = place(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(place(target).getParent())
+    if not files.rename(place(source), place(target)):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,32 +87,25 @@ def page_ids(pages: DataFrame, text: str = "page") -> DataFrame:
 
 
 def one_landing(
-    landed: DataFrame, key: str = "video_id", order: str = "extraction_date", keep: str = "first"
+    landed: DataFrame, key: str = "video_id", order: str = "extraction_date", keep: str = "first", near: Sequence[str] = ()
 ) -> DataFrame:
     """One row per ``key``: that of the first or the last day, ties by the other columns.
 
-    The best day of a key is a number, so it is found by a hash aggregation of
-    two columns; rows of that day are joined back, equal ones fall together,
-    and only keys that still have different rows are sorted. Text that is no
-    date counts as a day before all others. Rows without a key are not copies
-    of each other and all stay.
+    Whole rows are shuffled once. Spark cuts every task's rows to one per key
+    before that shuffle, so a key with very many rows sends one from each task.
+    Text that is no date counts as a day before all others. Rows without a key
+    are not copies of each other and all stay.
+
+    ``near`` may name columns that follow from the key; rows that lie together
+    by them are not shuffled again, and the cut comes after that shuffle.
     """
-    pick = {"first": F.min, "last": F.max}[keep]
-    rest = [name for name in landed.columns if name not in (key, order)]
-    keyed = landed.filter(F.col(key).isNotNull())
+    columns = [key, order, *[name for name in landed.columns if name not in (key, order)]]
     day = F.coalesce(F.unix_date(F.col(order).try_cast("date")), F.lit(-(2**31)))
-    best = keyed.groupBy(key).agg(pick(day).alias("_day"))
-    winners = keyed.withColumn("_day", day).join(best, [key, "_day"]).drop("_day").distinct()
-    tied = winners.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key)
-    ordered = [F.col(name).asc() if keep == "first" else F.col(name).desc() for name in (order, *rest)]
-    first = F.row_number().over(Window.partitionBy(key).orderBy(*ordered))
-    chosen = winners.join(tied, key, "left_semi").withColumn("_place", first).filter("_place = 1").drop("_place")
-    columns = [key, order, *rest]
-    return (
-        winners.join(tied, key, "left_anti").select(*columns)
-        .unionByName(chosen.select(*columns))
-        .unionByName(landed.filter(F.col(key).isNull()).select(*columns))
-    )
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    ordered = [F.col(name).asc() if keep == "first" else F.col(name).desc() for name in ("_day", *columns[1:])]
+    first = F.row_number().over(Window.partitionBy(*near, key, "_alone").orderBy(*ordered))
+    places = landed.withColumns({"_day": day, "_alone": alone}).withColumn("_place", first)
+    return places.filter("_place = 1").select(*columns)
 
 
 def harvest_counts(found: DataFrame, details: DataFrame) -> DataFrame:

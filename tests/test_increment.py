@@ -129,3 +129,22 @@ def test_schemas_are_those_of_the_layers(spark, tmp_path, layers):
     increment.run_increment(spark, layers)
     assert increment.bronze(spark, layers).schema.names == schemas.BRONZE_VIDEO.names
     assert increment.silver(spark, layers).schema.names == schemas.SILVER_VIDEO.names
+
+
+def test_whole_rows_are_shuffled_once(spark, tmp_path, layers):
+    """The title is in one shuffle of the rows that are written, that by bucket."""
+    import re
+
+    land(tmp_path / "raw", "2024-05-01", *[video(i, i) for i in range(20)])
+    increment.run_increment(spark, layers)
+    held = increment.read_parquet(spark, layers.bronze, increment._bucketed(schemas.BRONZE_VIDEO))
+    text = increment._newest(held, 3)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 1 and "Join" not in text
+
+
+def test_slices_of_a_bucket_keep_one_row_a_video(spark, tmp_path, layers, monkeypatch):
+    monkeypatch.setattr(increment, "SLICE", 1)
+    land(tmp_path / "raw", "2024-05-01", *[video(i, 10 + i) for i in range(40)])
+    land(tmp_path / "raw", "2024-05-02", *[video(i, 99) for i in range(0, 40, 2)], name="other")
+    increment.run_increment(spark, layers)
+    assert rows_of(increment.silver(spark, layers)) == rows_of(full(spark, layers, tmp_path))
