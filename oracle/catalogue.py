@@ -175,7 +175,8 @@ def _built(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     configure(spark)
     if key not in _BUILT:
         paths = fresh_path(spark, "silver"), fresh_path(spark, "bridge")
-        save_table(silver_videos(videos(spark, sf_dir)), paths[0], ["ano"], ["channel_id"])
+        # The join by document has dealt the titles evenly.
+        save_table(silver_videos(videos(spark, sf_dir)), paths[0], ["ano"], ["channel_id"], rebalance=False)
         bridge(spark, sf_dir).write.parquet(paths[1])
         _BUILT[key] = paths
     return _BUILT[key]

@@ -28,7 +28,9 @@ def save(df: DataFrame, path: str, format: str = "parquet", source: DataFrame |
     return filled
 
 
-def save_table(df: DataFrame, path: str, partition_by: list[str], sort_by: list[str]) -> None:
+def save_table(
+    df: DataFrame, path: str, partition_by: list[str], sort_by: list[str], rebalance: bool = True
+) -> None:
     """Write a layer partitioned by ``partition_by``, files sorted by ``sort_by``.
 
     The rebalance hint lets adaptive execution merge small and split large
@@ -36,12 +38,17 @@ def save_table(df: DataFrame, path: str, partition_by: list[str], sort_by: list[
     thousands of small files. Sorted files let Parquet statistics skip row
     groups of other channels. The whole table is replaced: partitions that no
     longer occur go.
+
+    Rows that a shuffle before has dealt into tasks of even size may be written
+    from where they lie, without ``rebalance``: a file for each of its
+    partitions from every task, and no second shuffle of whole rows.
     """
+    dealt = df.hint("rebalance", *partition_by) if rebalance else df
     (
-        df.hint("rebalance", *partition_by)
-        .sortWithinPartitions(*partition_by, *sort_by)
+        dealt.sortWithinPartitions(*partition_by, *sort_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
+        .option("compression", "zstd")
         .partitionBy(*partition_by)
         .parquet(path)
     )

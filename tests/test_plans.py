@@ -71,3 +71,11 @@ def test_no_local_scratch_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.scratch_dir(Cluster())
+
+
+def test_built_titles_are_shuffled_once(spark, sf_dir, monkeypatch):
+    seen = []
+    monkeypatch.setattr(catalogue, "save_table", lambda df, *args, **options: seen.append(options))
+    monkeypatch.setattr(catalogue, "_BUILT", {})
+    catalogue._built(spark, sf_dir)
+    assert seen == [{"rebalance": False}]
