@@ -13,6 +13,8 @@ from reelgauge.operators.quantiles import quantiles
 from reelgauge.operators.significance import with_pearson, with_welch
 from reelgauge.session import settle
 
+#: Hash cells words are counted in before any word is.
+WORD_CELLS = 1 << 16
 AVERAGES = {"avg_views": "view_count", "avg_likes": "like_count", "avg_engagement": "engagement_rate"}
 
 
@@ -109,14 +111,44 @@ def popular(
     return join_groups(videos, limits, by).filter(F.col("view_count") >= F.col("view_threshold"))
 
 
+def popular_words(videos: DataFrame, by: By = NICHE, limits: DataFrame | None = None) -> DataFrame:
+    """A row for every word in the titles of popular videos."""
+    return popular(videos, by, limits=limits).select(*by, F.explode(X.words(F.col("title"))).alias("word"))
+
+
+def _counted(words: DataFrame, by: By) -> DataFrame:
+    return words.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("n"))
+
+
 def word_counts(videos: DataFrame, by: By = NICHE, limits: DataFrame | None = None) -> DataFrame:
     """How often each word occurs in the titles of popular videos."""
-    return (
-        popular(videos, by, limits=limits)
-        .select(*by, F.explode(X.words(F.col("title"))).alias("word"))
-        .groupBy(*by, "word")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    return _counted(popular_words(videos, by, limits), by)
+
+
+def frequent_words(words: DataFrame, by: By, limit: int, cells: int = WORD_CELLS, tried: int = 4) -> DataFrame:
+    """Settled exact counts of some words of each group, among them the ``limit`` most frequent, ties included.
+
+    Words are first counted together in cells of their hash, so what is shuffled
+    has a bound however many words there are. No word occurs more often than its
+    cell. The words of the fullest cells, ``tried`` for each wanted word, are
+    counted by themselves; the ``limit``-th of their counts is one the wanted
+    words reach, so of the other cells only those that reach it are counted too.
+    """
+    hashed = words.withColumn("cell", F.pmod(F.xxhash64("word"), F.lit(cells)).cast("int"))
+    sums = settle(hashed.groupBy(*by, "cell").agg(F.count(F.lit(1)).alias("held")), "word-cells")
+    fullest = Window.partitionBy(*by).orderBy(F.desc("held"), "cell")
+    first = settle(sums.withColumn("place", F.row_number().over(fullest)).filter(F.col("place") <= tried * limit), "full-cells")
+
+    def within_cells(chosen: DataFrame) -> DataFrame:
+        return _counted(hashed.join(chosen.select(*by, "cell"), [*by, "cell"], "left_semi"), by)
+
+    counts = settle(within_cells(first), "frequent-words")
+    ranked = counts.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"))))
+    reached = settle(ranked.filter(F.col("place") == limit).select(*by, F.col("n").alias("reached")), "reached")
+    others = sums.join(first, [*by, "cell"], "left_anti")
+    known = others.join(reached, list(by), "left") if by else others.join(reached, F.lit(True), "left")
+    rest = settle(known.filter(F.col("held") >= F.coalesce("reached", F.lit(0))).select(*by, "cell"), "other-cells")
+    return counts if rest.isEmpty() else counts.unionByName(settle(within_cells(rest), "frequent-words"))
 
 
 def top_words(
@@ -126,9 +158,9 @@ def top_words(
 
     Spark cuts every task's rows to ``limit`` per group before the shuffle.
     ``counts`` may hold settled ``word_counts``, here and below, so that several
-    analyses share them.
+    analyses share them; without them only frequent words are counted one by one.
     """
-    counts = word_counts(videos, by) if counts is None else counts
+    counts = frequent_words(popular_words(videos, by), by, limit) if counts is None else counts
     ordered = Window.partitionBy(*by).orderBy(F.desc("n"), "word")
     return counts.withColumn("rank", F.row_number().over(ordered)).filter(F.col("rank") <= limit)
 

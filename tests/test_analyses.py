@@ -320,3 +320,34 @@ def test_rounding_for_display(spark):
     frame = spark.createDataFrame([(0.125, 2.5, 7)], "a double, b double, n long")
     assert tuple(displayed(frame, {"a": 2, "b": 0}).first()) == (0.12, 2.0, 7)
     assert tuple(displayed(frame, 1).first()) == (0.1, 2.5, 7)
+
+
+def test_frequent_words_have_every_tie_of_the_last_place(spark):
+    from reelgauge.operators.titles import frequent_words
+
+    counts = {"a": 9, "b": 5, "c": 5, "d": 5, "e": 4, None: 1} | {f"w{i}": 1 for i in range(200)}
+    rows = [("x", word) for word, n in counts.items() for _ in range(n)] + [("y", "a"), ("y", "b")]
+    words = spark.createDataFrame(rows, "niche string, word string").repartition(5)
+    exact = {("x", word): n for word, n in counts.items()} | {("y", "a"): 1, ("y", "b"): 1}
+    for cells, tried in ((1, 1), (7, 1), (512, 1), (1 << 16, 4)):
+        found = {(x.niche, x.word): x.n for x in frequent_words(words, ("niche",), 2, cells, tried).collect()}
+        assert found.items() <= exact.items()
+        assert {("x", word) for word in "abcd"} | {("y", "a"), ("y", "b")} <= found.keys()
+        whole = {x.word: x.n for x in frequent_words(words, (), 2, cells, tried).collect()}
+        assert whole["a"] == 10 and whole["b"] == 6 and all(n == counts[word] for word, n in whole.items() if word not in ("a", "b"))
+    assert len(frequent_words(words, ("niche",), 2).collect()) < 40
+
+
+def test_rare_words_are_not_shuffled(spark, videos):
+    from reelgauge.operators import titles
+
+    seen = []
+    settle = titles.settle
+    titles.settle = lambda df, label: seen.append((label, settle(df, label))) or seen[-1][1]
+    try:
+        rare = [{"title": " ".join(f"rare{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + j)}" for j in range(20))} for i in range(60)]
+        found = titles.top_words(videos(*rare, *[{"title": "common words"}] * 5), limit=2).collect()
+    finally:
+        titles.settle = settle
+    assert [(x.word, x.n) for x in found] == [("common", 5), ("words", 5)]
+    assert max(df.count() for label, df in seen if label == "frequent-words") < 200
