@@ -264,7 +264,7 @@ def _title_length_display(spark: SparkSession, sf: str) -> DataFrame:
 def _keyword_many(spark: SparkSession, sf: str) -> DataFrame:
     """The 1,000 most frequent words of popular titles, all against every title of every niche."""
     view = catalogue.view(spark, sf)
-    counts = titles.word_counts(view).groupBy("word").agg(F.sum("n").alias("n"))
+    counts = titles.frequent_words(titles.popular_words(view), (), 1000)
     words = [row["word"] for row in counts.orderBy(F.desc("n"), "word").limit(1000).collect()]
     return _plain(titles.keyword_impact(view, words=words))
 
