@@ -76,3 +76,14 @@ def videos(spark):
         )
 
     return build
+
+
+@pytest.fixture(scope="module", autouse=True)
+def uncached():
+    """What a module has cached would stand in the plans of the next one."""
+    yield
+    from pyspark.sql import SparkSession
+
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        session.catalog.clearCache()
