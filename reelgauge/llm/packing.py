@@ -32,6 +32,8 @@ from reelgauge.llm.tokens import chunks, encoder
 
 POOL = 4096
 NEIGHBOURS = 64
+#: Characters encoded at once, and rows held before they leave the worker.
+AT_ONCE, HELD = 250_000, 500
 
 PIECE = (
     "doc_id long, start long, length long, n_loss long, doc_tokens long, sequence_id long, "
@@ -165,7 +167,7 @@ class _Out:
 def _examples(batch: pa.RecordBatch, vocabulary: str, end_id: int) -> Iterator[Piece]:
     code = encoder(vocabulary)
     texts, prompts, ids = batch["text"].to_pylist(), batch["prompt"].to_pylist(), batch["doc_id"].to_pylist()
-    for start, end in chunks(texts):
+    for start, end in chunks(texts, AT_ONCE):
         # Prompt and answer are encoded apart, so that a cut between them is one between ids.
         both = [x or "" for pair in zip(prompts[start:end], texts[start:end], strict=True) for x in pair]
         flat, lengths = code.encode(both)
@@ -192,7 +194,7 @@ def _first_round(vocabulary: str, end_id: int, limits: Limits):
                     for pieces in done:
                         out.add(pieces, sequence, part)
                         sequence += 1
-                if len(out.rows) >= 2000:
+                if len(out.rows) >= HELD:
                     yield out.batch()
         done, pool = packer.pack(pool, final=False)
         for pieces in done:

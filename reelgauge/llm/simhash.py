@@ -35,7 +35,7 @@ REACH = 3
 SEED = 42
 UNIT = 4096
 LEAF, FAN = 4, 4
-AT_ONCE = 1_000_000  # members of the trees asked by one block of queries, and links held before they are united
+AT_ONCE = 250_000  # members of the trees asked by one block of queries, and links held before they are united
 
 
 def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
