@@ -33,7 +33,7 @@ from reelgauge.llm.tokens import chunks, encoder
 POOL = 4096
 NEIGHBOURS = 64
 #: Characters encoded at once, and rows held before they leave the worker.
-AT_ONCE, HELD = 250_000, 500
+AT_ONCE, HELD = 500_000, 500
 
 PIECE = (
     "doc_id long, start long, length long, n_loss long, doc_tokens long, sequence_id long, "
@@ -97,6 +97,7 @@ class Packer:
         demand = np.array([(len(x.ids), 1, x.loss) for x in pool], np.float64).reshape(-1, 3)
         prompt = np.array([x.prompt for x in pool], np.int64)
         share = demand / self.scale
+        tokens, loss = demand[:, 0].copy(), demand[:, 2].copy()  # in a row, as each step compares them all
         alive = np.ones(len(pool), bool)
         left = len(pool)
         done: list[list[Piece]] = []
@@ -104,7 +105,7 @@ class Packer:
             room = self.scale.copy()
             inside: list[int | Piece] = []
             while room[0] > 0 and room[1] > 0:
-                fits = alive & (demand <= room).all(1)
+                fits = alive & (tokens <= room[0]) & (loss <= room[2])  # a segment is left
                 if fits.any():
                     best = int(np.argmax(np.where(fits, share @ (room / self.scale), -1)))
                     inside.append(pool[best])
@@ -121,6 +122,7 @@ class Packer:
                 demand[place] = (len(rest.ids), 1, rest.loss)
                 prompt[place] = rest.prompt
                 share[place] = demand[place] / self.scale
+                tokens[place], loss[place] = demand[place, 0], demand[place, 2]
                 room -= (len(head.ids), 1, head.loss)
             if not final and not left and room[0] >= limits.least_cut and room[1] > 0:
                 return done, inside
@@ -166,15 +168,19 @@ class _Out:
 
 def _examples(batch: pa.RecordBatch, vocabulary: str, end_id: int) -> Iterator[Piece]:
     code = encoder(vocabulary)
-    texts, prompts, ids = batch["text"].to_pylist(), batch["prompt"].to_pylist(), batch["doc_id"].to_pylist()
+    texts, prompts, ids = batch["text"], batch["prompt"], batch["doc_id"].to_pylist()
     for start, end in chunks(texts, AT_ONCE):
         # Prompt and answer are encoded apart, so that a cut between them is one between ids.
-        both = [x or "" for pair in zip(prompts[start:end], texts[start:end], strict=True) for x in pair]
-        flat, lengths = code.encode(both)
-        cuts = np.concatenate([[0], np.cumsum(lengths)])
+        flat, lengths = code.encode(texts.slice(start, end - start))
+        cuts = np.cumsum(lengths)
+        flat = np.insert(flat, cuts, end_id).astype("<u4")
+        cuts = np.concatenate([[0], cuts + np.arange(1, len(cuts) + 1)])
+        first, before = code.encode(prompts.slice(start, end - start))
+        befores = np.concatenate([[0], np.cumsum(before)])
         for n in range(end - start):
-            found = np.append(flat[cuts[2 * n] : cuts[2 * n + 2]], end_id).astype("<u4")
-            yield Piece(ids[start + n], 0, found, int(lengths[2 * n]), len(found))
+            # Copies: a view of one text would hold those of all.
+            found = np.concatenate([first[befores[n] : befores[n + 1]], flat[cuts[n] : cuts[n + 1]]])
+            yield Piece(ids[start + n], 0, found, int(before[n]), len(found))
 
 
 def _first_round(vocabulary: str, end_id: int, limits: Limits):

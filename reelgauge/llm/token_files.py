@@ -138,9 +138,9 @@ def _ids(vocabulary: str, end_id: int, id_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(vocabulary)
         for batch in batches:
-            texts = batch[1].to_pylist()
+            texts = batch[1]
             for start, end in chunks(texts):
-                flat, lengths = code.encode(texts[start:end])
+                flat, lengths = code.encode(texts.slice(start, end - start))
                 cuts = np.cumsum(lengths)
                 flat = np.insert(flat, cuts, end_id)
                 if id_bytes < 4 and flat.max(initial=0) >> (8 * id_bytes):

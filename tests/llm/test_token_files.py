@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -137,3 +138,33 @@ def test_all_documents_have_the_ids_of_the_library(spark, sf_dir, name):
     plain = Tokenizer.from_file(vocabulary_path(name))
     for text, ids in zip(texts, np.split(flat, np.cumsum(lengths)[:-1]), strict=True):
         assert ids.tolist() == plain.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_a_large_vocabulary_is_asked_for_once(name, monkeypatch):
+    """More words than a worker remembered before; the second time the library is not needed."""
+    code = Encoder(name)
+    words = [f" {a}{b}{c}{d}" for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst" for c in "aeioubcdgt" for d in "aeioubcdgtklmnpqrsvwxyzäöüßéèêñçøåæ"]
+    texts = ["".join(words[x : x + 1000]) for x in range(0, len(words), 1000)] + [f" x{n}" for n in range(30_000)]
+    first = [code.encode(texts[x : x + 50]) for x in range(0, len(texts), 50)]
+    monkeypatch.setattr(code, "_learn", None)
+    again = [code.encode(texts[x : x + 50]) for x in range(0, len(texts), 50)]
+    assert all(np.array_equal(a, b) for x, y in zip(first, again, strict=True) for a, b in zip(x, y, strict=True))
+    plain = Tokenizer.from_file(vocabulary_path(name)).encode(texts[7], add_special_tokens=False).ids
+    assert code.encode(texts[7:8])[0].tolist() == plain
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_white_space_of_every_kind_and_long_pieces(name):
+    """Columns of an Arrow batch, null and cut ones too; a full memory and a fresh one."""
+    plain = Tokenizer.from_file(vocabulary_path(name))
+    blanks = [" ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", " ", " ", "’", "​", " ", " ", " ", "　", "\0"]
+    texts = [f"a{x} b{y}c\n{x}d. {y}e," for x in blanks for y in blanks]
+    texts += [None, "", "x" * 15, " " + "x" * 14 + ".", " " + "x" * 15 + ".", "é" * 7 + " " + "é" * 8, "a\0 a", " a\0\0", "\0"]
+    column = pa.array(["off", *texts]).slice(1)
+    want = [plain.encode(x or "", add_special_tokens=False).ids for x in texts]
+    for remembered in (3, 1000):
+        code = Encoder(name, remembered=remembered)
+        for _ in range(2):
+            flat, lengths = code.encode(column)
+            assert [x.tolist() for x in np.split(flat, np.cumsum(lengths)[:-1])] == want
