@@ -38,6 +38,8 @@ LEAST_SHARE = 1e-5
 PROBES = 4
 SLOTS_PER_GRAM = 10
 UNKNOWN = "und"
+#: Characters whose n-grams a worker holds at once, about 100 bytes each.
+AT_ONCE = 250_000
 #: Below this share of known n-grams a text is in none of the learned languages, whatever these score.
 REJECT_BELOW = 0.1
 #: A text is in none of them either if it scores less than ``SLACK`` of what all but a hundredth of its
@@ -142,7 +144,7 @@ def held_out() -> Column:
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, language = batch["text"].to_pylist(), batch["language"].to_numpy()
-        for start, end in chunks(texts, 2_000_000):
+        for start, end in chunks(texts, AT_ONCE):
             hashes, owner, _ = grams(texts[start:end])
             spoken = language[start:end][owner]
             for one in np.unique(spoken):
@@ -196,7 +198,7 @@ def _predictions(filters: Filters):
                 texts, rest = batch["_text"].to_pylist(), batch.drop_columns(["_text"])
             else:  # the text of a whole row
                 texts, rest = batch["row"].field("text").cast(pa.string()).to_pylist(), batch
-            for start, end in chunks(texts, 250_000):
+            for start, end in chunks(texts, AT_ONCE):
                 language, score = filters.predict(texts[start:end])
                 some = rest.slice(start, end - start)
                 yield pa.record_batch(

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from reelgauge.llm import language_id as L
@@ -58,3 +59,19 @@ def test_unlearned_languages_and_noise_go(spark, sf_dir):
     ids = [x.doc_id for x in kept.select("doc_id").collect()]
     assert not [x for x in ids if x < 0]
     assert len(ids) == documents.count()
+
+
+def test_learning_holds_few_characters_at_once(monkeypatch):
+    """A worker counts a batch of long texts in parts; the counts are those of the whole."""
+    seen, plain = [], L.grams
+    monkeypatch.setattr(L, "grams", lambda texts: seen.append(sum(map(len, texts))) or plain(texts))
+    texts = [f"word{'abcdefghij'[n % 10]} and some more of it " * 800 for n in range(100)]
+    batch = pa.record_batch([pa.array(texts), pa.array([n % 2 for n in range(100)])], names=["text", "language"])
+    counts = {}
+    for out in L._counts(iter([batch])):
+        for row in zip(*out.to_pydict().values(), strict=True):
+            counts[row[:2]] = counts.get(row[:2], 0) + row[2]
+    assert max(seen) < 300_000 < sum(seen)
+    for one in (0, 1):
+        found, n = np.unique(plain(texts[one::2])[0], return_counts=True)
+        assert {x[1]: c for x, c in counts.items() if x[0] == one} == dict(zip(found.view(np.int64).tolist(), n.tolist(), strict=True))
