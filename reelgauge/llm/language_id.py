@@ -39,7 +39,7 @@ PROBES = 4
 SLOTS_PER_GRAM = 10
 UNKNOWN = "und"
 #: Characters whose n-grams a worker holds at once, about 100 bytes each.
-AT_ONCE = 250_000
+AT_ONCE = 100_000
 #: Below this share of known n-grams a text is in none of the learned languages, whatever these score.
 REJECT_BELOW = 0.1
 #: A text is in none of them either if it scores less than ``SLACK`` of what all but a hundredth of its

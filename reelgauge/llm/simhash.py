@@ -182,8 +182,8 @@ def _links(reach: int):
     return run
 
 
-def links(fingerprints: DataFrame, reach: int = REACH, unit: int = UNIT) -> DataFrame:
-    """Links (a, b) that connect what is within ``reach``; not all pairs of a dense group."""
+def link_units(fingerprints: DataFrame, reach: int = REACH, unit: int = UNIT) -> DataFrame:
+    """Fingerprints of each unit, in a row; links are to be found inside it."""
     if reach > 3:
         raise ValueError("four quarters find at most three differing bits")
     quarter = F.expr("shiftrightunsigned(fp, q * 16) & 65535")
@@ -192,14 +192,18 @@ def links(fingerprints: DataFrame, reach: int = REACH, unit: int = UNIT) -> Data
     )
     spread = F.xxhash64("fp").bitwiseAND(F.lit(2**62 - 1))
     units = unit_rows(members, "bucket", spread, unit).select("unit", "fp", "side", "one_slice")
-    dealt = units.repartition(width(fingerprints.sparkSession), "unit").sortWithinPartitions("unit")
-    return dealt.mapInArrow(_links(reach), "a long, b long")
+    return units.repartition(width(fingerprints.sparkSession), "unit").sortWithinPartitions("unit")
+
+
+def links(fingerprints: DataFrame, reach: int = REACH, unit: int = UNIT) -> DataFrame:
+    """Links (a, b) that connect what is within ``reach``; not all pairs of a dense group."""
+    return link_units(fingerprints, reach, unit).mapInArrow(_links(reach), "a long, b long")
 
 
 def groups(found: DataFrame, reach: int = REACH, unit: int = UNIT) -> DataFrame:
     """(fp, label, component_id) for each distinct fingerprint of ``found`` (id, fp)."""
     distinct = settle(found.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
-    joined = components(links(distinct.select("fp"), reach, unit))
+    joined = components(link_units(distinct.select("fp"), reach, unit), made=_links(reach))
     labelled = distinct.join(joined, distinct["fp"] == joined["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("label")
     )
