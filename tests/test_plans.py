@@ -1,6 +1,7 @@
 """Physical plans: what must and must not be in them."""
 
 import re
+import time
 
 import pytest
 
@@ -79,3 +80,21 @@ def test_built_titles_are_shuffled_once(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(catalogue, "_BUILT", {})
     catalogue._built(spark, sf_dir)
     assert seen == [{"rebalance": False}]
+
+
+def shuffled_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_settled_tables_leave_no_shuffle_files(spark):
+    held, before = shuffled_files(spark), spark.conf.get(session.CLEANUP, None)
+    rows = spark.range(1000).selectExpr("id % 10 AS k", "id").repartition(3, "id").groupBy("k").count()
+    found = session.settle(rows, "released")
+    for _ in range(100):  # executors delete them on their own time
+        left = shuffled_files(spark) - held
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and found.count() == 10 and spark.conf.get(session.CLEANUP, None) == before
