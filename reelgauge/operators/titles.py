@@ -182,7 +182,9 @@ def _indexed(videos: DataFrame, words: list[str]) -> DataFrame:
     An inverted index lists every word under its rarest run of three
     characters. A title looks up its own runs there and tests only the words
     it finds, each under one run, so nothing is found twice. Words without such
-    a run are tested one by one.
+    a run are tested one by one. The index is broadcast at any size, as the
+    driver holds the words anyway: a shuffle would write every title once for
+    each of its runs.
     """
     ranked = [(rank, word.lower()) for rank, word in enumerate(words, 1)]
     grams = X.rarest_grams([word for _, word in ranked])
@@ -192,7 +194,7 @@ def _indexed(videos: DataFrame, words: list[str]) -> DataFrame:
     lowered = videos.withColumn("lowered", F.lower("title")).drop("title")
     looked_up = (
         lowered.withColumn("gram", F.explode(X.grams(F.col("lowered"))))
-        .join(index, "gram")
+        .join(F.broadcast(index), "gram")
         .filter(F.contains(F.col("lowered"), F.col("word")))
         .withColumn("keyword", F.struct("rank", "word"))
         .drop("gram", "rank", "word", "lowered")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelgauge import schemas
+from reelgauge.session import released
 from reelgauge.sources.readers import read_parquet
 
 
@@ -44,14 +45,15 @@ def save_table(
     partitions from every task, and no second shuffle of whole rows.
     """
     dealt = df.hint("rebalance", *partition_by) if rebalance else df
-    (
-        dealt.sortWithinPartitions(*partition_by, *sort_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .option("compression", "zstd")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    with released(df.sparkSession):
+        (
+            dealt.sortWithinPartitions(*partition_by, *sort_by)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .option("compression", "zstd")
+            .partitionBy(*partition_by)
+            .parquet(path)
+        )
 
 
 def land_json(df: DataFrame, path: str, run_date: Column | str | None = None) -> bool:

@@ -10,6 +10,7 @@ from oracle import catalogue
 from reelgauge import session
 from reelgauge.operators import overview, titles
 from reelgauge.plans import niches
+from reelgauge.sources import sinks
 from reelgauge.sources.harvest import id_batches
 
 QUERIES = spark_entry.queries()
@@ -88,13 +89,30 @@ def shuffled_files(spark):
     return {name for name in names if name.startswith("shuffle_")}
 
 
-def test_settled_tables_leave_no_shuffle_files(spark):
+def left_after(spark, write):
+    """Shuffle files that are still there some time after ``write``."""
     held, before = shuffled_files(spark), spark.conf.get(session.CLEANUP, None)
     rows = spark.range(1000).selectExpr("id % 10 AS k", "id").repartition(3, "id").groupBy("k").count()
-    found = session.settle(rows, "released")
+    write(rows)
+    assert spark.conf.get(session.CLEANUP, None) == before
     for _ in range(100):  # executors delete them on their own time
         left = shuffled_files(spark) - held
         if not left:
             break
         time.sleep(0.1)
-    assert not left and found.count() == 10 and spark.conf.get(session.CLEANUP, None) == before
+    return left
+
+
+def test_settled_tables_leave_no_shuffle_files(spark):
+    assert not left_after(spark, lambda rows: session.settle(rows, "released"))
+
+
+def test_layers_leave_no_shuffle_files(spark):
+    path = session.fresh_path(spark, "layer")
+    assert not left_after(spark, lambda rows: sinks.save_table(rows, path, ["k"], ["count"]))
+    assert spark.read.parquet(path).count() == 10
+
+
+def test_titles_are_not_shuffled_for_chosen_words(spark, sf_dir):
+    found = titles.keyword_impact(catalogue.view(spark, sf_dir), words=["den", "the", "\U0001f600", "été", "ab"])
+    assert "SortMergeJoin" not in plan(found) and "ShuffledHashJoin" not in plan(found)
